@@ -175,6 +175,10 @@ def crime_points(t: Tables):
     )
 
 
+def recent(t: Tables):
+    return materialize(crime.recent_incidents(crime_points(t), least=HOT[1]))
+
+
 @query(
     "crime_hotspots",
     stats_sql("h_label", "neighborhood_name").replace(" total,", " total_crimes,").replace("n_clusters", "n_hotspot_clusters")
@@ -183,8 +187,7 @@ def crime_points(t: Tables):
     _BIG,
 )
 def _(t):
-    figures, _ = crime.hotspots(materialize(crime_points(t)), "load_seq", HOT, MAP)
-    return figures
+    return crime.hotspot_figures(recent(t), "load_seq", HOT)
 
 
 @query(
@@ -196,8 +199,7 @@ def _(t):
     {**_BIG, **dbscan_ctes("m_", "located", ["neighborhood_name"], "load_seq", *MAP)},
 )
 def _(t):
-    _, labelled = crime.hotspots(materialize(crime_points(t)), "load_seq", HOT, MAP)
-    return labelled
+    return crime.hotspot_points(recent(t), "load_seq", MAP)
 
 
 # --- stores ----------------------------------------------------------------------

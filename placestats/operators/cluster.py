@@ -32,12 +32,13 @@ from placestats.constants import EARTH_KM
 from placestats.functions.numbers import haversine_km, share_pct
 from placestats.operators.ranking import number_rows
 from placestats.operators.spatial import spatial_bin
-from placestats.session import fits, materialize
+from placestats.session import materialize
 
 SLACK = 1e-3  # relative shrink of the cell side; covers curvature and rounding
 SPLIT = 4  # children per side when a summary is split
 LEAF = 48  # summaries of at most this many points split straight into points
 DEEPEST = 8  # after this level (cells of about a millimetre) compare points
+WINDOW_ROWS = 500_000  # up to this many rows a per-group window is safe whatever the skew
 NOISE = -1
 
 
@@ -111,16 +112,12 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     """(node, root) for every node of an undirected graph; the root is its least node.
 
     Each round replaces the edges by shorter ones (large star, then small star) and
-    writes them out, so lineage stays flat and lost executors cost one round only.
+    writes them out, so lineage stays flat and lost executors cost one round only. It
+    ends when the edges form stars: every node has one edge, to a node without any.
     """
-
-    def digest(df: DataFrame):
-        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
     ends = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
     cur = materialize(ends.where(F.col("u") != F.col("v")).distinct())
-    mark = digest(cur)
-    while True:
+    while not _all_stars(cur):
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -130,14 +127,19 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
             low.select("u", F.col("m").alias("v"))
         )
         cur = materialize(small.where(F.col("u") != F.col("v")).distinct())
-        now = digest(cur)
-        if now == mark:
-            break
-        mark = now
     roots = cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Does no node of the (greater, lesser) edges have two edges down, or one down and one up?"""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("v").alias("n"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    roles = ends.groupBy("n").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return roles.where(F.col("down") + F.col("up") * F.least("down", F.lit(1)) > 1).isEmpty()
+
+
 def _distinct_points(df: DataFrame, group: Sequence[str], id_col: str, lat: str, lon: str) -> DataFrame:
     placed = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     for g in group:
@@ -230,17 +232,18 @@ def dbscan(
     points = _distinct_points(df, group, id, lat, lon)
     points = points.withColumn("iy", grid.row(F.col("lat")))
     points = points.withColumn("ix", grid.column(F.col("iy"), F.col("lon")))
-    points = materialize(points)
 
     cell_key = [*group, "iy", "ix"]
-    cells = points.groupBy(*cell_key).agg(
-        F.sum("w").alias("cw"), F.count(F.lit(1)).alias("cn"), F.min("pid").alias("owner"),
-        F.min(F.struct("lat", "lon")).alias("at"),
-    )
-    dense_cells = materialize(cells.where(F.col("cw") >= min_samples))
-    flagged = materialize(points.join(dense_cells.select(*cell_key, "owner"), cell_key, "left"))
+    full = points.groupBy(*cell_key).agg(F.sum("w").alias("cw"), F.min("pid").alias("owner"))
+    full = full.where(F.col("cw") >= min_samples).select(*cell_key, "owner")
+    flagged = materialize(points.join(full, cell_key, "left"))
     dense = flagged.where(F.col("owner").isNotNull())
     lone = flagged.where(F.col("owner").isNull())
+    dense_cells = materialize(
+        dense.groupBy(*cell_key, "owner").agg(
+            F.sum("w").alias("cw"), F.count(F.lit(1)).alias("cn"), F.min(F.struct("lat", "lon")).alias("at")
+        )
+    )
 
     zero = F.lit(0).cast("long")
     iy, ix = F.col("iy"), F.col("ix")
@@ -280,6 +283,8 @@ def dbscan(
         proven.append(facts)
         # a pair of dense cells needs one proof of contact, then it is settled
         unsettled = judged.where(F.col("open"))
+        if unsettled.isEmpty():
+            break
         settled = judged.where(F.col("touch") & F.col("a_dense")).select(
             F.col("a.owner").alias("_u"), F.col("b.owner").alias("_v")
         ).distinct()
@@ -320,10 +325,7 @@ def dbscan(
     rooted = materialize(
         members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     )
-    numbers = _number_clusters(rooted, group)
-    owners = materialize(
-        rooted.join(numbers, "root").select(F.col("node"), F.col("cluster_id"))
-    )
+    owners = rooted.join(_number_clusters(rooted, group), "root").select("node", "cluster_id")
 
     # border points: lowest cluster among the cores and dense cells they touch
     loose = contacts.where(~F.col("a_dense")).join(cores, F.col("u") == F.col("core"), "left_anti")
@@ -337,7 +339,7 @@ def dbscan(
         F.coalesce("is_core", F.lit(False)).alias("is_core"),
     )
     if small_group == "skip":
-        sizes = points.groupBy(*group).agg(F.sum("w").alias("_size")).where(F.col("_size") >= min_samples)
+        sizes = flagged.groupBy(*group).agg(F.sum("w").alias("_size")).where(F.col("_size") >= min_samples)
         big = sizes.select(*[F.col(g).alias(f"_{g}") for g in group])
         labels = labels.join(big, [f"_{g}" for g in group], "left_semi")
     on = [df[g] == F.col(f"_{g}") for g in group] + [df[lat] == F.col("_lat"), df[lon] == F.col("_lon")]
@@ -348,9 +350,13 @@ def dbscan(
 
 
 def _number_clusters(rooted: DataFrame, group: list[str]) -> DataFrame:
-    """(root, cluster_id): clusters of a group numbered from 0 by their root."""
+    """(root, cluster_id): clusters of a group numbered from 0 by their root.
+
+    A plain window per group serves while all members together are few (their count
+    comes from file footers); beyond that the numbering itself is spread out.
+    """
     roots = rooted.select(*group, "root").distinct()
-    if fits(roots, 200_000):
+    if rooted.count() <= WINDOW_ROWS:
         at = W.partitionBy(*group).orderBy("root")
         numbered = roots.withColumn("rn", F.row_number().over(at))
     else:

@@ -19,6 +19,7 @@ from placestats.operators.narrative import build_prompt, crime_reliability, desc
 from placestats.operators.ranking import dedupe
 from placestats.operators.series import first_forecast, monthly_series, yoy_recent
 from placestats.operators.spatial import assign_location, overlay_coordinates, spatial_join
+from placestats.session import broadcast_if_small, materialize
 
 MART_SCHEMA = {
     "incident_number": "string", "offense_code": "string", "offense_description": "string", "district": "string",
@@ -147,26 +148,28 @@ def load_incidents(mart: DataFrame, since: int = 2023, as_of: str | None = None)
     )
 
 
-def hotspots(incidents: DataFrame, id: str, stats=K.CRIME_STATS_SCALE, points=K.CRIME_MAP_SCALE, months: int = 12) -> tuple[DataFrame, DataFrame]:
-    """(cluster figures per area at the fine scale, labelled points at the coarse scale).
+def recent_incidents(incidents: DataFrame, months: int = 12, least: int = K.CRIME_STATS_SCALE[1]) -> DataFrame:
+    """Incidents of the last `months` months in areas with at least `least` located ones."""
+    recent = trailing_months(incidents, "crime_date", months).where(F.col("lat").isNotNull() & F.col("long").isNotNull())
+    sizes = recent.groupBy("neighborhood_name").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
+    return recent.join(broadcast_if_small(sizes.select("neighborhood_name")), "neighborhood_name", "left_semi")
 
-    Both runs use the last `months` months; areas with fewer rows than the fine
-    scale's minimum are skipped in both.
-    """
-    recent = trailing_months(incidents, "crime_date", months)
-    fine = dbscan(recent, "neighborhood_name", id, eps_km=stats[0], min_samples=stats[1], small_group="skip")
-    figures = cluster_stats(fine, "neighborhood_name").select(
+
+def hotspot_figures(recent: DataFrame, id: str, scale=K.CRIME_STATS_SCALE) -> DataFrame:
+    """Cluster figures per area at the fine scale; `recent` comes from `recent_incidents`."""
+    fine = dbscan(recent, "neighborhood_name", id, eps_km=scale[0], min_samples=scale[1])
+    return cluster_stats(fine, "neighborhood_name").select(
         "neighborhood_name",
         F.col("total").alias("total_crimes"),
         F.col("n_clusters").alias("n_hotspot_clusters"),
         F.col("clustered_pct").alias("hotspot_crime_share_pct"),
         F.col("noise_pct").alias("noise_crime_pct"),
     )
-    enough = figures.select("neighborhood_name")
-    coarse = dbscan(
-        recent.join(enough, "neighborhood_name", "left_semi"), "neighborhood_name", id, eps_km=points[0], min_samples=points[1]
-    )
-    return figures, cluster_points(coarse)
+
+
+def hotspot_points(recent: DataFrame, id: str, scale=K.CRIME_MAP_SCALE) -> DataFrame:
+    """Labelled points at the coarse, independent scale used for maps."""
+    return cluster_points(dbscan(recent, "neighborhood_name", id, eps_km=scale[0], min_samples=scale[1]))
 
 
 def cluster_points(labels: DataFrame) -> DataFrame:
@@ -197,9 +200,10 @@ def analyse(mart: DataFrame, id: str = "incident_id", since: int = 2023, as_of:
     rows = load_incidents(mart, since, as_of)
     series = monthly_series(rows, "neighborhood_name", "year_month")
     ahead = forecast(series, "neighborhood_name", model=model)
-    figures, points = hotspots(rows, id)
+    recent = materialize(recent_incidents(rows))
+    figures = hotspot_figures(recent, id)
     return {
-        "series": series, "forecast": ahead, "clusters": figures, "points": points,
+        "series": series, "forecast": ahead, "clusters": figures, "points": hotspot_points(recent, id),
         "narratives": narratives(series, ahead, figures),
     }
 
