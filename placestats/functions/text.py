@@ -84,7 +84,7 @@ def any_word(col: Column, words: list[str]) -> Column:
 
 
 def split_trim(col: Column, sep: str) -> Column:
-    return F.transform(F.split(col, re.escape(sep)), F.trim)
+    return F.transform(F.split(col, re.escape(sep)), lambda part: F.trim(part))
 
 
 def truncate_text(col: Column, n: int) -> Column:

@@ -90,68 +90,73 @@ def forecast_trend(series: DataFrame, group: str | Sequence[str], horizon: int =
 # --- seasonal ARIMA ---------------------------------------------------------
 
 
-def _poly(params: np.ndarray, sparams: np.ndarray, season: int, sign: float) -> np.ndarray:
-    """Coefficients of (1 + sign*sum a_i B^i)(1 + sign*sum s_j B^(j*season))."""
-    short = np.r_[1.0, sign * params]
-    long = np.zeros(len(sparams) * season + 1)
-    long[0] = 1.0
-    long[season :: season] = sign * sparams
-    return np.convolve(short, long)
-
-
-def _residuals(x: np.ndarray, ar: np.ndarray, ma: np.ndarray) -> np.ndarray:
-    """Innovations of ar(B) x = ma(B) e with zeros before the sample."""
-    e = np.convolve(x, ar)[: len(x)]
-    if len(ma) > 1:
-        lags = ma[:0:-1]
-        padded = np.zeros(len(lags) + len(x))
-        for t in range(len(x)):
-            padded[len(lags) + t] = e[t] - lags @ padded[t : t + len(lags)]
-        e = padded[len(lags) :]
+def _polys(theta: np.ndarray, order: tuple[int, int, int, int], season: int) -> tuple[np.ndarray, np.ndarray]:
+    """AR and MA lag polynomials, one row per parameter vector in `theta`."""
+    p, q, sp, sq = order
+    a, b, c, d = np.split(theta[:, : p + q + sp + sq], np.cumsum([p, q, sp]), axis=1)
+
+    def product(short: np.ndarray, seasonal: np.ndarray, sign: float) -> np.ndarray:
+        out = np.zeros((len(theta), short.shape[1] + seasonal.shape[1] * season + 1))
+        base = np.hstack([np.ones((len(theta), 1)), sign * short])
+        out[:, : base.shape[1]] = base
+        for j in range(seasonal.shape[1]):
+            at = (j + 1) * season
+            out[:, at : at + base.shape[1]] += sign * seasonal[:, j : j + 1] * base
+        return out
+
+    return product(a, c, -1.0), product(b, d, 1.0)
+
+
+def _errors(w: np.ndarray, theta: np.ndarray, order: tuple[int, int, int, int], season: int, mean: bool) -> np.ndarray:
+    """Innovations for every parameter vector at once, with zeros before the sample."""
+    ar, ma = _polys(theta, order, season)
+    x = w[None, :] - theta[:, -1:] if mean else np.repeat(w[None, :], len(theta), axis=0)
+    e = np.zeros_like(x)
+    for lag in range(min(ar.shape[1], x.shape[1])):
+        e[:, lag:] += ar[:, lag : lag + 1] * x[:, : x.shape[1] - lag]
+    back = ma.shape[1] - 1
+    if back:
+        lags = ma[:, :0:-1]
+        padded = np.zeros((len(theta), back + x.shape[1]))
+        for t in range(x.shape[1]):
+            padded[:, back + t] = e[:, t] - np.einsum("ij,ij->i", lags, padded[:, t : t + back])
+        e = padded[:, back:]
     return e
 
 
 def _fit_arma(w: np.ndarray, order: tuple[int, int, int, int], season: int, mean: bool):
     """Conditional least squares by damped Gauss-Newton; None when it breaks down."""
-    p, q, sp, sq = order
-    cuts = np.cumsum([p, q, sp, sq])
-
-    def unpack(theta: np.ndarray):
-        a, b, c, d = np.split(theta[: cuts[-1]], cuts[:-1])
-        return _poly(a, c, season, -1.0), _poly(b, d, season, 1.0)
-
-    def errors(theta: np.ndarray) -> np.ndarray:
-        ar, ma = unpack(theta)
-        return _residuals(w - (theta[-1] if mean else 0.0), ar, ma)
-
-    theta = np.full(cuts[-1] + mean, 0.1)
+    k = sum(order)
+    theta = np.full(k + mean, 0.1)
     if mean:
         theta[-1] = w.mean()
-    damp, e = 1e-2, errors(theta)
+    damp = 1e-2
+    e = _errors(w, theta[None, :], order, season, mean)[0]
     sse = e @ e
-    for _ in range(30):
+    for _ in range(25 if len(theta) else 0):
         steps = 1e-5 * np.maximum(1.0, np.abs(theta))
-        jac = np.column_stack([(errors(theta + h * u) - e) / h for h, u in zip(steps, np.eye(len(theta)))]) if len(theta) else None
-        if jac is None or not np.isfinite(jac).all():
+        shifted = _errors(w, theta[None, :] + np.diag(steps), order, season, mean)
+        jac = ((shifted - e) / steps[:, None]).T
+        if not np.isfinite(jac).all():
             break
         normal = jac.T @ jac
         move = np.linalg.solve(normal + damp * (np.diag(np.diag(normal)) + 1e-9 * np.eye(len(theta))), -jac.T @ e)
         trial = theta + move
-        trial[: cuts[-1]] = np.clip(trial[: cuts[-1]], -0.98, 0.98)
-        e_new = errors(trial)
+        trial[:k] = np.clip(trial[:k], -0.98, 0.98)
+        e_new = _errors(w, trial[None, :], order, season, mean)[0]
         new = e_new @ e_new
         if np.isfinite(new) and new < sse:
             gain, theta, e, sse, damp = (sse - new) / max(sse, 1e-12), trial, e_new, new, damp / 4
-            if gain < 1e-7:
+            if gain < 1e-6:
                 break
         else:
             damp *= 8
-            if damp > 1e8:
+            if damp > 1e6:
                 break
     if not np.isfinite(sse):
         return None
-    ar, ma = unpack(theta)
-    return ar, ma, (theta[-1] if mean else 0.0), e, len(theta)
+    ar, ma = _polys(theta[None, :], order, season)
+    return ar[0], ma[0], (theta[-1] if mean else 0.0), e, len(theta)
 
 
 def fit_sarima(y: np.ndarray, order: tuple[int, int, int, int, int, int], season: int, horizon: int):
@@ -295,12 +300,12 @@ def forecast_sarima(
     tries = packed.withColumn("o", F.explode(_candidates())).where(seasonal | (F.col("o.sp") + F.col("o.sq") == 0))
     parts = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tries = tries.repartition(parts, *keys, "o")
-    fits = tries.withColumn("f", fit("ys", "o.p", "o.q", "o.sp", "o.sq")).where(F.col("f.aic").isNotNull())
+    fits = tries.withColumn("f", fit("ys", "o.p", "o.q", "o.sp", "o.sq"))
     chosen = F.min_by(
         F.struct("f", "o", "last_month", seasonal.alias("seasonal")),
-        F.struct(F.col("f.aic"), F.col("o.p"), F.col("o.q"), F.col("o.sp"), F.col("o.sq")),
+        F.when(F.col("f.aic").isNotNull(), F.struct(F.col("f.aic"), F.col("o.p"), F.col("o.q"), F.col("o.sp"), F.col("o.sq"))),
     )
-    best = fits.groupBy(*keys).agg(chosen.alias("b"))
+    best = fits.groupBy(*keys).agg(chosen.alias("b")).where(F.col("b").isNotNull())
     label = F.format_string(
         "(%d, %d, %d)(%d, %d, %d, %d)", F.col("b.o.p"), F.col("b.f.d"), F.col("b.o.q"), F.col("b.o.sp"),
         F.col("b.seasonal").cast("int"), F.col("b.o.sq"), F.when(F.col("b.seasonal"), F.lit(season)).otherwise(F.lit(0)),

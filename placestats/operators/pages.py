@@ -209,7 +209,7 @@ def extract_headings(pages: DataFrame, tag: str, html: str = "html", keep: Seque
     """Text of every `tag` heading with its position on the page; markup stripped."""
     found = F.regexp_extract_all(F.col(html), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
     rows = pages.select(*keep, F.posexplode(found).alias("pos", "_inner"))
-    pieces = F.transform(F.split("_inner", r"<[^>]*>"), F.trim)
+    pieces = F.transform(F.split("_inner", r"<[^>]*>"), lambda p: F.trim(p))
     text = F.array_join(F.filter(pieces, lambda p: p != ""), "")
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))

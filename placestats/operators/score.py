@@ -19,6 +19,7 @@ from placestats.constants import (
 )
 from placestats.functions.numbers import clamp, safe_ratio, share_pct
 from placestats.functions.rules import grade
+from placestats.session import materialize
 
 
 def health_components(df: DataFrame) -> DataFrame:
@@ -61,15 +62,15 @@ def health_components(df: DataFrame) -> DataFrame:
 def min_max(df: DataFrame, cols: list[str]) -> DataFrame:
     """Scale columns to 0..100 over the whole frame; a constant column becomes 0.
 
-    The extremes are one row of scalars, computed once and read as subqueries.
+    All extremes come from one pass as a single scalar row.
     """
+    extremes = df.agg(F.struct(*[f(c).alias(f"{n}_{c}") for c in cols for f, n in ((F.min, "lo"), (F.max, "hi"))]).alias("x"))
     out = {}
     for c in cols:
-        lo, hi = df.agg(F.min(c)).scalar(), df.agg(F.max(c)).scalar()
-        out[c] = F.when(F.col(c).isNull(), F.lit(None).cast("double")).when(hi > lo, (F.col(c) - lo) / (hi - lo) * 100).otherwise(
-            F.lit(0.0)
-        )
-    return df.withColumns(out)
+        lo, hi = F.col(f"_x.lo_{c}"), F.col(f"_x.hi_{c}")
+        scaled = F.when(hi > lo, (F.col(c) - lo) / (hi - lo) * 100).otherwise(F.lit(0.0))
+        out[c] = F.when(F.col(c).isNotNull(), scaled)
+    return df.withColumn("_x", extremes.scalar()).withColumns(out).drop("_x")
 
 
 def weighted_penalty(signals: Mapping[str, Column], redistribute: bool = True) -> Column:
@@ -89,9 +90,12 @@ def weighted_penalty(signals: Mapping[str, Column], redistribute: bool = True) -
 
 
 def safety_score(df: DataFrame, redistribute: bool = True) -> DataFrame:
-    """Score and grade from the six signals, min-max scaled over all areas."""
+    """Score and grade from the six signals, min-max scaled over all areas.
+
+    The signals (one row per area) are written out first, as they are read twice.
+    """
     names = list(SAFETY_WEIGHTS)
-    scaled = min_max(df, names)
+    scaled = min_max(materialize(df), names)
     score = F.round(weighted_penalty({n: F.col(n) for n in names}, redistribute), 1)
     out = scaled.withColumn("safety_score", clamp(score, 0.0, 100.0))
     return out.withColumn("safety_grade", grade(F.col("safety_score"), SAFETY_GRADES, SAFETY_GRADE_LOW))
