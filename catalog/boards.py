@@ -86,10 +86,10 @@ def _(t):
 
 @query(
     "points_with_street",
-    """SELECT p.neighborhood_name, p.lat, p.long, p.cluster_id, p.is_noise, p.crime_date, s.street, p.crime_description FROM (
+    """SELECT p.neighborhood_name, p.lat, p.long, p.cluster_id, p.is_noise, p.crime_date, s.street FROM (
          SELECT * FROM (SELECT m.neighborhood_name, m.lat, m.long, m.cluster_id, m.is_noise, strftime(l.occurred_on_date, '%Y-%m-%d') AS crime_date,
-           l.offense_description AS crime_description, row_number() OVER (PARTITION BY m.lat, m.long, strftime(l.occurred_on_date, '%Y-%m-%d') ORDER BY m.cluster_id, m.is_noise, l.offense_description) AS rn
-           FROM m_label m JOIN (SELECT DISTINCT load_seq, occurred_on_date, offense_description FROM located) l ON m.id = l.load_seq
+           row_number() OVER (PARTITION BY m.lat, m.long, strftime(l.occurred_on_date, '%Y-%m-%d') ORDER BY m.cluster_id, m.is_noise) AS rn
+           FROM m_label m JOIN (SELECT DISTINCT load_seq, occurred_on_date FROM located) l ON m.id = l.load_seq
            JOIN big b ON m.neighborhood_name = b.neighborhood_name) WHERE rn = 1) p
        LEFT JOIN (SELECT lat, long, strftime(occurred_on_date, '%Y-%m-%d') AS d, arg_max(street, load_seq) AS street FROM located GROUP BY 1, 2, 3) s
        ON p.lat = s.lat AND p.long = s.long AND p.crime_date = s.d""",
@@ -102,7 +102,7 @@ def _(t):
 )
 def _(t):
     labelled = crime.hotspot_points(recent(t), "load_seq", MAP)
-    return board.points_with_street(labelled, located_incidents(t))
+    return board.points_with_street(labelled, located_incidents(t)).drop("crime_description")
 
 
 @query(

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from placestats.functions.nested import let
+
 GEOM_TYPE = "array<array<array<struct<x:double,y:double>>>>"
 EDGE_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 NUMBER = r"[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?"
@@ -70,15 +72,17 @@ def geom_to_geojson(geom: Column) -> Column:
 
 def ring_edges(ring: Column) -> Column:
     """Edges of one ring, closed if its last point is not its first."""
-    closed = F.when(
-        F.element_at(ring, 1) == F.element_at(ring, -1), ring
-    ).otherwise(F.concat(ring, F.slice(ring, 1, 1)))
-    n = F.greatest(F.size(closed) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(closed, F.lit(1), n),
-        F.slice(closed, F.lit(2), n),
-        lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")),
-    )
+
+    def pair_up(points: Column) -> Column:
+        n = F.greatest(F.size(points) - 1, F.lit(0))
+        return F.zip_with(
+            F.slice(points, F.lit(1), n),
+            F.slice(points, F.lit(2), n),
+            lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")),
+        )
+
+    is_closed = F.element_at(ring, 1) == F.element_at(ring, -1)
+    return let(F.when(is_closed, ring).otherwise(F.concat(ring, F.slice(ring, 1, 1))), pair_up)
 
 
 def geom_edges(geom: Column) -> Column:
@@ -109,49 +113,51 @@ def contains(edges: Column, x: Column, y: Column) -> Column:
 def centroid(geom: Column, digits: int | None = 6) -> Column:
     """Area-weighted centroid as struct<x,y>; holes count negative."""
 
-    def moments(ring: Column, sign: float) -> Column:
+    def triple(a: Column, mx: Column, my: Column) -> Column:
+        return F.struct(a.alias("a"), mx.alias("mx"), my.alias("my"))
+
+    zero = triple(F.lit(0.0), F.lit(0.0), F.lit(0.0))
+
+    def moments(ring: Column, sign: Column) -> Column:
         # relative to the first point, which keeps the sums well conditioned
-        ox, oy = ring[0]["x"], ring[0]["y"]
+        origin = F.element_at(ring, 1)
 
         def step(acc: Column, e: Column) -> Column:
-            ax, ay, bx, by = e["x1"] - ox, e["y1"] - oy, e["x2"] - ox, e["y2"] - oy
-            cross = ax * by - bx * ay
-            return F.struct(
-                (acc["a"] + cross / 2).alias("a"),
-                (acc["mx"] + (ax + bx) * cross / 6).alias("mx"),
-                (acc["my"] + (ay + by) * cross / 6).alias("my"),
+            ax, ay, bx, by = e["x1"] - origin["x"], e["y1"] - origin["y"], e["x2"] - origin["x"], e["y2"] - origin["y"]
+            return let(
+                ax * by - bx * ay,
+                lambda cross: triple(acc["a"] + cross / 2, acc["mx"] + (ax + bx) * cross / 6, acc["my"] + (ay + by) * cross / 6),
             )
 
-        zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-        total = F.aggregate(ring_edges(ring), zero, step)
-        turn = F.signum(total["a"]) * sign
-        return F.struct(
-            (total["a"] * turn).alias("a"),
-            ((total["mx"] + total["a"] * ox) * turn).alias("mx"),
-            ((total["my"] + total["a"] * oy) * turn).alias("my"),
-        )
-
-    per_ring = F.flatten(
-        F.transform(
-            geom,
-            lambda poly: F.transform(
-                poly, lambda ring, i: F.when(i == 0, moments(ring, 1.0)).otherwise(moments(ring, -1.0))
+        return F.aggregate(
+            ring_edges(ring),
+            zero,
+            step,
+            lambda t: let(
+                F.signum(t["a"]) * sign,
+                lambda turn: triple(
+                    t["a"] * turn, (t["mx"] + t["a"] * origin["x"]) * turn, (t["my"] + t["a"] * origin["y"]) * turn
+                ),
             ),
         )
-    )
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-    total = F.aggregate(
-        per_ring,
+
+    def of_polygon(poly: Column) -> Column:
+        rings = F.filter(poly, lambda r: F.size(r) > 0)
+        return F.transform(rings, lambda ring, i: moments(ring, F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0))))
+
+    def finish(t: Column) -> Column:
+        area = F.nullif(t["a"], F.lit(0.0))
+        x, y = t["mx"] / area, t["my"] / area
+        if digits is not None:
+            x, y = F.round(x, digits), F.round(y, digits)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    return F.aggregate(
+        F.flatten(F.transform(geom, of_polygon)),
         zero,
-        lambda acc, m: F.struct(
-            (acc["a"] + m["a"]).alias("a"), (acc["mx"] + m["mx"]).alias("mx"), (acc["my"] + m["my"]).alias("my")
-        ),
+        lambda acc, m: triple(acc["a"] + m["a"], acc["mx"] + m["mx"], acc["my"] + m["my"]),
+        finish,
     )
-    area = F.nullif(total["a"], F.lit(0.0))
-    x, y = total["mx"] / area, total["my"] / area
-    if digits is not None:
-        x, y = F.round(x, digits), F.round(y, digits)
-    return F.struct(x.alias("x"), y.alias("y"))
 
 
 def segments_touch(a: Column, b: Column, tol: float = 1e-12) -> Column:

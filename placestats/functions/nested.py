@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Name an expression that the body uses several times, so it is evaluated once."""
+    return F.transform(F.array(value), lambda v: body(v))[0]
+
+
 def get_or(arr: Column, i: Column | int, default: Column) -> Column:
     """Element `i` (from 0) or `default` when out of range."""
     return F.coalesce(F.get(arr, i if isinstance(i, Column) else F.lit(i)), default)

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placestats.functions.text import norm_text
-from placestats.session import broadcast_if_small
 
 
 def lookup(
@@ -26,8 +25,7 @@ def lookup(
     """Add dimension columns (`{dim column: new name}`) by one key.
 
     `norm` compares trimmed upper-case text, `only_when` limits the left rows that
-    may match, `defaults` fill what found no partner. The dimension is broadcast
-    when its size allows.
+    may match, `defaults` fill what found no partner.
     """
     shape = norm_text if norm else (lambda c: c)
     side = dim.select(
@@ -36,7 +34,7 @@ def lookup(
     on = shape(F.col(key)) == F.col("_k")
     if only_when is not None:
         on = on & only_when
-    out = df.join(broadcast_if_small(side), on, how).drop("_k")
+    out = df.join(side, on, how).drop("_k")
     defaults = defaults or {}
     filled = {
         name: F.coalesce(F.col(f"_d_{name}"), F.lit(defaults[name])) if name in defaults else F.col(f"_d_{name}")

@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 from placestats.functions.geometry import bbox, centroid, contains, geom_edges, segments_touch
 from placestats.functions.text import norm_text
 from placestats.operators.ranking import number_rows
-from placestats.session import broadcast_if_small
+from placestats.session import materialize
 
 
 def suggest_cell(polygons: DataFrame, geom: str = "geometry") -> float:
     """An eighth of the mean polygon extent: one number from the (small) polygon table."""
-    box = bbox(geom_edges(F.col(geom)))
-    extent = F.greatest(box["max_x"] - box["min_x"], box["max_y"] - box["min_y"])
-    mean = polygons.agg(F.avg(extent)).first()[0]
+    edges = polygons.select(geom_edges(F.col(geom)).alias("e"))
+    boxes = edges.select(*[c.alias(k) for k, c in bbox(F.col("e")).items()])
+    extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
+    mean = boxes.agg(F.avg(extent)).first()[0]
     return (mean or 1.0) / 8
 
 
@@ -78,7 +79,8 @@ def spatial_join(
     carry = carry or {"location_id": "location_id"}
     cell = cell or suggest_cell(polygons, geom)
     small = polygons.select(*[F.col(k).alias(f"_p_{v}") for k, v in carry.items()], geom)
-    cells = cover_cells(small, geom, cell).drop(geom)
+    # written out once: its true size decides whether it is broadcast
+    cells = materialize(cover_cells(small, geom, cell).drop(geom))
     cells = cells.withColumnsRenamed({"_cx": "_pcx", "_cy": "_pcy"})
 
     usable = F.col(lon).isNotNull() & F.col(lat).isNotNull()
@@ -97,7 +99,7 @@ def spatial_join(
         & (F.col("_cy") == F.col("_pcy"))
         & (F.col("_inside") | contains(F.col("_edges"), F.col(lon), F.col(lat)))
     )
-    joined = located.join(broadcast_if_small(cells), hit, how)
+    joined = located.join(cells, hit, how)
     if one_match:
         if not point_key:
             raise ValueError("one_match needs point_key, the columns that identify a point")
@@ -134,7 +136,7 @@ def resolve_location(
             F.col("neighborhood_name").alias("_c_name"),
             F.col("city").alias("_c_city"),
         )
-        out = out.join(broadcast_if_small(by_city), norm_text(F.col(city)) == F.col("_c_key"), "left")
+        out = out.join(by_city, norm_text(F.col(city)) == F.col("_c_key"), "left")
         ids.append(F.col("_c_id"))
         names.append(F.col("_c_name"))
         towns.append(F.col("_c_city"))
@@ -241,8 +243,8 @@ def spatial_bin(df: DataFrame, digits: int = 2, lat: str = "lat", lon: str = "lo
 
 def with_centroid(df: DataFrame, geom: str = "geometry") -> DataFrame:
     """Adds centroid_lat and centroid_long rounded to six digits."""
-    at = centroid(F.col(geom))
-    return df.withColumns({"centroid_lat": at["y"], "centroid_long": at["x"]})
+    placed = df.withColumn("_c", centroid(F.col(geom)))
+    return placed.withColumns({"centroid_lat": F.col("_c.y"), "centroid_long": F.col("_c.x")}).drop("_c")
 
 
 def assign_ids(sources: list[DataFrame], order: str, id_col: str = "location_id") -> DataFrame:

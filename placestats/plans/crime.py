@@ -19,7 +19,7 @@ from placestats.operators.narrative import build_prompt, crime_reliability, desc
 from placestats.operators.ranking import dedupe
 from placestats.operators.series import first_forecast, monthly_series, yoy_recent
 from placestats.operators.spatial import assign_location, overlay_coordinates, spatial_join
-from placestats.session import broadcast_if_small, materialize
+from placestats.session import materialize
 
 MART_SCHEMA = {
     "incident_number": "string", "offense_code": "string", "offense_description": "string", "district": "string",
@@ -152,7 +152,7 @@ def recent_incidents(incidents: DataFrame, months: int = 12, least: int = K.CRIM
     """Incidents of the last `months` months in areas with at least `least` located ones."""
     recent = trailing_months(incidents, "crime_date", months).where(F.col("lat").isNotNull() & F.col("long").isNotNull())
     sizes = recent.groupBy("neighborhood_name").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
-    return recent.join(broadcast_if_small(sizes.select("neighborhood_name")), "neighborhood_name", "left_semi")
+    return recent.join(sizes.select("neighborhood_name"), "neighborhood_name", "left_semi")
 
 
 def hotspot_figures(recent: DataFrame, id: str, scale=K.CRIME_STATS_SCALE) -> DataFrame:

@@ -1,4 +1,10 @@
-"""Session settings, lineage cuts and the size check that guards every broadcast."""
+"""Session settings, lineage cuts and size checks.
+
+No operator hints a broadcast. Small sides are broadcast by Spark's own size check
+(`spark.sql.autoBroadcastJoinThreshold`, from file sizes when planning and from true
+sizes in adaptive execution); larger ones shuffle on their keys, and adaptive skew
+joins split the hot keys.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +12,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,12 +63,3 @@ def materialize(df: DataFrame) -> DataFrame:
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Does `df` hold at most `max_rows` rows? Reads no more than it needs to tell."""
     return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only when the row count proves small.
-
-    Beyond the bound the frame is returned as it is, so the join shuffles on its
-    keys and adaptive execution splits the skewed ones.
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df

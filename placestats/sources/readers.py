@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from placestats.constants import CSV_NULL_TOKENS, GREATER_CITIES, NAME_FALLBACKS
 from placestats.functions.geometry import geojson_to_geom
-from placestats.session import broadcast_if_small
 
 
 def _strings(names: Sequence[str]) -> T.StructType:
@@ -148,7 +147,7 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     starts = lines.where(F.col("block") == 0).groupBy("file").agg(F.min("id").alias("start"))
     index = F.when(F.col("block") == 0, F.col("id") - F.col("start"))
-    return lines.join(broadcast_if_small(starts), "file").select("file", "value", index.alias("i"))
+    return lines.join(starts, "file").select("file", "value", index.alias("i"))
 
 
 def read_multiheader_csv(
