@@ -34,11 +34,13 @@ def round_half_even(col: Column, digits: int = 0) -> Column:
 
 
 def clamp(col: Column, lo: float | None = None, hi: float | None = None) -> Column:
+    """Keep a value within bounds; null stays null (GREATEST and LEAST alone skip it)."""
+    out = col
     if lo is not None:
-        col = F.greatest(col, F.lit(lo))
+        out = F.greatest(out, F.lit(lo))
     if hi is not None:
-        col = F.least(col, F.lit(hi))
-    return col
+        out = F.least(out, F.lit(hi))
+    return F.when(col.isNotNull(), out)
 
 
 def safe_ratio(num: Column, den: Column, scale: float = 1.0, default: float | None = 0.0) -> Column:
@@ -64,4 +66,4 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     half_lat = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
     half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
     chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.asin(F.sqrt(F.least(chord, F.lit(1.0)))) * F.lit(2 * EARTH_KM)
+    return F.asin(F.sqrt(clamp(chord, hi=1.0))) * F.lit(2 * EARTH_KM)

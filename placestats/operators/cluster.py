@@ -29,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placestats.constants import EARTH_KM
+from placestats.functions.nested import let
 from placestats.functions.numbers import haversine_km, share_pct
 from placestats.operators.ranking import number_rows
 from placestats.operators.spatial import spatial_bin
@@ -90,22 +91,38 @@ class _Grid:
     def around(self, iy: Column, ix: Column) -> Column:
         """All cells that may hold a point within the radius of some point of this cell."""
         lat_far = F.greatest(F.abs(iy * self.height - 90.0), F.abs((iy + 1) * self.height - 90.0))
-        sine = F.lit(math.sin(self.eps / EARTH_KM)) / F.greatest(F.cos(F.radians(F.least(lat_far, F.lit(90.0)))), F.lit(1e-12))
-        swing = F.when(
-            (lat_far + self.reach >= 90.0) | (sine >= 1.0), F.lit(360.0)
-        ).otherwise(F.degrees(F.asin(F.least(sine, F.lit(1.0)))) * (1 + 1e-6))
-        start, stop = ix * self.width(iy), (ix + 1) * self.width(iy)
+        cosine = F.cos(F.radians(F.least(lat_far, F.lit(90.0))))
+        sine = F.lit(math.sin(self.eps / EARTH_KM)) / F.greatest(cosine, F.lit(1e-12))
+        swing = F.when((lat_far + self.reach >= 90.0) | (sine >= 1.0), F.lit(360.0)).otherwise(
+            F.degrees(F.asin(F.least(sine, F.lit(1.0)))) * (1 + 1e-6)
+        )
+        span = F.struct((ix * self.width(iy) - swing).alias("a"), ((ix + 1) * self.width(iy) + swing).alias("b"))
         steps = math.ceil(self.reach / self.height)
+        rows = F.sequence(iy - steps, iy + steps)
 
-        def row_cells(dy: Column) -> Column:
-            ny = iy + dy
-            lo = F.floor((start - swing) / self.width(ny))
-            hi = F.least(F.floor((stop + swing) / self.width(ny)), lo + self.columns(ny) - 1)
+        def cells(span: Column, ny: Column, n: Column) -> Column:
+            first, last = F.floor(span["a"] * n / 360.0), F.floor(span["b"] * n / 360.0)
             return F.transform(
-                F.sequence(lo, hi), lambda nx: F.struct(ny.alias("ky"), F.pmod(nx, self.columns(ny)).alias("kx"))
+                F.sequence(first, F.least(last, first + n - 1)),
+                lambda nx: F.struct(ny.alias("ky"), F.pmod(nx, n).alias("kx")),
             )
 
-        return F.flatten(F.transform(F.sequence(F.lit(-steps).cast("long"), F.lit(steps).cast("long")), row_cells))
+        def row_cells(span: Column) -> Column:
+            return F.transform(rows, lambda ny: let(self.columns(ny), lambda n: cells(span, ny, n)))
+
+        return F.flatten(let(span, row_cells))
+
+
+def _star_round(edges: DataFrame) -> DataFrame:
+    """One large-star and one small-star step over (greater, lesser) edges."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    low = large.groupBy("u").agg(F.min("v").alias("m"))
+    small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+        low.select("u", F.col("m").alias("v"))
+    )
+    return small.where(F.col("u") != F.col("v")).distinct()
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -116,17 +133,9 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     ends when the edges form stars: every node has one edge, to a node without any.
     """
     ends = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
-    cur = materialize(ends.where(F.col("u") != F.col("v")).distinct())
+    cur = materialize(_star_round(materialize(ends.where(F.col("u") != F.col("v")).distinct())))
     while not _all_stars(cur):
-        both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where(F.col("u") != F.col("v"))
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            low.select("u", F.col("m").alias("v"))
-        )
-        cur = materialize(small.where(F.col("u") != F.col("v")).distinct())
+        cur = materialize(_star_round(cur))
     roots = cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 

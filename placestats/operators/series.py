@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from placestats.constants import HORIZON, MAPE_CAP, MIN_MONTHS
 from placestats.functions.dates import month_of
+from placestats.functions.numbers import clamp
 from placestats.functions.rules import trend_class
 
 
@@ -88,7 +89,7 @@ def split_holdout(series: DataFrame, group: str | Sequence[str], holdout: int =
 def mape(actual: Column, predicted: Column, cap: float = MAPE_CAP) -> Column:
     """Aggregate: mean absolute percentage error, capped, two digits half-even."""
     err = F.avg(F.abs((actual - predicted) / (actual + F.lit(1e-9)))) * 100
-    return F.bround(F.least(err, F.lit(cap)), 2)
+    return F.bround(clamp(err, hi=cap), 2)
 
 
 def backtest(series: DataFrame, group: str | Sequence[str], model, holdout: int = HORIZON, min_months: int = MIN_MONTHS) -> DataFrame:
