@@ -61,9 +61,14 @@ def fill_sentinel(df: DataFrame, values: dict) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()})
 
 
+def arc_km(chord: Column) -> Column:
+    """Kilometres on the sphere of a squared half-chord (the haversine)."""
+    return F.asin(F.sqrt(F.least(chord, F.lit(1.0)))) * F.lit(2 * EARTH_KM)
+
+
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in kilometres on a sphere."""
     half_lat = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
     half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
     chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.asin(F.sqrt(clamp(chord, hi=1.0))) * F.lit(2 * EARTH_KM)
+    return F.when(chord.isNotNull(), arc_km(chord))

@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 
 from placestats.constants import EARTH_KM
 from placestats.functions.nested import let
-from placestats.functions.numbers import haversine_km, share_pct
+from placestats.functions.numbers import arc_km, share_pct
 from placestats.operators.ranking import number_rows
 from placestats.operators.spatial import spatial_bin
-from placestats.session import materialize
+from placestats.session import materialize, spread
 
 SLACK = 1e-3  # relative shrink of the cell side; covers curvature and rounding
 SPLIT = 4  # children per side when a summary is split
@@ -158,11 +158,13 @@ def _distinct_points(df: DataFrame, group: Sequence[str], id_col: str, lat: str,
     )
 
 
-def _node(n: Column, w: Column, lat: Column, lon: Column, spread: Column, owner: Column, **cell: Column) -> Column:
+def _node(n: Column, w: Column, lat: Column, lon: Column, reach: Column, owner: Column, **cell: Column) -> Column:
     """A summary: `n` points of total weight `w`, one of them at (lat, lon), the others
-    no farther from it than `spread`; `owner` is the point or dense cell it belongs to."""
-    far = F.when(n > 1, spread).otherwise(F.lit(0.0))
-    parts = {"owner": owner, "n": n, "w": w, "lat": lat, "lon": lon, "far": far, **cell}
+    no farther from it than `reach`; `owner` is the point or dense cell it belongs to.
+    The position is kept in radians with its cosine, ready for many distances."""
+    far = F.when(n > 1, reach).otherwise(F.lit(0.0))
+    at = {"phi": F.radians(lat), "lam": F.radians(lon), "cos": F.cos(F.radians(lat))}
+    parts = {"owner": owner, "n": n, "w": w, "far": far, **at, **cell}
     return F.struct(*[c.alias(k) for k, c in parts.items()])
 
 
@@ -192,15 +194,12 @@ def _children(dense: DataFrame, parents: DataFrame, group: list[str], grid: _Gri
 
 def _split_side(pairs: DataFrame, side: str, kids: DataFrame, group: list[str]) -> DataFrame:
     """Replace the summaries on one side by their children; single points stay."""
-    single = pairs.where(F.col(f"{side}.n") == 1)
-    many = pairs.where(F.col(f"{side}.n") > 1)
-    on = [pairs[g].eqNullSafe(kids[g]) for g in group] + [
-        F.col(f"{side}.{k}") == kids[k] for k in ("iy", "ix", "sy", "sx")
-    ]
-    split = many.join(kids, reduce(lambda p, q: p & q, on)).select(
-        *[many[c] for c in many.columns if c != side], F.col("child").alias(side)
-    )
-    return single.unionByName(split.select(*single.columns))
+    cell = ("iy", "ix", "sy", "sx")
+    found = kids.select(*[F.col(c).alias(f"_{c}") for c in (*group, *cell, "child")])
+    on = [F.col(g) == F.col(f"_{g}") for g in group]
+    on += [F.when(F.col(f"{side}.n") > 1, F.col(f"{side}.{k}")) == F.col(f"_{k}") for k in cell]
+    split = pairs.join(found, reduce(lambda p, q: p & q, on), "left")
+    return split.withColumn(side, F.coalesce("_child", side)).select(*pairs.columns)
 
 
 def _judge(pairs: DataFrame, eps: float) -> DataFrame:
@@ -210,7 +209,8 @@ def _judge(pairs: DataFrame, eps: float) -> DataFrame:
     inner: every point of b is within the radius of the single point a.
     open: neither proven nor ruled out.
     """
-    d = haversine_km(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon"))
+    half_lat, half_lon = F.sin((F.col("b.phi") - F.col("a.phi")) / 2), F.sin((F.col("b.lam") - F.col("a.lam")) / 2)
+    d = arc_km(half_lat * half_lat + F.col("a.cos") * F.col("b.cos") * half_lon * half_lon)
     far = F.col("a.far") + F.col("b.far")
     judged = pairs.withColumn("d", d).where(F.col("d") <= eps * (1 + 1e-9) + far)
     inner = F.when(far == 0, F.col("d") <= eps).otherwise(F.col("d") + far <= eps * (1 - 1e-9))
@@ -264,6 +264,7 @@ def dbscan(
         F.lit(1).cast("long"), F.col("w"), F.col("lat"), F.col("lon"), F.lit(0.0),
         F.col("pid"), iy=iy, ix=ix, sy=zero, sx=zero,
     )
+    rows = flagged.count()
     seekers = lone.select(*group, lone_node.alias("a"), F.lit(False).alias("a_dense"), "iy", "ix").unionByName(
         dense_cells.select(*group, cell_node.alias("a"), F.lit(True).alias("a_dense"), "iy", "ix")
     )
@@ -272,7 +273,7 @@ def dbscan(
     ).unionByName(
         dense_cells.select(*group, cell_node.alias("b"), F.lit(True).alias("b_dense"), iy.alias("ky"), ix.alias("kx"))
     )
-    reach = seekers.withColumn("k", F.explode(grid.around(iy, ix))).select(
+    reach = spread(seekers, rows).withColumn("k", F.explode(grid.around(iy, ix))).select(
         *group, "a", "a_dense", F.col("k.ky").alias("ky"), F.col("k.kx").alias("kx")
     )
     # every unordered pair once, except that a lone point counts its neighbours itself
@@ -302,8 +303,6 @@ def dbscan(
             F.col("a_dense") & (F.col("a.owner") == F.col("_u")) & (F.col("b.owner") == F.col("_v")),
             "left_anti",
         ).select(*group, "a", "a_dense", "b", "b_dense")
-        if unsettled.isEmpty():
-            break
         parents = reduce(
             DataFrame.unionByName,
             [

@@ -35,11 +35,12 @@ def trailing_months(df: DataFrame, ts: str, n: int = 12, as_of: str | None = Non
     The newest row is a scalar subquery over the one column, whose value is pushed
     into the scan like a literal.
     """
+    kind = df.schema[ts].dataType
     if as_of is None:
-        last = df.agg(F.max(F.col(ts).cast("date")).alias("last")).scalar()
+        start = df.agg(F.add_months(F.max(F.col(ts).cast("date")), -n).cast(kind)).scalar()
     else:
-        last = F.lit(as_of).cast("date")
-    return df.where(F.col(ts) >= F.add_months(last, -n).cast("timestamp_ntz"))
+        start = F.add_months(F.lit(as_of).cast("date"), -n).cast(kind)
+    return df.where(F.col(ts) >= start)
 
 
 def in_box(lat: Column, lon: Column, box: tuple[float, float, float, float] = METRO_BOX) -> Column:

@@ -16,12 +16,12 @@ def newer_than(source: DataFrame, target: DataFrame | None, ts: str) -> DataFram
     """Rows later than the newest row of `target`; all rows on a first run.
 
     Older arrivals are dropped for good. The mark is a scalar subquery over one
-    column, answered mostly from file statistics and pushed into the source scan.
+    column, and its bare value is what the source scan gets as a filter.
     """
     if target is None:
         return source
-    mark = target.agg(F.max(ts).alias("mark")).scalar()
-    return source.where(mark.isNull() | (F.col(ts) > mark))
+    earliest = F.lit("0001-01-01 00:00:00").cast(target.schema[ts].dataType)
+    return source.where(F.col(ts) > target.agg(F.coalesce(F.max(ts), earliest)).scalar())
 
 
 def incremental(
