@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_own_dirs: dict[str, str] = {}
+
 
 def build_session(app: str = "placestats", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings the operators assume; `extra` wins over them."""
@@ -43,9 +45,10 @@ def scratch_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="placestats-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.conf.get("spark.app.id", "local")
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="placestats-")
+    return _own_dirs[app]
 
 
 def materialize(df: DataFrame) -> DataFrame:
