@@ -6,11 +6,12 @@ from catalog import query
 from catalog.sqltext import CLEAN_FACILITY, CLEAN_INCIDENT, CLEAN_NEEDS, CLEAN_STORE, STORE_NEEDS, clean
 from placestats.fixtures import AS_OF, ORDERS_AS_OF, Tables
 from placestats.functions.dates import fmt_ts, month_name, month_of, shift_months
-from placestats.functions.nested import json_path
+from placestats.functions.nested import explode_pos, json_path
 from placestats.functions.numbers import clamp, flag_eq, parse_number, round_half_even, round_half_up, safe_ratio
 from placestats.functions.text import (
-    any_like, concat_strict, fixed, humanize, normalize_blank_runs, norm_text, squeeze_ws, truncate_text,
+    any_like, concat_strict, fixed, humanize, normalize_blank_runs, norm_text, squeeze_ws,
 )
+from placestats.operators.aggregates import upper_columns
 from placestats.operators.filters import complete_months, drop_future, in_box, since_year, trailing_months
 from placestats.operators.joins import lookup, update_where
 from placestats.operators.ranking import dedupe
@@ -145,7 +146,7 @@ def _(t):
 @query(
     "text_functions",
     r"""SELECT doc_id, CAST(length(regexp_replace(text, '\s+', ' ', 'g')) AS INTEGER) AS squeezed_length,
-        substr(text, 1, 10000) AS cut_text, lower(replace(upper(source), '_', ' ')) AS source_words,
+        lower(replace(upper(source), '_', ' ')) AS source_words,
         regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, chr(13) || chr(10), chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'),
           '[ \t]{2,}', ' ', 'g'), '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g') AS blank_runs,
         coalesce(text LIKE '%the%' OR text LIKE '%der%', FALSE) AS has_article,
@@ -158,7 +159,6 @@ def _(t):
     return t.documents.select(
         "doc_id",
         F.length(squeeze_ws(text)).alias("squeezed_length"),
-        truncate_text(text, 10_000).alias("cut_text"),
         humanize(F.upper("source")).alias("source_words"),
         normalize_blank_runs(text).alias("blank_runs"),
         F.coalesce(any_like(text, ["%the%", "%der%"]), F.lit(False)).alias("has_article"),
@@ -230,3 +230,18 @@ def _(t):
     return t.fx_incident.groupBy("district").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(in_box(F.col("lat"), F.col("long"))).alias("n_inside")
     )
+
+
+@query(
+    "explode_words",
+    """SELECT p_partkey, CAST(i - 1 AS INTEGER) AS pos, words[i] AS word FROM (
+       SELECT p_partkey, words, unnest(range(1, len(words) + 1)) AS i FROM (SELECT p_partkey, string_split(p_name, ' ') AS words FROM part))""",
+)
+def _(t):
+    rows = t.part.select("p_partkey", F.split("p_name", " ").alias("words"))
+    return explode_pos(rows, "words", "word")
+
+
+@query("upper_columns", 'SELECT s_suppkey AS "S_SUPPKEY", s_name AS "S_NAME", s_acctbal AS "S_ACCTBAL" FROM supplier')
+def _(t):
+    return upper_columns(t.supplier.select("s_suppkey", "s_name", "s_acctbal"))

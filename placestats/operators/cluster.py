@@ -39,6 +39,7 @@ SLACK = 1e-3  # relative shrink of the cell side; covers curvature and rounding
 SPLIT = 4  # children per side when a summary is split
 LEAF = 48  # summaries of at most this many points split straight into points
 DEEPEST = 8  # after this level (cells of about a millimetre) compare points
+PRUNE_FROM = 5_000  # undecided cell pairs from which it pays to connect the decided ones first
 WINDOW_ROWS = 500_000  # up to this many rows a per-group window is safe whatever the skew
 NOISE = -1
 
@@ -218,6 +219,17 @@ def _judge(pairs: DataFrame, eps: float) -> DataFrame:
     return judged.withColumn("open", ~F.col("inner") & (far > 0)).where(F.col("touch") | F.col("open")).drop("d")
 
 
+def _across_components(unsettled: DataFrame, proven: DataFrame) -> DataFrame:
+    """Drop undecided pairs of dense cells that proven contacts already connect."""
+    roots = connected_components(proven.where(F.col("a_dense")).select("u", "v"))
+    pairs = unsettled.where(F.col("a_dense"))
+    for side in ("a", "b"):
+        found = roots.select(F.col("node").alias(f"_{side}n"), F.col("root").alias(f"_{side}r"))
+        pairs = pairs.join(found, F.col(f"{side}.owner") == F.col(f"_{side}n"), "left")
+    apart = F.coalesce("_ar", F.col("a.owner")) != F.coalesce("_br", F.col("b.owner"))
+    return unsettled.where(~F.col("a_dense")).unionByName(pairs.where(apart).select(*unsettled.columns))
+
+
 def dbscan(
     df: DataFrame,
     group: str | Sequence[str],
@@ -303,6 +315,8 @@ def dbscan(
             F.col("a_dense") & (F.col("a.owner") == F.col("_u")) & (F.col("b.owner") == F.col("_v")),
             "left_anti",
         ).select(*group, "a", "a_dense", "b", "b_dense")
+        if judged.where(F.col("open") & F.col("a_dense")).count() > PRUNE_FROM:
+            unsettled = _across_components(unsettled, reduce(DataFrame.unionByName, proven))
         parents = reduce(
             DataFrame.unionByName,
             [

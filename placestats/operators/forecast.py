@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from placestats.constants import HORIZON, MIN_MONTHS, MIN_MONTHS_SEASONAL, SEASON_LENGTH
 from placestats.operators.series import backtest, horizon_months
+from placestats.session import materialize, spread
 
 Z95 = 1.96
 MAX_P, MAX_Q, MAX_SP, MAX_SQ = 2, 2, 1, 1
@@ -295,11 +296,11 @@ def forecast_sarima(
                 out.append((d, float(got[0]), got[1].tolist(), got[2].tolist()))
         return pd.DataFrame(out, columns=["d", "aic", "point", "error"])
 
-    packed = series_arrays(series, keys).where(F.size("ys") >= min_months)
+    packed = materialize(series_arrays(series, keys).where(F.size("ys") >= min_months))
     seasonal = F.size("ys") >= seasonal_from
     tries = packed.withColumn("o", F.explode(_candidates())).where(seasonal | (F.col("o.sp") + F.col("o.sq") == 0))
-    parts = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tries = tries.repartition(parts, *keys, "o")
+    orders = (MAX_P + 1) * (MAX_Q + 1) * (MAX_SP + 1) * (MAX_SQ + 1)
+    tries = spread(tries, packed.count() * orders, per_task=2_000, least=8)
     fits = tries.withColumn("f", fit("ys", "o.p", "o.q", "o.sp", "o.sq"))
     chosen = F.min_by(
         F.struct("f", "o", "last_month", seasonal.alias("seasonal")),

@@ -44,11 +44,9 @@ def number_rows(
     neither a whole table nor a hot partition is sorted by a single task. The order
     must be unique.
     """
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(partition)
-    ranged = df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id())
-    ranged = materialize(ranged)
+    ranged = df.repartitionByRange(*([parts] if parts else []), *keys, *order)
+    ranged = materialize(ranged.withColumn("_part", F.spark_partition_id()))
     counts = ranged.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     shifts = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")

@@ -63,14 +63,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, rows: int, *keys: str, per_task: int = 200_000) -> DataFrame:
+def spread(df: DataFrame, rows: int, *keys: str, per_task: int = 200_000, least: int = 500) -> DataFrame:
     """Repartition ahead of compute-heavy work on rows that are small in bytes.
 
-    Sizes in bytes would pack such rows into too few tasks. Uses all cores, and more
-    partitions once a task would get over `per_task` rows.
+    Sizes in bytes would pack such rows into too few tasks. Uses all cores as soon as
+    each gets `least` rows, and more partitions once a task would get over `per_task`.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(min(cores, -(-rows // 500)), -(-rows // per_task), 1), *keys)
+    return df.repartition(max(min(cores, -(-rows // least)), -(-rows // per_task), 1), *keys)
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:

@@ -63,6 +63,13 @@ def test_dense_cells_are_split_exactly(spark, monkeypatch, leaf):
     assert run(spark, points, 0.04, 25) == brute_force(points, 0.04, 25)
 
 
+def test_pruned_pairs_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "PRUNE_FROM", 0)
+    monkeypatch.setattr(cluster, "LEAF", 3)
+    points = scatter(11, 700, 42.35, -71.06, 0.0008)
+    assert run(spark, points, 0.03, 6) == brute_force(points, 0.03, 6)
+
+
 def test_two_dense_blobs_just_out_of_reach(spark, monkeypatch):
     """Facing borders a hair more, then a hair less, than the radius apart."""
     monkeypatch.setattr(cluster, "LEAF", 4)
