@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.clusters import GROCERY_PROFILE, HOT, MAP, binned, dbscan_ctes, grocery_profile, recent
+from catalog.clusters import GROCERY_PROFILE, HOT, MAP, dbscan_ctes, grocery_profile, recent
 from catalog.places import ADJACENT, ADJACENT_NEEDS, CENTROIDS, located_incidents, located_stores
 from catalog.scores import HEALTH, HEALTH_NEEDS, SAFETY, health_profile, safety
 from catalog.sqltext import LOCATED, LOCATED_NEEDS, LOCATED_STORE, LOCATED_STORE_NEEDS
@@ -15,8 +15,8 @@ from placestats.fixtures import AS_OF, Tables
 from placestats.functions.geometry import geom_edges
 from placestats.functions.nested import json_path
 from placestats.operators.ranking import bottom_k, top_k
-from placestats.operators.spatial import boundary_points, with_centroid
-from placestats.plans import board, crime, healthcare
+from placestats.operators.spatial import with_centroid
+from placestats.plans import board, crime
 
 _AREA = "NATION_12"
 

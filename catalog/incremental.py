@@ -5,7 +5,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from catalog import query
-from placestats.fixtures import Tables
 from placestats.operators.joins import update_by_key
 from placestats.session import scratch_dir
 from placestats.sources.writers import VersionedTable, load_report, upsert, with_audit

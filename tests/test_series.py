@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from placestats.operators.forecast import adf_rejects, forecast, forecast_report, forecast_sarima, needs_difference
+from placestats.operators.forecast import adf_rejects, forecast, forecast_report, needs_difference
 from placestats.operators.ranking import number_rows, top_per_group
 from placestats.operators.series import backtest, monthly_series, yoy_recent
 from placestats.operators.forecast import forecast_snaive

@@ -149,3 +149,107 @@ def test_stop_marks_the_first_element_that_mentions_it():
     blocks = page_blocks("<article><p>a</p><div><p>b</p><p>LEAVE A REPLY</p></div></article>", K.STOP_PHRASES)
     assert [b[1] for b in blocks] == ["p", "stop"]
     assert page_blocks("<article><p>Leave a</p><p>Reply</p></article>", K.STOP_PHRASES)[-1][1] == "p"
+
+
+class _Node:
+    def __init__(self, name, parent, classes=()):
+        self.name, self.parent, self.classes, self.children = name, parent, classes, []
+
+    def strings(self):
+        for c in self.children:
+            if isinstance(c, str):
+                if c.strip():
+                    yield c.strip()
+            else:
+                yield from c.strings()
+
+    def walk(self):
+        for c in self.children:
+            if not isinstance(c, str):
+                yield c
+                yield from c.walk()
+
+
+def plain_markdown(html):
+    """The same cleaning over an ordinary element tree, step by step."""
+    import re
+    from html.parser import HTMLParser
+
+    from placestats.operators.pages import VOID_TAGS
+
+    root = _Node("", None)
+
+    class Builder(HTMLParser):
+        at = root
+
+        def handle_starttag(self, tag, attrs):
+            node = _Node(tag, self.at, (dict(attrs).get("class") or "").split())
+            self.at.children.append(node)
+            if tag not in VOID_TAGS:
+                self.at = node
+
+        def handle_endtag(self, tag):
+            node = self.at
+            while node is not None and node.name != tag:
+                node = node.parent
+            if node is not None and node.parent is not None:
+                self.at = node.parent
+
+        def handle_data(self, data):
+            self.at.children.append(data)
+
+    builder = Builder()
+    builder.feed(html)
+    builder.close()
+
+    def prune(node):
+        node.children = [
+            c for c in node.children
+            if isinstance(c, str) or not (c.name in K.DROPPED_TAGS or set(c.classes) & set(K.DROPPED_CLASSES))
+        ]
+        for c in node.children:
+            if not isinstance(c, str):
+                prune(c)
+
+    prune(root)
+    nodes = list(root.walk())
+    main = next((n for n in nodes if n.name == "article"), None)
+    if main is None:
+        main = next((n for n in nodes if n.name == "h1"), None)
+        for _ in range(6 if main is not None else 0):
+            main = main.parent or main
+    if main is None:
+        main = next((n for n in nodes if n.name == "body"), root)
+    lines, seen = [], set()
+    for n in main.walk():
+        body = " ".join(n.strings())
+        if any(p.lower() in body.lower() for p in K.STOP_PHRASES):
+            break
+        if n.name in (*K.HEADING_MARKS, "p", "blockquote"):
+            if body and body not in seen:
+                mark = K.HEADING_MARKS.get(n.name) or (">" if n.name == "blockquote" else "")
+                lines += [f"{mark} {body}".strip(), ""]
+                seen.add(body)
+        elif n.name in ("ul", "ol"):
+            above = n.parent
+            while above is not None and above.name not in ("ul", "ol"):
+                above = above.parent
+            if above is None:
+                texts = [" ".join(c.strings()) for c in n.children if not isinstance(c, str) and c.name == "li"]
+                texts = [t for t in texts if t]
+                lines += [f"{'-' if n.name == 'ul' else f'{i}.'} {t}" for i, t in enumerate(texts, 1)] + [""] * bool(texts)
+    out = re.sub(r"\n{3,}", "\n\n", "\n".join(lines))
+    return re.sub(r"[ \t]{2,}", " ", out).strip()
+
+
+def test_pages_match_a_plain_tree_walk(spark):
+    from pathlib import Path
+
+    path = Path("/root/testdata/sf0.01/pages.parquet")
+    if not path.exists():
+        pytest.skip("driver tables not present")
+    pages = spark.read.parquet(str(path))
+    odd = spark.createDataFrame([(-1, "", PAGE), (-2, "", "<ul><li>a<li>b</ul><h2>x</h2><h2>x</h2><p></p></div><p>t <em>u</em>")], pages.schema)
+    want = {r["page_id"]: plain_markdown(r["html"]) for r in pages.unionByName(odd).collect()}
+    got = {r["page_id"]: r["markdown"] for r in pages_to_markdown(pages.unionByName(odd)).collect()}
+    assert got == want and len(got) > 200
