@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from placestats.constants import DROPPED_CLASSES, DROPPED_TAGS, HEADING_MARKS, STOP_PHRASES
 from placestats.functions.text import normalize_blank_runs
+from placestats.session import widen
 
 VOID_TAGS = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
@@ -198,7 +199,7 @@ def render_blocks(blocks: Column) -> Column:
 
 def pages_to_markdown(pages: DataFrame, html: str = "html", name: str = "markdown", stop_phrases: Sequence[str] = tuple(STOP_PHRASES)) -> DataFrame:
     """Adds the cleaned text of each page and drops its markup."""
-    listed = pages.withColumn("_blocks", block_lists(F.col(html), stop_phrases)).drop(html)
+    listed = widen(pages).withColumn("_blocks", block_lists(F.col(html), stop_phrases)).drop(html)
     return listed.withColumn(name, render_blocks(F.col("_blocks"))).drop("_blocks")
 
 

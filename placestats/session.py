@@ -73,6 +73,17 @@ def spread(df: DataFrame, rows: int, *keys: str, per_task: int = 200_000, least:
     return df.repartition(max(min(cores, -(-rows // least)), -(-rows // per_task), 1), *keys)
 
 
+def widen(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
+    """Deal a small frame out to all cores before slow per-row work.
+
+    A few small files are read by a few tasks. Larger frames are left alone: their
+    splits already keep all cores busy, and moving them would cost a full shuffle.
+    """
+    if not fits(df, max_rows):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Does `df` hold at most `max_rows` rows? Reads no more than it needs to tell."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -4,7 +4,7 @@ import types
 
 import pytest
 
-from placestats.session import SETTINGS, fits, materialize, scratch_dir, spread
+from placestats.session import SETTINGS, fits, materialize, scratch_dir, spread, widen
 
 
 def fake(**conf):
@@ -30,4 +30,6 @@ def test_sizes(spark):
     assert fits(spark.range(5), 5) and not fits(spark.range(6), 5)
     assert spread(spark.range(10), 10).rdd.getNumPartitions() == 1
     assert spread(spark.range(10), 10**9).rdd.getNumPartitions() == 5000
+    assert widen(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 8
+    assert widen(spark.range(0, 10, 1, 1), max_rows=5).rdd.getNumPartitions() == 1
     assert SETTINGS["spark.sql.adaptive.skewJoin.enabled"] == "true"
