@@ -31,3 +31,48 @@ def simhash_near_dedup(spark, folder):
 
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op2_best_fit_packing")
+def best_fit_packing(spark, folder):
+    import public_tokenizers
+
+    from placestats.llm.packing import pack
+
+    return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def quality_model(spark, folder, vectors: DataFrame):
+    """Discriminant from the labelled rows outside the held-out fifth, given (doc_id, features)."""
+    from placestats.llm.quality import fit
+
+    known = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label")).where("doc_id is not null and label is not null")
+    return fit(vectors.join(known.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0), "doc_id"))
+
+
+@query("op7_quality_discriminant")
+def quality_discriminant(spark, folder):
+    from placestats.llm.common import whole_text
+    from placestats.llm.quality import features, score
+    from placestats.session import materialize
+
+    docs = table(spark, folder, "documents")
+    vectors = materialize(docs.select("doc_id", features(whole_text("text")).alias("features")))
+    model = quality_model(spark, folder, vectors)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out")
+    scored = vectors.select("doc_id", held_out, score(F.col("features"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query(
+    "op9_polynomial_exact_dedup",
+    """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = max(doc_id) OVER g AND row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+)
+def polynomial_exact_dedup(spark, folder):
+    from placestats.llm.exact_dedup import duplicate_groups
+
+    return duplicate_groups(table(spark, folder, "documents"))
