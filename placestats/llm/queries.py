@@ -76,3 +76,40 @@ def polynomial_exact_dedup(spark, folder):
     from placestats.llm.exact_dedup import duplicate_groups
 
     return duplicate_groups(table(spark, folder, "documents"))
+
+
+SURROGATE_KEY = b"registered query"  # a real run passes a secret of its own
+
+
+@query("op1_pii_surrogates")
+def pii_surrogates(spark, folder):
+    from placestats.llm.pii import replace_entities
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return replace_entities(docs, SURROGATE_KEY, count_col="n_entities")
+
+
+@query(
+    "op8_line_window_dedup",
+    """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, text, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d WHERE text IS NOT NULL),
+w AS (
+  SELECT *, line || chr(10) || lead(line, 1) OVER o || chr(10) || lead(line, 2) OVER o AS win, lead(line, 2) OVER o IS NOT NULL AS whole
+  FROM l WINDOW o AS (PARTITION BY r ORDER BY pos)),
+later AS (
+  SELECT r, pos FROM (
+    SELECT r, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS n FROM w WHERE whole) WHERE n > 1),
+gone AS (SELECT DISTINCT r, pos + k AS pos FROM later CROSS JOIN (VALUES (0), (1), (2)) AS v(k)),
+kept AS (
+  SELECT l.r, string_agg(l.line, chr(10) ORDER BY l.pos) AS text FROM l LEFT JOIN gone g ON g.r = l.r AND g.pos = l.pos
+  WHERE g.r IS NULL GROUP BY l.r),
+cut AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(c.n, 0) AS lines_cut
+FROM d LEFT JOIN kept k ON k.r = d.r LEFT JOIN cut c ON c.r = d.r""",
+)
+def line_window_dedup(spark, folder):
+    from placestats.llm.line_dedup import drop_repeated_lines
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return drop_repeated_lines(docs, count_col="lines_cut")

@@ -56,8 +56,8 @@ def test_held_out(spark):
 
     folder = "/root/testdata/sf0.01"
     got = {r.doc_id: r for r in entry.queries()["op7_quality_discriminant"](spark, folder).collect()}
-    labels = duckdb.sql(f"SELECT doc_id, quality FROM '{folder}/labels.parquet'").fetchall()
-    assert len(got) == duckdb.sql(f"SELECT count(*) FROM '{folder}/documents.parquet'").fetchone()[0]
+    labels = duckdb.connect().execute(f"SELECT doc_id, quality FROM '{folder}/labels.parquet'").fetchall()
+    assert len(got) == duckdb.connect().execute(f"SELECT count(*) FROM '{folder}/documents.parquet'").fetchall()[0][0]
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 for i, r in got.items())
     held = [(q, got[i].predicted) for i, q in labels if got[i].held_out]
     assert np.mean([q == p for q, p in held]) > 0.95
