@@ -113,3 +113,14 @@ def line_window_dedup(spark, folder):
 
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return drop_repeated_lines(docs, count_col="lines_cut")
+
+
+@query("op4_language_id")
+def language_id(spark, folder):
+    from placestats.llm.langid import fit, identify
+
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    third = F.crc32(F.col("doc_id").cast("string")) % 3
+    model = fit(docs.where(third != 1))
+    found = docs.select("doc_id", F.coalesce(third == 1, F.lit(False)).alias("held_out"), identify(F.col("text"), model).alias("f"))
+    return found.select("doc_id", "held_out", "f.lang_pred", "f.score", "f.accepted")
