@@ -19,6 +19,8 @@ import hashlib
 import hmac
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -33,9 +35,6 @@ MALE_TITLES = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|Господин"
 OPEN_TITLES = "Dr|Prof|Professor"
 TITLES = f"{FEMALE_TITLES}|{MALE_TITLES}|{OPEN_TITLES}"
 CAPITALISED = r"[^\W\d_a-zà-öø-ÿа-я][^\W\d_A-ZÀ-ÖØ-ÞА-Я]+(?:-[^\W\d_a-zà-öø-ÿа-я][^\W\d_A-ZÀ-ÖØ-ÞА-Я]+)?"
-# every text that holds an entity matches this, in the regular expressions of Spark
-TRIGGER = rf"[\p{{Nd}}@]|{TITLES}|(?i:password|passwd|secret|token|api[_-]?key)"
-
 FINDER = re.compile(
     rf"""
     (?P<email>(?<![A-Za-z0-9_%+.-])[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
@@ -204,6 +203,12 @@ def replace(text: str, mapping: dict[tuple[str, str], str]) -> str:
     return "".join([*out, text[at:]])
 
 
+def triggered(text: Column) -> Column:
+    """Could the text hold an entity? True for every text that does; false for null."""
+    title = reduce(or_, [text.contains(t) for t in TITLES.split("|")])
+    return F.coalesce(text.rlike(r"[\p{Nd}@=:]") | title, F.lit(False))
+
+
 def entities(text: Column) -> Column:
     """Distinct (kind, canon) of a text, in order of appearance; none for null."""
 
@@ -247,7 +252,7 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
 
 def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(key, found) of the texts that hold entities, one row per distinct row key."""
-    held = docs.where(F.col(text_col).rlike(TRIGGER))
+    held = docs.where(triggered(F.col(text_col)))
     rows = held.select(row_key(docs, [id_col, text_col]).alias("key"), entities(F.col(text_col)).alias("found")).where("size(found) > 0")
     return rows.groupBy("key").agg(F.first("found").alias("found"))
 
@@ -273,7 +278,7 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     def rewrite(texts: pd.Series, entries: pd.Series) -> pd.Series:
         return pd.Series([t if e is None else replace(t, {(x["kind"], x["canon"]): x["surrogate"] for x in e}) for t, e in zip(texts, entries)], dtype=object)
 
-    trigger = F.coalesce(F.col(text_col).rlike(TRIGGER), F.lit(False))
+    trigger = triggered(F.col(text_col))
     still = docs.where(~trigger)
     met = docs.where(trigger).withColumn("__llm_key", row_key(docs, [id_col, text_col]))
     met = met.join(per_row.select(F.col("key").alias("__llm_key"), F.col("entries").alias("__llm_entries")), "__llm_key", "left")
