@@ -3,8 +3,9 @@
 Every window of `size` consecutive lines is hashed. Windows that occur again anywhere in
 the corpus are found by one aggregate that also names the first occurrence; all later
 occurrences mark their lines, and marked positions of overlapping windows merge. Lines
-that no later occurrence covers stay, in order. Only hashes and positions are shuffled
-until the texts that lose lines meet their marked positions.
+that no later occurrence covers stay, in order. Hashes and positions grow with the corpus,
+so they are never broadcast: both joins shuffle on their keys at every size, and AQE
+splits the hot ones.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def repeated_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     place = F.struct("id", "key", "pos")
     spread = windows.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = materialize(spread.where(F.col("first") != F.col("last")).select("hash", "first"))
-    later = windows.join(repeated, "hash").where(place != F.col("first"))
+    later = windows.join(repeated.hint("merge"), "hash").where(place != F.col("first"))
     return later.groupBy("key").agg(F.collect_set("pos").alias("starts"))
 
 
@@ -55,7 +56,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     marked = materialize(repeated_positions(docs, id_col, text_col, size)).select(F.col("key").alias("__llm_key"), F.col("starts").alias("__llm_starts"))
     # only texts with a window can lose lines; the others are not moved
     long = F.coalesce(F.col(text_col).contains("\n"), F.lit(False)) if size > 1 else F.col(text_col).isNotNull()
-    met = docs.where(long).withColumn("__llm_key", row_key(docs, [id_col, text_col])).join(marked, "__llm_key", "left")
+    met = docs.where(long).withColumn("__llm_key", row_key(docs, [id_col, text_col])).join(marked.hint("merge"), "__llm_key", "left")
     lines = lines_of(F.col(text_col))
     covered = F.array_distinct(F.flatten(F.transform("__llm_starts", lambda s: F.sequence(s, s + size - 1))))
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
