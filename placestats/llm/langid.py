@@ -143,15 +143,20 @@ def train(rows: list[tuple[str, str]], buckets: int = BUCKETS, width: int = WIDT
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = SAMPLE, chars: int = SAMPLE_CHARS) -> DataFrame:
     """At most `rows` whole texts of up to `chars` characters, drawn by hash, evenly from the most frequent languages.
 
-    The rank is cut per task before the shuffle, so no task holds all rows of a language.
+    A hash thins each language to about three times its share before the rank.
     """
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= chars))
     counts = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    languages = [r.lang for r in counts.orderBy(F.desc("n"), "lang").limit(SAMPLE_LANGUAGES).collect()]
-    each = min(max(rows // max(len(languages), 1), 1), 999)  # Spark cuts ranks early below 1000
+    sizes = {r.lang: r.n for r in counts.orderBy(F.desc("n"), "lang").limit(SAMPLE_LANGUAGES).collect()}
+    if not sizes:
+        return usable.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    each = min(max(rows // len(sizes), 1), 999)  # Spark cuts ranks early below 1000
+    # a hash lets about three times the rows through that are ranked, however many there are
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, 3 * each / n) * 1_000_000))])
+    drawn = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < share[F.col("lang")]
     draw = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"), "id"))
     picked = usable.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    return picked.where(F.col("lang").isin(languages)).withColumn("draw", draw).where(F.col("draw") <= each).select("text", "lang")
+    return picked.where(drawn).withColumn("draw", draw).where(F.col("draw") <= each).select("text", "lang")
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **params) -> Model:

@@ -124,3 +124,11 @@ def language_id(spark, folder):
     model = fit(docs.where(third != 1))
     found = docs.select("doc_id", F.coalesce(third == 1, F.lit(False)).alias("held_out"), identify(F.col("text"), model).alias("f"))
     return found.select("doc_id", "held_out", "f.lang_pred", "f.score", "f.accepted")
+
+
+@query("op6_collision_counting_ann")
+def collision_counting_ann(spark, folder):
+    from placestats.llm.ann import nearest
+
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return nearest(rows, rows.where(F.col("vec_id") % 100 == 0))
