@@ -132,3 +132,13 @@ def collision_counting_ann(spark, folder):
 
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return nearest(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
+@query("op3_byte_bpe")
+def byte_bpe(spark, folder):
+    import public_tokenizers
+
+    from placestats.llm.bpe import encode_digest
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return encode_digest(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
