@@ -142,3 +142,10 @@ def byte_bpe(spark, folder):
 
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return encode_digest(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op10_transcript_roles")
+def transcript_roles(spark, folder):
+    from placestats.llm.transcripts import parse
+
+    return parse(table(spark, folder, "conversations"))
