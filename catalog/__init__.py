@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None, needs: Sequence[str] = (), ctes: di
 
 
 def load_all() -> None:
-    from catalog import boards, cleaning, clusters, incremental, places, scores, series, texts  # noqa: F401
+    from catalog import analysis, boards, cleaning, clusters, incremental, places, scores, series, texts  # noqa: F401

@@ -173,20 +173,25 @@ def _(t):
     """SELECT c_custkey, round(c_acctbal, 1) AS half_up, round_even(c_acctbal, 0) AS half_even,
        least(greatest(c_acctbal, 0.0), 999.0) AS clamped,
        CASE WHEN c_custkey % 7 > 0 THEN c_acctbal / (c_custkey % 7) ELSE 0.0 END AS ratio,
-       CASE WHEN upper(trim(c_mktsegment)) NOT IN ('N/A', '') THEN try_cast(c_mktsegment AS INTEGER) END AS parsed,
+       CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN CAST(c_custkey AS INTEGER) WHEN 2 THEN NULL ELSE NULL END AS parsed,
        coalesce(try_cast(CAST(c_custkey % 3 AS VARCHAR) AS INTEGER) = 1, FALSE) AS flagged
        FROM customer""",
 )
 def _(t):
     bal = F.col("c_acctbal")
     third = (F.col("c_custkey") % 3).cast("string")
+    key = F.col("c_custkey").cast("string")
+    numeral = (
+        F.when(F.col("c_custkey") % 4 == 0, F.lit(" n/a ")).when(F.col("c_custkey") % 4 == 1, F.concat(F.lit(" "), key))
+        .when(F.col("c_custkey") % 4 == 2, F.concat(key, F.lit("x"))).otherwise(F.lit(""))
+    )
     return t.customer.select(
         "c_custkey",
         round_half_up(bal, 1).alias("half_up"),
         round_half_even(bal, 0).alias("half_even"),
         clamp(bal, 0.0, 999.0).alias("clamped"),
         safe_ratio(bal, F.col("c_custkey") % 7).alias("ratio"),
-        parse_number(F.col("c_mktsegment"), ["N/A", ""]).alias("parsed"),
+        parse_number(numeral, ["N/A", ""]).alias("parsed"),
         flag_eq(third, 1).alias("flagged"),
     )
 

@@ -85,12 +85,13 @@ def _(t):
     """SELECT id, p.g, cluster_id FROM s_label p JOIN (SELECT g FROM s_pt GROUP BY g HAVING count(*) >= 9) k ON p.g = k.g""",
     ["fx_cluster_point"],
     {
-        "grouped": "SELECT id, location_id * 100 + CAST(floor(id / 40.0) AS INTEGER) AS g, lat, long FROM fx_cluster_point",
+        "grouped": "SELECT id, CASE WHEN id % 4 = 0 THEN 1000 + CAST(floor(id / 20.0) AS INTEGER) ELSE location_id END AS g, lat, long FROM fx_cluster_point",
         **dbscan_ctes("s_", "grouped", ["g"], "id", 0.5, 9),
     },
 )
 def _(t):
-    g = F.col("location_id") * 100 + F.floor(F.col("id") / F.lit(40.0)).cast("int")
+    """Every fourth point sits in a group of at most five, below the gate; the areas lie above it."""
+    g = F.when(F.col("id") % 4 == 0, F.lit(1000) + F.floor(F.col("id") / F.lit(20.0)).cast("int")).otherwise(F.col("location_id"))
     rows = points(t).select("id", g.alias("g"), "lat", "long")
     return dbscan(rows, "g", "id", eps_km=0.5, min_samples=9, small_group="skip").select("id", "g", "cluster_id")
 
@@ -202,6 +203,41 @@ def _(t):
     return crime.hotspot_points(recent(t), "load_seq", MAP)
 
 
+# --- ids as they are in the mart: unique per incident and offence only ---------------
+SHARED = (0.5, 4)
+
+
+def node_ctes(p: str, points: str, scale, group: str = "neighborhood_name", id: str = "incident_number") -> dict[str, str]:
+    """DBSCAN in SQL over merged positions, numbered by (least id, position). Ends in `{p}label`: the rows of `points` with labels."""
+    return {
+        f"{p}ranked": f"""SELECT *, dense_rank() OVER (PARTITION BY {group} ORDER BY least_id, lat, long) AS node FROM (
+SELECT *, min({id}) OVER (PARTITION BY {group}, lat, long) AS least_id FROM {points} WHERE lat IS NOT NULL AND long IS NOT NULL)""",
+        f"{p}pt": f"SELECT {group}, node, any_value(lat) AS lat, any_value(long) AS long, count(*) AS w FROM {p}ranked GROUP BY {group}, node",
+        f"{p}pair": f"SELECT a.{group} AS g, a.node AS a, b.node AS b, b.w FROM {p}pt a JOIN {p}pt b ON a.{group} = b.{group} WHERE {distance('a', 'b')} <= {scale[0]}",
+        f"{p}core": f"SELECT g, a AS node FROM {p}pair GROUP BY g, a HAVING sum(w) >= {scale[1]}",
+        f"{p}link": f"SELECT p.g, p.a, p.b FROM {p}pair p JOIN {p}core c ON c.g = p.g AND c.node = p.a JOIN {p}core d ON d.g = p.g AND d.node = p.b",
+        f"{p}reach(g, node, root)": f"SELECT g, node, node FROM {p}core UNION SELECT l.g, l.b, r.root FROM {p}reach r JOIN {p}link l ON l.g = r.g AND l.a = r.node",
+        f"{p}root": f"SELECT g, node, min(root) AS root FROM {p}reach GROUP BY g, node",
+        f"{p}cluster": f"SELECT g, node, CAST(dense_rank() OVER (PARTITION BY g ORDER BY root) - 1 AS INTEGER) AS cluster_id FROM {p}root",
+        f"{p}border": f"SELECT p.g, p.a AS node, min(c.cluster_id) AS cluster_id FROM {p}pair p JOIN {p}cluster c ON c.g = p.g AND c.node = p.b GROUP BY p.g, p.a",
+        f"{p}label": f"""SELECT r.*, coalesce(c.cluster_id, b.cluster_id, -1) AS cluster_id, c.node IS NOT NULL AS is_core, coalesce(c.cluster_id, b.cluster_id, -1) = -1 AS is_noise
+FROM {p}ranked r LEFT JOIN {p}cluster c ON c.g = r.{group} AND c.node = r.node LEFT JOIN {p}border b ON b.g = r.{group} AND b.node = r.node""",
+    }
+
+
+@query(
+    "dbscan_shared_ids",
+    "SELECT load_seq, neighborhood_name, cluster_id, is_core FROM n_label",
+    LOCATED_NEEDS,
+    {**LOCATED, **node_ctes("n_", "located", SHARED)},
+)
+def _(t):
+    """Located incidents by incident number, which repeats within and between areas."""
+    rows = located_incidents(t).select("load_seq", "incident_number", "neighborhood_name", "lat", "long")
+    out = dbscan(rows, "neighborhood_name", "incident_number", eps_km=SHARED[0], min_samples=SHARED[1])
+    return out.select("load_seq", "neighborhood_name", "cluster_id", "is_core")
+
+
 # --- stores ----------------------------------------------------------------------
 STORE_SCALE = (0.9, 3)
 _groups = ", ".join(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from placestats.operators.joins import update_by_key
+from placestats.operators.ranking import dedupe
 from placestats.session import scratch_dir
 from placestats.sources.writers import VersionedTable, load_report, upsert, with_audit
 from placestats.streaming.incremental import incremental, newer_than, stream_incremental
@@ -96,18 +97,27 @@ def _(t):
     return upsert(t.orders.select(*cols), batch.select(*cols), ["o_orderkey"])
 
 
+_SHIP = "l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax"
+
+
 @query(
     "upsert_latest",
-    """SELECT l_orderkey, l_linenumber, round(l_extendedprice, 2) AS price FROM (
-         SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax) AS rn FROM lineitem) WHERE rn = 1""",
+    f"""WITH batch AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_SHIP}) AS rn FROM lineitem WHERE l_orderkey % 2 = 0) WHERE rn = 1),
+       stored AS (SELECT l_orderkey, l_linenumber, min(l_extendedprice) AS price FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY ALL)
+       SELECT l_orderkey, l_linenumber, round(l_extendedprice, 2) AS price FROM batch UNION ALL
+       SELECT l_orderkey, l_linenumber, round(price, 2) FROM stored s WHERE NOT EXISTS (
+         SELECT 1 FROM batch b WHERE b.l_orderkey = s.l_orderkey AND b.l_linenumber = s.l_linenumber)""",
 )
 def _(t):
-    """All line items as one batch with repeated keys; the latest shipment wins."""
+    """A stored table of every third order; the items of every second arrive with repeated keys, the latest shipment wins."""
     order = [F.col("l_shipdate").desc_nulls_last()] + [
         F.col(c).asc_nulls_last() for c in ("l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
     ]
-    out = upsert(None, t.lineitem, ["l_orderkey", "l_linenumber"], order)
-    return out.select("l_orderkey", "l_linenumber", F.round("l_extendedprice", 2).alias("price"))
+    key = ["l_orderkey", "l_linenumber"]
+    stored = t.lineitem.where(F.col("l_orderkey") % 3 == 0).groupBy(*key).agg(F.min("l_extendedprice").alias("l_extendedprice"))
+    batch = t.lineitem.where(F.col("l_orderkey") % 2 == 0).transform(lambda df: dedupe(df, key, order))
+    out = upsert(stored, batch.select(*key, "l_extendedprice"), key, unique=True)
+    return out.select(*key, F.round("l_extendedprice", 2).alias("price"))
 
 
 @query(

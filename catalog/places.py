@@ -274,36 +274,47 @@ def _(t):
     )
 
 
+def _parsed_feature(text):
+    return geojson_to_geom(json_path(text, "$.geometry.type", "string"), json_path(text, "$.geometry.coordinates", "string"))
+
+
 @query(
     "geojson_features",
-    """SELECT neighborhood_name, city, TRUE AS has_geometry, location_id = 3 AS is_selected, sqmiles FROM fx_location""",
+    """SELECT neighborhood_name, city, TRUE AS has_geometry, neighborhood_name = 'NATION_2' AS is_selected, sqmiles FROM fx_location""",
     ["fx_location"],
 )
 def _(t):
     """Feature texts per area, parsed back; the texts hold every property, nulls too."""
-    third = t.polygons.where(F.col("location_id") == 3).select("neighborhood_name").scalar()
     props = {"neighborhood_name": F.col("neighborhood_name"), "city": F.col("city"), "sqmiles": F.col("sqmiles")}
-    feats = features(t.polygons, props)
+    feats = features(t.polygons, props, selected="NATION_2")
     text = F.col("feature")
-    coords = geojson_to_geom(json_path(text, "$.geometry.type", "string"), json_path(text, "$.geometry.coordinates", "string"))
     return feats.select(
         "neighborhood_name",
         json_path(text, "$.properties.city", "string").alias("city"),
-        (F.size(coords) > 0).alias("has_geometry"),
-        (F.col("neighborhood_name") == third).alias("is_selected"),
+        (F.size(_parsed_feature(text)) > 0).alias("has_geometry"),
+        json_path(text, "$.properties.is_selected", "boolean").alias("is_selected"),
         json_path(text, "$.properties.sqmiles", "double").alias("sqmiles"),
     )
 
 
 @query(
     "feature_collection",
-    "SELECT 'FeatureCollection' AS kind, CAST(count(*) AS INTEGER) AS n_features FROM fx_location",
+    """SELECT city, 'FeatureCollection' AS kind, string_agg(neighborhood_name, ',' ORDER BY neighborhood_name) AS names,
+       string_agg(CAST(location_id % 2 AS VARCHAR), ',' ORDER BY neighborhood_name) AS shapes FROM fx_location GROUP BY city""",
     ["fx_location"],
 )
 def _(t):
-    doc = feature_collection(features(t.polygons, {"city": F.col("city")}))
-    parsed = F.from_json("geojson", "type string, features array<struct<type:string>>")
-    return doc.select(parsed["type"].alias("kind"), F.size(parsed["features"]).alias("n_features"))
+    """One document per city, parsed back: its features in order, and which of the two shapes each draws."""
+    feats = features(t.polygons, {"name": F.col("neighborhood_name")}, keep=["city"])
+    doc = feature_collection(feats, "city")
+    form = "struct<properties:struct<name:string>,geometry:struct<coordinates:array<array<array<double>>>>>"
+    parsed = F.from_json("geojson", f"type string, features array<{form}>")
+    corners = lambda f: F.when(F.size(f["geometry"]["coordinates"][0]) == 7, F.lit("1")).otherwise(F.lit("0"))
+    return doc.select(
+        "city", parsed["type"].alias("kind"),
+        F.array_join(F.transform(parsed["features"], lambda f: f["properties"]["name"]), ",").alias("names"),
+        F.array_join(F.transform(parsed["features"], corners), ",").alias("shapes"),
+    )
 
 
 @query(
@@ -321,13 +332,16 @@ def _(t):
 
 @query(
     "collect_geometry",
-    """SELECT l.city, CAST(count(DISTINCT l.location_id) AS INTEGER) AS n_parts, CAST(count(*) AS INTEGER) AS n_edges
-       FROM fx_location l JOIN fx_edge e ON l.location_id = e.location_id GROUP BY l.city""",
-    ["fx_location", "fx_edge"],
+    """SELECT city, CAST(pos AS INTEGER) AS pos, round(x0, 6) AS first_x, round(y0, 6) AS first_y FROM (
+         SELECT *, row_number() OVER (PARTITION BY city ORDER BY location_id) - 1 AS pos FROM fx_location)""",
+    ["fx_location"],
 )
 def _(t):
-    merged = spatial.collect_geometry(t.polygons, ["city"])
-    return merged.select("city", F.size("geometry").alias("n_parts"), F.size(geom_edges(F.col("geometry"))).alias("n_edges"))
+    """The parts of each city in the order of their ids, by the first corner of each part."""
+    merged = spatial.collect_geometry(t.polygons, ["city"], "location_id")
+    parts = merged.select("city", F.posexplode("geometry").alias("pos", "part"))
+    corner = F.col("part")[0][0]
+    return parts.select("city", "pos", F.round(corner["x"], 6).alias("first_x"), F.round(corner["y"], 6).alias("first_y"))
 
 
 @query(

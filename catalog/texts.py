@@ -218,16 +218,14 @@ def _(t):
 
 @query(
     "area_report",
-    """SELECT string_agg(neighborhood_name || ' in ' || city || ': ' || CAST(total_facilities AS VARCHAR) || ' facilities', chr(10) ORDER BY neighborhood_name) AS report
-       FROM health_profile""",
+    """SELECT city, string_agg(neighborhood_name || ': ' || CAST(total_facilities AS VARCHAR) || ' facilities', chr(10) ORDER BY neighborhood_name) AS report
+       FROM health_profile GROUP BY city""",
     HEALTH_NEEDS,
     HEALTH,
 )
 def _(t):
-    line = F.concat(
-        F.col("neighborhood_name"), F.lit(" in "), F.col("city"), F.lit(": "), F.col("total_facilities").cast("string"), F.lit(" facilities")
-    )
-    return text_report(health_profile(t), line, ["neighborhood_name"], sep="\n")
+    line = F.concat(F.col("neighborhood_name"), F.lit(": "), F.col("total_facilities").cast("string"), F.lit(" facilities"))
+    return text_report(health_profile(t), line, ["neighborhood_name"], sep="\n", by=["city"])
 
 
 @query(

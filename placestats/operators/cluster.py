@@ -25,7 +25,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placestats.constants import EARTH_KM
@@ -33,14 +32,11 @@ from placestats.functions.nested import let
 from placestats.functions.numbers import arc_km, share_pct
 from placestats.operators.ranking import number_rows
 from placestats.operators.spatial import spatial_bin
-from placestats.session import materialize, spread
+from placestats.session import materialize, observed, release, spread
 
 SLACK = 1e-3  # relative shrink of the cell side; covers curvature and rounding
 SPLIT = 4  # children per side when a summary is split
-LEAF = 48  # summaries of at most this many points split straight into points
-DEEPEST = 8  # after this level (cells of about a millimetre) compare points
-PRUNE_FROM = 5_000  # undecided cell pairs from which it pays to connect the decided ones first
-WINDOW_ROWS = 500_000  # up to this many rows a per-group window is safe whatever the skew
+LEAF = 48  # a summary of at most this many points splits straight into its points
 NOISE = -1
 
 
@@ -131,32 +127,32 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
 
     Each round replaces the edges by shorter ones (large star, then small star) and
     writes them out, so lineage stays flat and lost executors cost one round only. It
-    ends when the edges form stars: every node has one edge, to a node without any.
+    ends when a round leaves the edges as they were, which their writes tell; the files
+    of a round are deleted once the next is written.
     """
-    ends = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
-    cur = materialize(_star_round(materialize(ends.where(F.col("u") != F.col("v")).distinct())))
-    while not _all_stars(cur):
-        cur = materialize(_star_round(cur))
+    ends = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).where(F.col("u") != F.col("v"))
+    told = {"n": F.count(F.lit(1)), "sum": F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))}
+    cur, now = observed(ends.distinct(), **told)
+    while now["n"]:
+        new, after = observed(_star_round(cur), **told)
+        release(cur)
+        cur, before, now = new, now, after
+        if now == before:
+            break
     roots = cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def _all_stars(edges: DataFrame) -> bool:
-    """Does no node of the (greater, lesser) edges have two edges down, or one down and one up?"""
-    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
-        edges.select(F.col("v").alias("n"), F.lit(0).alias("down"), F.lit(1).alias("up"))
-    )
-    roles = ends.groupBy("n").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
-    return roles.where(F.col("down") + F.col("up") * F.least("down", F.lit(1)) > 1).isEmpty()
-
-
 def _distinct_points(df: DataFrame, group: Sequence[str], id_col: str, lat: str, lon: str) -> DataFrame:
+    """One weighted point per group and position. `pid` names it: the least id there, for the
+    order of clusters, then group and position, which no other point shares."""
     placed = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     for g in group:
         placed = placed.where(F.col(g).isNotNull())
-    return placed.groupBy(*group, F.col(lat).alias("lat"), F.col(lon).alias("lon")).agg(
-        F.count(F.lit(1)).alias("w"), F.min(id_col).alias("pid")
+    merged = placed.groupBy(*group, (F.col(lat) + 0.0).alias("lat"), (F.col(lon) + 0.0).alias("lon")).agg(
+        F.count(F.lit(1)).alias("w"), F.min(id_col).alias("_least")
     )
+    return merged.withColumn("pid", F.struct("_least", *group, "lat", "lon")).drop("_least")
 
 
 def _node(n: Column, w: Column, lat: Column, lon: Column, reach: Column, owner: Column, **cell: Column) -> Column:
@@ -176,7 +172,7 @@ def _children(dense: DataFrame, parents: DataFrame, group: list[str], grid: _Gri
     sy, sx = grid.part(iy, ix, lat, lon, level)
     inside = dense.withColumns({"sy": sy, "sx": sx}).join(parents, key)
     ny, nx = grid.part(iy, ix, lat, lon, level + 1)
-    whole = (F.col("n") <= LEAF) | F.lit(level >= DEEPEST)
+    whole = F.col("n") <= LEAF  # positions differ, so every larger summary comes apart at some level
     inside = inside.withColumns({"cy": ny, "cx": nx, "leaf": F.when(whole, F.col("pid"))})
     parts = inside.groupBy(*key, "cy", "cx", "leaf").agg(
         F.count(F.lit(1)).alias("cn"),
@@ -189,7 +185,7 @@ def _children(dense: DataFrame, parents: DataFrame, group: list[str], grid: _Gri
         grid.spread(iy, F.lit(float(level + 1))), F.col("owner"),
         iy=iy, ix=ix, sy=F.col("cy"), sx=F.col("cx"),
     )
-    # at most SPLIT*SPLIT parts or LEAF points per parent (all points at the deepest level)
+    # at most SPLIT*SPLIT parts or LEAF points per parent
     return parts.select(*key, child.alias("child"))
 
 
@@ -244,9 +240,10 @@ def dbscan(
 
     A point is a core if at least `min_samples` points, itself included, lie within
     `eps_km`. Clusters are numbered from 0 per group by their least core id; a border
-    point joins the lowest-numbered cluster in reach; noise is -1. `id` must be
-    unique. Rows without coordinates or group are left out, and with
-    `small_group="skip"` so are groups of fewer than `min_samples` rows.
+    point joins the lowest-numbered cluster in reach; noise is -1. `id` only orders the
+    clusters: it may repeat, within a group and between groups (ties go by position).
+    Rows without coordinates or group are left out, and with `small_group="skip"` so
+    are groups of fewer than `min_samples` rows.
     """
     group = [group] if isinstance(group, str) else list(group)
     grid = _Grid(eps_km)
@@ -257,7 +254,7 @@ def dbscan(
     cell_key = [*group, "iy", "ix"]
     full = points.groupBy(*cell_key).agg(F.sum("w").alias("cw"), F.min("pid").alias("owner"))
     full = full.where(F.col("cw") >= min_samples).select(*cell_key, "owner")
-    flagged = materialize(points.join(full, cell_key, "left"))
+    flagged, told = observed(points.join(full, cell_key, "left"), rows=F.count(F.lit(1)))
     dense = flagged.where(F.col("owner").isNotNull())
     lone = flagged.where(F.col("owner").isNull())
     dense_cells = materialize(
@@ -276,7 +273,6 @@ def dbscan(
         F.lit(1).cast("long"), F.col("w"), F.col("lat"), F.col("lon"), F.lit(0.0),
         F.col("pid"), iy=iy, ix=ix, sy=zero, sx=zero,
     )
-    rows = flagged.count()
     seekers = lone.select(*group, lone_node.alias("a"), F.lit(False).alias("a_dense"), "iy", "ix").unionByName(
         dense_cells.select(*group, cell_node.alias("a"), F.lit(True).alias("a_dense"), "iy", "ix")
     )
@@ -285,7 +281,7 @@ def dbscan(
     ).unionByName(
         dense_cells.select(*group, cell_node.alias("b"), F.lit(True).alias("b_dense"), iy.alias("ky"), ix.alias("kx"))
     )
-    reach = spread(seekers, rows).withColumn("k", F.explode(grid.around(iy, ix))).select(
+    reach = spread(seekers, told["rows"]).withColumn("k", F.explode(grid.around(iy, ix))).select(
         *group, "a", "a_dense", F.col("k.ky").alias("ky"), F.col("k.kx").alias("kx")
     )
     # every unordered pair once, except that a lone point counts its neighbours itself
@@ -293,7 +289,8 @@ def dbscan(
         F.col("a_dense") & F.col("b_dense") & (F.col("a.owner") < F.col("b.owner"))
     )
     pairs = reach.join(targets, [*group, "ky", "kx"]).where(once).drop("ky", "kx")
-    judged = materialize(_judge(pairs, eps_km))
+    undecided = {"open": F.count_if("open"), "open_dense": F.count_if(F.col("open") & F.col("a_dense"))}
+    judged, told = observed(_judge(pairs, eps_km), **undecided)
 
     proven = []
     level = 0
@@ -303,19 +300,10 @@ def dbscan(
             F.when(F.col("inner"), F.col("b.w")).otherwise(F.lit(0)).alias("w"),
         )
         proven.append(facts)
-        # a pair of dense cells needs one proof of contact, then it is settled
-        unsettled = judged.where(F.col("open"))
-        if unsettled.isEmpty():
+        if not told["open"]:
             break
-        settled = judged.where(F.col("touch") & F.col("a_dense")).select(
-            F.col("a.owner").alias("_u"), F.col("b.owner").alias("_v")
-        ).distinct()
-        unsettled = unsettled.join(
-            settled,
-            F.col("a_dense") & (F.col("a.owner") == F.col("_u")) & (F.col("b.owner") == F.col("_v")),
-            "left_anti",
-        ).select(*group, "a", "a_dense", "b", "b_dense")
-        if judged.where(F.col("open") & F.col("a_dense")).count() > PRUNE_FROM:
+        unsettled = judged.where(F.col("open")).select(*group, "a", "a_dense", "b", "b_dense")
+        if told["open_dense"]:  # pairs of dense cells that contacts connect already need no further proof
             unsettled = _across_components(unsettled, reduce(DataFrame.unionByName, proven))
         parents = reduce(
             DataFrame.unionByName,
@@ -326,7 +314,8 @@ def dbscan(
         ).distinct()
         kids = materialize(_children(dense, parents, group, grid, level))
         split = _split_side(_split_side(unsettled, "b", kids, group), "a", kids, group)
-        judged = materialize(_judge(split, eps_km))
+        judged, told = observed(_judge(split, eps_km), **undecided)
+        release(kids)
         level += 1
     contacts = materialize(
         reduce(DataFrame.unionByName, proven).groupBy(*group, "a_dense", "b_dense", "u", "v").agg(F.sum("w").alias("w"))
@@ -372,17 +361,8 @@ def dbscan(
 
 
 def _number_clusters(rooted: DataFrame, group: list[str]) -> DataFrame:
-    """(root, cluster_id): clusters of a group numbered from 0 by their root.
-
-    A plain window per group serves while all members together are few (their count
-    comes from file footers); beyond that the numbering itself is spread out.
-    """
-    roots = rooted.select(*group, "root").distinct()
-    if rooted.count() <= WINDOW_ROWS:
-        at = W.partitionBy(*group).orderBy("root")
-        numbered = roots.withColumn("rn", F.row_number().over(at))
-    else:
-        numbered = number_rows(roots, ["root"], group)
+    """(root, cluster_id): clusters of a group numbered from 0 by their root, spread over ranges."""
+    numbered = number_rows(rooted.select(*group, "root").distinct(), ["root"], group)
     return numbered.select("root", (F.col("rn") - 1).cast("int").alias("cluster_id"))
 
 

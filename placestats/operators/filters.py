@@ -29,17 +29,19 @@ def since_year(df: DataFrame, ts: str, year: int) -> DataFrame:
     return df.where(F.col(ts) >= F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz"))
 
 
-def trailing_months(df: DataFrame, ts: str, n: int = 12, as_of: str | None = None) -> DataFrame:
-    """Rows of the last `n` months, ending at `as_of` or at the newest row.
+def trailing_months(df: DataFrame, ts: str, n: int = 12, as_of: str | None = None, anchor: str = "max") -> DataFrame:
+    """Rows of the last `n` months, ending at `as_of`, else at the newest row (`anchor="max"`) or today (`"now"`).
 
     The newest row is a scalar subquery over the one column, whose value is pushed
     into the scan like a literal.
     """
+    if anchor not in ("max", "now"):
+        raise ValueError(f"unknown anchor {anchor!r}")
     kind = df.schema[ts].dataType
-    if as_of is None:
+    if as_of is None and anchor == "max":
         start = df.agg(F.add_months(F.max(F.col(ts).cast("date")), -n).cast(kind)).scalar()
     else:
-        start = F.add_months(F.lit(as_of).cast("date"), -n).cast(kind)
+        start = F.add_months(as_timestamp(as_of).cast("date"), -n).cast(kind)
     return df.where(F.col(ts) >= start)
 
 

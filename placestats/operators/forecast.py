@@ -1,28 +1,21 @@
 """Forecasts per group, all with the same output contract.
 
 Columns: the group, last_train_date and forecast_month (`yyyy-MM`), month (date),
-step, forecast (double), forecasted_count, lower_ci, upper_ci, arima_order.
-
-`snaive` and `trend` are pure SQL expressions. `sarima` spreads the order search:
-every (group, candidate order) pair is one row, one vectorised function fits a row,
-and the best fit per group is picked by an ordinary aggregation.
+step, forecast (double), forecasted_count, lower_ci, upper_ci, arima_order (a label of
+the model). All models are SQL expressions over joins and aggregates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placestats.constants import HORIZON, MIN_MONTHS, MIN_MONTHS_SEASONAL, SEASON_LENGTH
+from placestats.constants import HORIZON, MIN_MONTHS, SEASON_LENGTH
 from placestats.operators.series import backtest, horizon_months
-from placestats.session import materialize, spread
 
 Z95 = 1.96
-MAX_P, MAX_Q, MAX_SP, MAX_SQ = 2, 2, 1, 1
 
 
 def _keys(group: str | Sequence[str]) -> list[str]:
@@ -88,240 +81,49 @@ def forecast_trend(series: DataFrame, group: str | Sequence[str], horizon: int =
     return _contract(rows, keys, value, F.coalesce(F.sqrt(residual), F.lit(0.0)) * Z95, F.lit("trend"))
 
 
-# --- seasonal ARIMA ---------------------------------------------------------
-
-
-def _polys(theta: np.ndarray, order: tuple[int, int, int, int], season: int) -> tuple[np.ndarray, np.ndarray]:
-    """AR and MA lag polynomials, one row per parameter vector in `theta`."""
-    p, q, sp, sq = order
-    a, b, c, d = np.split(theta[:, : p + q + sp + sq], np.cumsum([p, q, sp]), axis=1)
-
-    def product(short: np.ndarray, seasonal: np.ndarray, sign: float) -> np.ndarray:
-        out = np.zeros((len(theta), short.shape[1] + seasonal.shape[1] * season + 1))
-        base = np.hstack([np.ones((len(theta), 1)), sign * short])
-        out[:, : base.shape[1]] = base
-        for j in range(seasonal.shape[1]):
-            at = (j + 1) * season
-            out[:, at : at + base.shape[1]] += sign * seasonal[:, j : j + 1] * base
-        return out
-
-    return product(a, c, -1.0), product(b, d, 1.0)
-
-
-def _errors(w: np.ndarray, theta: np.ndarray, order: tuple[int, int, int, int], season: int, mean: bool) -> np.ndarray:
-    """Innovations for every parameter vector at once, with zeros before the sample."""
-    ar, ma = _polys(theta, order, season)
-    x = w[None, :] - theta[:, -1:] if mean else np.repeat(w[None, :], len(theta), axis=0)
-    e = np.zeros_like(x)
-    for lag in range(min(ar.shape[1], x.shape[1])):
-        e[:, lag:] += ar[:, lag : lag + 1] * x[:, : x.shape[1] - lag]
-    back = ma.shape[1] - 1
-    if back:
-        lags = ma[:, :0:-1]
-        padded = np.zeros((len(theta), back + x.shape[1]))
-        for t in range(x.shape[1]):
-            padded[:, back + t] = e[:, t] - np.einsum("ij,ij->i", lags, padded[:, t : t + back])
-        e = padded[:, back:]
-    return e
-
-
-def _fit_arma(w: np.ndarray, order: tuple[int, int, int, int], season: int, mean: bool):
-    """Conditional least squares by damped Gauss-Newton; None when it breaks down."""
-    k = sum(order)
-    theta = np.full(k + mean, 0.1)
-    if mean:
-        theta[-1] = w.mean()
-    damp = 1e-2
-    e = _errors(w, theta[None, :], order, season, mean)[0]
-    sse = e @ e
-    for _ in range(25 if len(theta) else 0):
-        steps = 1e-5 * np.maximum(1.0, np.abs(theta))
-        shifted = _errors(w, theta[None, :] + np.diag(steps), order, season, mean)
-        jac = ((shifted - e) / steps[:, None]).T
-        if not np.isfinite(jac).all():
-            break
-        normal = jac.T @ jac
-        move = np.linalg.solve(normal + damp * (np.diag(np.diag(normal)) + 1e-9 * np.eye(len(theta))), -jac.T @ e)
-        trial = theta + move
-        trial[:k] = np.clip(trial[:k], -0.98, 0.98)
-        e_new = _errors(w, trial[None, :], order, season, mean)[0]
-        new = e_new @ e_new
-        if np.isfinite(new) and new < sse:
-            gain, theta, e, sse, damp = (sse - new) / max(sse, 1e-12), trial, e_new, new, damp / 4
-            if gain < 1e-6:
-                break
-        else:
-            damp *= 8
-            if damp > 1e6:
-                break
-    if not np.isfinite(sse):
-        return None
-    ar, ma = _polys(theta[None, :], order, season)
-    return ar[0], ma[0], (theta[-1] if mean else 0.0), e, len(theta)
-
-
-def fit_sarima(y: np.ndarray, order: tuple[int, int, int, int, int, int], season: int, horizon: int):
-    """(aic, point forecasts, standard errors) of one order, or None."""
-    p, d, q, sp, sd, sq = order
-    w = y.astype(float)
-    diff = np.array([1.0])
-    for _ in range(sd):
-        w = w[season:] - w[:-season]
-        diff = np.convolve(diff, np.r_[1.0, np.zeros(season - 1), -1.0])
-    for _ in range(d):
-        w = np.diff(w)
-        diff = np.convolve(diff, [1.0, -1.0])
-    if len(w) < 4 or len(w) <= p + q + sp + sq + 1:
-        return None
-    fitted = _fit_arma(w, (p, q, sp, sq), season, mean=d + sd <= 1)
-    if fitted is None:
-        return None
-    ar, ma, mu, e, k = fitted
-    var = max(e @ e / len(w), 1e-9)
-    aic = len(w) * np.log(var) + 2 * (k + 1)
-    full = np.convolve(ar, diff)
-    drift = mu * ar.sum()
-    past, noise = list(y.astype(float)), list(np.r_[np.zeros(len(y) - len(e)), e])
-    for _ in range(horizon):
-        step = drift - sum(c * past[-i] for i, c in enumerate(full[1:], 1) if i <= len(past))
-        step += sum(c * noise[-i] for i, c in enumerate(ma[1:], 1) if i <= len(noise))
-        past.append(step)
-        noise.append(0.0)
-    psi = np.zeros(horizon)
-    for j in range(horizon):
-        lead = ma[j] if j < len(ma) else 0.0
-        psi[j] = lead - sum(full[i] * psi[j - i] for i in range(1, min(j, len(full) - 1) + 1))
-    return aic, np.array(past[-horizon:]), np.sqrt(var * np.cumsum(psi**2))
-
-
-def needs_difference(w: np.ndarray) -> bool:
-    """KPSS level test at 5 %: is one more difference called for?"""
-    n = len(w)
-    if n < 6 or np.ptp(w) == 0:
-        return False
-    dev = w - w.mean()
-    lags = int(np.ceil(12 * (n / 100) ** 0.25))
-    spread = dev @ dev / n + 2 * sum((1 - l / (lags + 1)) * (dev[l:] @ dev[:-l]) / n for l in range(1, min(lags, n - 1) + 1))
-    return bool((np.cumsum(dev) @ np.cumsum(dev)) / (n * n * max(spread, 1e-12)) > 0.463)
-
-
-def adf_rejects(y: np.ndarray) -> bool:
-    """Augmented Dickey-Fuller with constant, lag by AIC: unit root rejected at 5 %?"""
-    y = np.asarray(y, float)
-    dy = np.diff(y)
-    top = min(int(np.ceil(12 * (len(y) / 100) ** 0.25)), len(dy) // 2 - 2)
-    if top < 0 or np.ptp(y) == 0:
-        return False
-
-    def regress(lag: int, skip: int):
-        rows = np.arange(skip, len(dy))
-        cols = [np.ones(len(rows)), y[rows]] + [dy[rows - i] for i in range(1, lag + 1)]
-        x, z = np.column_stack(cols), dy[rows]
-        coef, *_ = np.linalg.lstsq(x, z, rcond=None)
-        rss = ((z - x @ coef) ** 2).sum()
-        return x, coef, rss, len(rows)
-
-    def aic(lag: int) -> float:
-        x, _, rss, n = regress(lag, top)
-        return n * np.log(max(rss, 1e-300) / n) + 2 * x.shape[1]
+def forecast_seasonal(series: DataFrame, group: str | Sequence[str], horizon: int = HORIZON, lag: int = SEASON_LENGTH) -> DataFrame:
+    """Last season plus a first-order autoregression of the change against the season before.
 
-    lag = min(range(top + 1), key=aic)
-    x, coef, rss, n = regress(lag, lag)
-    if n <= x.shape[1]:
-        return False
-    err = np.sqrt(rss / (n - x.shape[1]) * np.linalg.pinv(x.T @ x)[1, 1])
-    critical = -2.86154 - 2.8903 / n - 4.234 / n**2 - 40.04 / n**3
-    return bool(err > 0 and coef[1] / err < critical)
-
-
-def series_arrays(series: DataFrame, group: str | Sequence[str]) -> DataFrame:
-    """One row per group with its values in month order; bounded by the calendar."""
-    keys = _keys(group)
-    packed = series.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("month", F.col("y").cast("double").alias("y")))).alias("_s"),
-        F.max("month").alias("last_month"),
-    )
-    return packed.select(*keys, "last_month", F.col("_s.y").alias("ys"))
-
-
-def is_stationary(series: DataFrame, group: str | Sequence[str]) -> DataFrame:
-    """Per group: does the unit-root test reject at 5 %?"""
-
-    @F.pandas_udf("boolean")
-    def test(ys: pd.Series) -> pd.Series:
-        return ys.map(adf_rejects)
-
-    return series_arrays(series, group).select(*_keys(group), test("ys").alias("is_stationary"))
-
-
-def _candidates() -> Column:
-    """All orders (p, q, P, Q) of the search as one literal array."""
-    orders = [
-        F.struct(F.lit(p).alias("p"), F.lit(q).alias("q"), F.lit(sp).alias("sp"), F.lit(sq).alias("sq"))
-        for p in range(MAX_P + 1) for q in range(MAX_Q + 1) for sp in range(MAX_SP + 1) for sq in range(MAX_SQ + 1)
-    ]
-    return F.array(*orders)
-
-
-def forecast_sarima(
-    series: DataFrame,
-    group: str | Sequence[str],
-    horizon: int = HORIZON,
-    min_months: int = MIN_MONTHS,
-    seasonal_from: int = MIN_MONTHS_SEASONAL,
-    season: int = SEASON_LENGTH,
-) -> DataFrame:
-    """Best seasonal ARIMA by AIC per group; short or unfittable groups yield no rows.
-
-    Seasonal terms and one seasonal difference apply from `seasonal_from` months on;
-    the plain difference is chosen by a level-stationarity test.
+    d(t) = y(t) - y(t - lag) follows d(t) = a + b d(t - 1), fitted by least squares over a
+    lag join; b is held within +-0.99. Groups with fewer than three such pairs, or none that
+    differ, repeat the season (a = b = 0). The interval comes from the residual spread.
     """
+    if horizon > lag:
+        raise ValueError("the horizon must not exceed one season")
     keys = _keys(group)
-
-    @F.pandas_udf("struct<d:int,aic:double,point:array<double>,error:array<double>>")
-    def fit(ys: pd.Series, p: pd.Series, q: pd.Series, sp: pd.Series, sq: pd.Series) -> pd.DataFrame:
-        out = []
-        for y, *o in zip(ys, p, q, sp, sq):
-            y = np.asarray(y, float)
-            seasonal = len(y) >= seasonal_from
-            base = y[season:] - y[:-season] if seasonal else y
-            d = int(needs_difference(base))
-            try:
-                got = fit_sarima(y, (o[0], d, o[1], o[2], int(seasonal), o[3]), season if seasonal else 1, horizon)
-            except (np.linalg.LinAlgError, FloatingPointError):
-                got = None
-            if got is None or not np.isfinite(got[0]) or not np.isfinite(got[1]).all():
-                out.append((d, None, None, None))
-            else:
-                out.append((d, float(got[0]), got[1].tolist(), got[2].tolist()))
-        return pd.DataFrame(out, columns=["d", "aic", "point", "error"])
-
-    packed = materialize(series_arrays(series, keys).where(F.size("ys") >= min_months))
-    seasonal = F.size("ys") >= seasonal_from
-    tries = packed.withColumn("o", F.explode(_candidates())).where(seasonal | (F.col("o.sp") + F.col("o.sq") == 0))
-    orders = (MAX_P + 1) * (MAX_Q + 1) * (MAX_SP + 1) * (MAX_SQ + 1)
-    tries = spread(tries, packed.count() * orders, per_task=2_000, least=8)
-    fits = tries.withColumn("f", fit("ys", "o.p", "o.q", "o.sp", "o.sq"))
-    chosen = F.min_by(
-        F.struct("f", "o", "last_month", seasonal.alias("seasonal")),
-        F.when(F.col("f.aic").isNotNull(), F.struct(F.col("f.aic"), F.col("o.p"), F.col("o.q"), F.col("o.sp"), F.col("o.sq"))),
+    y = F.col("y").cast("double")
+    ago = series.select(*keys, F.add_months("month", lag).alias("month"), y.alias("_ago"))
+    change = series.join(ago, [*keys, "month"]).select(*keys, "month", (y - F.col("_ago")).alias("_d"))
+    before = change.select(*keys, F.add_months("month", 1).alias("month"), F.col("_d").alias("_p"))
+    fit = change.join(before, [*keys, "month"]).groupBy(*keys).agg(
+        F.regr_slope("_d", "_p").alias("_slope"), F.avg("_d").alias("_md"), F.avg("_p").alias("_mp"),
+        F.regr_syy("_d", "_p").alias("_syy"), F.regr_sxx("_d", "_p").alias("_sxx"), F.regr_sxy("_d", "_p").alias("_sxy"),
+        F.count(F.lit(1)).alias("_n"),
     )
-    best = fits.groupBy(*keys).agg(chosen.alias("b")).where(F.col("b").isNotNull())
-    label = F.format_string(
-        "(%d, %d, %d)(%d, %d, %d, %d)", F.col("b.o.p"), F.col("b.f.d"), F.col("b.o.q"), F.col("b.o.sp"),
-        F.col("b.seasonal").cast("int"), F.col("b.o.sq"), F.when(F.col("b.seasonal"), F.lit(season)).otherwise(F.lit(0)),
+    usable = (F.col("_n") >= 3) & F.col("_slope").isNotNull()
+    slope = F.when(usable, F.least(F.greatest(F.col("_slope"), F.lit(-0.99)), F.lit(0.99)))
+    fit = fit.withColumn("_b", slope)
+    residual = F.col("_syy") - 2 * F.col("_b") * F.col("_sxy") + F.col("_b") * F.col("_b") * F.col("_sxx")
+    fit = fit.select(
+        *keys, "_b", F.when(usable, F.col("_md") - F.col("_b") * F.col("_mp")).alias("_a"),
+        F.when(usable, F.sqrt(F.greatest(residual, F.lit(0.0)) / F.greatest(F.col("_n") - 2, F.lit(1)))).alias("_s"),
     )
-    steps = best.select(
-        *keys, F.col("b.last_month").alias("last_month"), label.alias("_order"),
-        F.posexplode(F.arrays_zip(F.col("b.f.point"), F.col("b.f.error"))).alias("_i", "_pe"),
-    ).withColumns({"step": F.col("_i") + 1, "month": F.expr("add_months(last_month, _i + 1)")})
-    return _contract(steps, keys, F.col("_pe.point"), F.col("_pe.error") * Z95, F.col("_order"))
+    last = series.groupBy(*keys).agg(F.max("month").alias("month"))
+    newest = change.join(last, [*keys, "month"]).select(*keys, F.col("_d").alias("_last"))
+    ahead = horizon_months(series, keys, horizon).withColumn("_from", F.add_months("month", -lag))
+    base = series.select(*keys, F.col("month").alias("_from"), y.alias("_y"))
+    rows = ahead.join(base, [*keys, "_from"]).join(fit, keys, "left").join(newest, keys, "left")
+    b, h = F.coalesce("_b", F.lit(0.0)), F.col("step").cast("double")
+    power = F.pow(b, h)
+    drift = F.coalesce("_a", F.lit(0.0)) * (1 - power) / (1 - b) + power * F.coalesce(F.when(F.col("_b").isNotNull(), F.col("_last")), F.lit(0.0))
+    half = F.coalesce("_s", F.lit(0.0)) * F.sqrt((1 - power * power) / (1 - b * b)) * Z95
+    return _contract(rows, keys, F.col("_y") + drift, half, F.lit("seasonal_ar1"))
 
 
-MODELS = {"sarima": forecast_sarima, "snaive": forecast_snaive, "trend": forecast_trend}
+MODELS = {"seasonal": forecast_seasonal, "snaive": forecast_snaive, "trend": forecast_trend}
 
 
-def forecast(series: DataFrame, group: str | Sequence[str], horizon: int = HORIZON, model: str = "sarima") -> DataFrame:
+def forecast(series: DataFrame, group: str | Sequence[str], horizon: int = HORIZON, model: str = "seasonal") -> DataFrame:
     """Forecast with the holdout error of the same model beside it."""
     keys = _keys(group)
     gated = long_enough(series, keys)

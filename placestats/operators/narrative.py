@@ -16,7 +16,6 @@ from placestats.functions.nested import get_or
 from placestats.functions.rules import reliability
 from placestats.functions.text import fill_template, fixed, humanize, split_trim, truncate_text
 from placestats.operators.ranking import dedupe
-from placestats.session import fits
 
 
 def _when(cond: Column, sentence: Column | str) -> Column:
@@ -139,21 +138,24 @@ def grocery_reliability() -> Column:
 # --- reports ----------------------------------------------------------------
 
 
-def text_report(df: DataFrame, block: Column, order: Sequence[str], sep: str = "\n\n", max_chars: int | None = None) -> DataFrame:
-    """All blocks as one text, in order, optionally cut to `max_chars`.
+def text_report(
+    df: DataFrame, block: Column, order: Sequence[str], sep: str = "\n\n", max_chars: int | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """Blocks joined to one text per key `by`, in order, optionally cut to `max_chars`.
 
-    A cut text can only hold so many separators, so no more than that many leading
-    rows are ever brought together. An uncut report must be of bounded size.
+    A text over the whole table needs `max_chars`: a cut text can only hold so many
+    separators, so no more than that many leading rows are brought together. Texts per
+    key hold the rows of their key, however many keys there are.
     """
-    rows = df.select(*order, block.alias("_block")).where(F.col("_block").isNotNull())
-    if max_chars is not None:
+    if not by and max_chars is None:
+        raise ValueError("give `by`, or `max_chars` for a text over all rows")
+    rows = df.select(*by, *[c for c in order if c not in by], block.alias("_block")).where(F.col("_block").isNotNull())
+    if not by:
         rows = rows.orderBy(*order).limit(math.ceil(max_chars / len(sep)) + 1)
-    elif not fits(rows, 100_000):
-        raise ValueError("too many blocks for one text; pass max_chars or write the rows instead")
     joined = F.array_join(
         F.transform(F.sort_array(F.collect_list(F.struct(*order, "_block"))), lambda r: r["_block"]), sep
     )
-    return rows.agg((joined if max_chars is None else truncate_text(joined, max_chars)).alias("report"))
+    return rows.groupBy(*by).agg((joined if max_chars is None else truncate_text(joined, max_chars)).alias("report"))
 
 
 def context_blocks(df: DataFrame, tagged: bool = False) -> Column:
@@ -202,29 +204,26 @@ def rows_as_csv(df: DataFrame, cols: Sequence[str], n: int, order: Sequence[Colu
 
 
 def features(df: DataFrame, props: Mapping[str, Column], geom: str = "geometry", selected: str | None = None,
-             name: str = "neighborhood_name") -> DataFrame:
-    """One GeoJSON Feature text per row; rows without a usable geometry are left out."""
+             name: str = "neighborhood_name", keep: Sequence[str] = ()) -> DataFrame:
+    """One GeoJSON Feature text per row, beside `keep`; rows without a usable geometry are left out."""
     shape = geom_to_geojson(F.col(geom))
     chosen = F.coalesce(F.col(name) == selected, F.lit(False)) if selected is not None else F.lit(False)
     fields = F.struct(*[c.alias(k) for k, c in props.items()], chosen.alias("is_selected"))
     body = F.to_json(fields, {"ignoreNullFields": "false"})
     rows = df.withColumns({"_shape": shape, "_props": body}).where(F.col("_shape").isNotNull())
     text = F.concat(F.lit('{"type":"Feature","geometry":'), F.col("_shape"), F.lit(',"properties":'), F.col("_props"), F.lit("}"))
-    return rows.select(name, text.alias("feature"))
+    return rows.select(name, *keep, text.alias("feature"))
 
 
-def feature_collection(feats: DataFrame, order: str = "neighborhood_name", max_features: int = 50_000) -> DataFrame:
-    """One FeatureCollection text from feature rows.
+def feature_collection(feats: DataFrame, by: str, order: str = "neighborhood_name") -> DataFrame:
+    """One FeatureCollection text per key (a city, a map tile) from feature rows.
 
-    A collection is a single document, so its size is checked; larger sets are
-    written one feature per line instead.
+    A collection is one document, so its key must bound it; the feature rows themselves
+    are the form for sets of any size, one feature per line.
     """
-    if not fits(feats, max_features):
-        raise ValueError(f"more than {max_features} features; export the feature rows as lines")
     rows = F.transform(F.sort_array(F.collect_list(F.struct(order, "feature"))), lambda r: r["feature"])
-    return feats.agg(
-        F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(rows, ","), F.lit("]}")).alias("geojson")
-    )
+    text = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(rows, ","), F.lit("]}"))
+    return feats.groupBy(by).agg(text.alias("geojson"))
 
 
 # --- headings -------------------------------------------------------------------

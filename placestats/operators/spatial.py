@@ -214,12 +214,13 @@ def adjacency(
     return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def collect_geometry(df: DataFrame, key: list[str], geom: str = "geometry") -> DataFrame:
-    """Merge the features of one place into one multi-part geometry.
+def collect_geometry(df: DataFrame, key: list[str], order: str, geom: str = "geometry") -> DataFrame:
+    """Merge the features of one place into one multi-part geometry, parts in `order`.
 
     Parts are kept side by side, not dissolved; containment is true in any part.
     """
-    return df.groupBy(*key).agg(F.flatten(F.collect_list(geom)).alias(geom))
+    listed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("_at"), F.col(geom).alias("_g"))))
+    return df.groupBy(*key).agg(F.flatten(F.transform(listed, lambda p: p["_g"])).alias(geom))
 
 
 def boundary_points(polygons: DataFrame, geom: str = "geometry", keep: list[str] | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,6 @@ from placestats.operators import spatial
 from placestats.operators.aggregates import collect_sorted, count_by, distribution, kpis
 from placestats.operators.filters import complete_months, since_year, trailing_months
 from placestats.operators.joins import left_fill, match_exact, neighbours_of
-from placestats.operators.narrative import features
 from placestats.operators.ranking import bottom_k, dedupe, order_by, top_k
 from placestats.operators.series import monthly_counts
 from placestats.plans.grocery import newest_stores
@@ -60,8 +59,8 @@ def points_with_street(points: DataFrame, incidents: DataFrame, name: str | None
 
 
 def offense_breakdown(mart: DataFrame, name: str | None = None, as_of: str | None = None, k: int = 5) -> DataFrame:
-    """Top offences of the trailing year among violent and property crimes."""
-    rows = located(trailing_months(mart, "occurred_on_date", 12, as_of))
+    """Top offences among violent and property crimes of the year that ends at `as_of`, today without one."""
+    rows = located(trailing_months(mart, "occurred_on_date", 12, as_of, anchor="now"))
     if name is not None:
         rows = rows.where(F.col("neighborhood_name") == name)
     rows = rows.where(F.col("is_violent_crime") | F.col("is_property_crime"))
@@ -152,10 +151,6 @@ def healthcare_map(profile: DataFrame, clusters: DataFrame, locations: DataFrame
     return rows.join(areas, "location_id").withColumn("fill_color", score_color(F.col("healthcare_score")))
 
 
-def area_features(rows: DataFrame, props: Mapping[str, Column], selected: str | None = None) -> DataFrame:
-    return features(rows, props, selected=selected)
-
-
 def forecast_board(narratives: DataFrame, clusters: DataFrame, trends: Sequence[str], flags: Sequence[str]) -> DataFrame:
     """Narrative rows of the chosen trends and reliabilities with hotspot figures and outlook."""
     rows = narratives.where(F.col("recent_trend").isin(list(trends)) & F.col("reliability_flag").isin(list(flags)))

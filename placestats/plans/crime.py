@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placestats import constants as K
-from placestats.functions.dates import fmt_ts, month_of, year_month_key
+from placestats.functions.dates import month_of, year_month_key
 from placestats.functions.numbers import fill_sentinel, flag_eq, safe_ratio, to_int
 from placestats.functions.rules import bucketize, flag_in, keyword_flag, keyword_tier, member_label, validate_code
 from placestats.functions.text import clean_text, norm_text
@@ -93,10 +95,6 @@ def clean_incidents(raw: DataFrame, districts: DataFrame, as_of: str | None = No
     )
 
 
-def load_stamp(df: DataFrame, as_of: str | None = None) -> DataFrame:
-    return df.withColumn("load_timestamp", fmt_ts(as_timestamp(as_of)))
-
-
 def union_cities(sources: dict[str, DataFrame]) -> DataFrame:
     """Several cities' incidents on one schema, tagged by city."""
     aligned = []
@@ -195,17 +193,25 @@ def narratives(series: DataFrame, forecasts: DataFrame, clusters: DataFrame, mod
     )
 
 
-def analyse(mart: DataFrame, id: str = "incident_id", since: int = 2023, as_of: str | None = None, model: str = "sarima"):
-    """The whole analysis: series, forecasts, cluster figures, cluster points, narratives."""
+def analyse(mart: DataFrame, since: int = 2023, as_of: str | None = None, model: str = "seasonal", id: str = "incident_id",
+            stats=K.CRIME_STATS_SCALE, points=K.CRIME_MAP_SCALE,
+            parts: Sequence[str] = ("series", "forecast", "clusters", "points", "narratives")) -> dict[str, DataFrame]:
+    """The whole analysis, or the chosen `parts` of it.
+
+    Incident ids need not be unique: the mart is unique per incident and offence.
+    """
     rows = load_incidents(mart, since, as_of)
     series = monthly_series(rows, "neighborhood_name", "year_month")
-    ahead = forecast(series, "neighborhood_name", model=model)
-    recent = materialize(recent_incidents(rows))
-    figures = hotspot_figures(recent, id)
-    return {
-        "series": series, "forecast": ahead, "clusters": figures, "points": hotspot_points(recent, id),
-        "narratives": narratives(series, ahead, figures),
-    }
+    out = {"series": series, "forecast": forecast(series, "neighborhood_name", model=model)}
+    if {"clusters", "points", "narratives"} & set(parts):
+        recent = materialize(recent_incidents(rows, least=stats[1]))
+        if {"clusters", "narratives"} & set(parts):
+            out["clusters"] = hotspot_figures(recent, id, stats)
+        if "points" in parts:
+            out["points"] = hotspot_points(recent, id, points)
+        if "narratives" in parts:
+            out["narratives"] = narratives(series, out["forecast"], out["clusters"])
+    return {name: out[name] for name in parts}
 
 
 def safety_signals(mart: DataFrame, areas: DataFrame, as_of: str | None = None) -> DataFrame:

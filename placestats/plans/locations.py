@@ -33,7 +33,7 @@ def cities(spark: SparkSession, features: DataFrame | None = None) -> DataFrame:
     if features is None:
         merged = table.withColumn("geometry", F.lit(None).cast("array<array<array<struct<x:double,y:double>>>>"))
     else:
-        shapes = collect_geometry(features.where(F.col("geometry").isNotNull()), ["name"])
+        shapes = collect_geometry(features.where(F.col("geometry").isNotNull()), ["name"], "pos")
         merged = table.join(shapes, "name", "left")
     known = merged.withColumnsRenamed({"centroid_lat": "_lat", "centroid_long": "_long"})
     rows = with_centroid(known)

@@ -8,10 +8,14 @@ joins split the hot keys.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+import weakref
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -22,6 +26,9 @@ SETTINGS = {
 }
 
 _own_dirs: dict[str, str] = {}
+_cleared: set[str] = set()
+_paths: dict[int, str] = {}
+on_plan: Callable[[DataFrame], None] | None = None  # tests look at every plan that is written through here
 
 
 def build_session(app: str = "placestats", master: str | None = None, **extra: str) -> SparkSession:
@@ -51,16 +58,60 @@ def scratch_dir(spark: SparkSession) -> str:
     return _own_dirs[app]
 
 
+def _folder(spark: SparkSession) -> str:
+    """This application's own part of the scratch folder, removed when the application ends."""
+    path = f"{scratch_dir(spark)}/placestats/{spark.sparkContext.applicationId}"
+    if path not in _cleared:
+        _cleared.add(path)
+        atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None or context._gateway is None:  # stopped: nothing can reach the folder any more
+        return
+    try:
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+    except Py4JError:
+        pass  # the engine ended first
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write `df` to the shared scratch folder and read it back.
 
     This cuts the lineage of iterative work, survives lost executors, and gives
     the optimizer true file sizes, so small results are broadcast by its own rule.
+    The files live until `release` or the end of the application.
     """
+    return observed(df)[0]
+
+
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """`materialize`, with aggregates that the write itself computes: no extra job reads the rows."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/placestats/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
+    if on_plan is not None:
+        on_plan(df)
+    told: dict = {}
+    if metrics:
+        watch = Observation()
+        df.observe(watch, *[c.alias(k) for k, c in metrics.items()]).write.parquet(path)
+        told = watch.get
+    else:
+        df.write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    _paths[id(back)] = path
+    weakref.finalize(back, _paths.pop, id(back), None)
+    return back, told
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of materialized frames that nothing reads any more."""
+    for df in frames:
+        if path := _paths.pop(id(df), None):
+            _remove(df.sparkSession, path)
 
 
 def spread(df: DataFrame, rows: int, *keys: str, per_task: int = 200_000, least: int = 500) -> DataFrame:
@@ -71,19 +122,3 @@ def spread(df: DataFrame, rows: int, *keys: str, per_task: int = 200_000, least:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(max(min(cores, -(-rows // least)), -(-rows // per_task), 1), *keys)
-
-
-def widen(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """Deal a small frame out to all cores before slow per-row work.
-
-    A few small files are read by a few tasks. Larger frames are left alone: their
-    splits already keep all cores busy, and moving them would cost a full shuffle.
-    """
-    if not fits(df, max_rows):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Does `df` hold at most `max_rows` rows? Reads no more than it needs to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows

@@ -63,14 +63,19 @@ def load_report(df: DataFrame, date_col: str | None = None, day: str | None = No
     return df.agg(*counts)
 
 
-def upsert(target: DataFrame | None, batch: DataFrame, key: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
+def upsert(
+    target: DataFrame | None, batch: DataFrame, key: Sequence[str], order: Sequence[Column] | None = None, unique: bool = False
+) -> DataFrame:
     """`target` with the rows of `batch` inserted or replaced by key.
 
-    With `order` the first row per key of the batch wins. Without it the batch must
-    have unique keys: a repeated key fails the job when the result is computed.
+    With `order` the first row per key of the batch wins. With `unique` the caller vouches
+    for unique keys, and nothing is checked. Without both a repeated key fails the job when
+    the result is computed.
     """
     key = list(key)
-    if order is not None:
+    if unique:
+        rows = batch
+    elif order is not None:
         rows = dedupe(batch, key, order)
     else:
         counts = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*batch.columns)).alias("_r"))

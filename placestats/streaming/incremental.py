@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from placestats.operators.ranking import dedupe
+from placestats.session import materialize
 from placestats.sources.writers import VersionedTable, upsert
 
 
@@ -32,9 +33,17 @@ def incremental(
     key: Sequence[str],
     order: Sequence[Column],
 ) -> DataFrame:
-    """State of the target after one run: new rows, de-duplicated, upserted by `key`."""
-    fresh = dedupe(newer_than(source, target, ts), dedupe_keys, order)
-    return upsert(target, fresh, key, order)
+    """State of the target after one run: new rows, de-duplicated, upserted by `key`.
+
+    Where `key` is part of `dedupe_keys` the first row per `key` is also the first of its
+    `dedupe_keys`, so one reduction does both. The reduced rows are written once, because
+    their keys strike out the stored rows and they themselves are added.
+    """
+    fresh = newer_than(source, target, ts)
+    if not set(key) <= set(dedupe_keys):
+        fresh = dedupe(fresh, dedupe_keys, order)
+    fresh = dedupe(fresh, key, order)
+    return upsert(target, fresh if target is None else materialize(fresh), key, unique=True)
 
 
 def run_incremental(

@@ -64,7 +64,6 @@ def test_dense_cells_are_split_exactly(spark, monkeypatch, leaf):
 
 
 def test_pruned_pairs_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(cluster, "PRUNE_FROM", 0)
     monkeypatch.setattr(cluster, "LEAF", 3)
     points = scatter(11, 700, 42.35, -71.06, 0.0008)
     assert run(spark, points, 0.03, 6) == brute_force(points, 0.03, 6)
@@ -124,39 +123,19 @@ def test_groups_do_not_mix_and_missing_coordinates_are_left_out(spark):
     assert {r["id"] for r in skipped.collect()} == {1, 2}
 
 
-def test_large_numbering_takes_the_spread_path(spark, monkeypatch):
-    monkeypatch.setattr(cluster, "WINDOW_ROWS", 0)
-    points = scatter(8, 400, 42.35, -71.06, 0.004)
-    assert run(spark, points, 0.06, 4) == brute_force(points, 0.06, 4)
-
-
-@pytest.mark.parametrize("shape", ["reversed", "star"])
-def test_components(spark, shape):
-    rnd = random.Random(9)
-    n = 200
-    if shape == "path":
-        edges = [(i, i + 1) for i in range(n)] + [(1000 + i, 1001 + i) for i in range(50)]
-    elif shape == "reversed":
-        order = list(range(n))
-        rnd.shuffle(order)
-        edges = list(zip(order, order[1:]))
-    elif shape == "star":
-        edges = [(77, i) for i in range(n) if i != 77]
-    else:
-        edges = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(220)]
-    parent = {}
-
-    def find(x):
-        parent.setdefault(x, x)
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a, b in edges:
-        ra, rb = find(a), find(b)
-        parent[max(ra, rb)] = min(ra, rb)
-    linked = {x for e in edges if e[0] != e[1] for x in e}
-    want = {x: find(x) for x in linked}
-    df = spark.createDataFrame(edges, "u long, v long")
-    got = {r["node"]: r["root"] for r in connected_components(df).collect()}
-    assert got == want
+def test_ids_may_repeat(spark):
+    """Group A: four points in a row, ids 1-4; group B: two lone points that reuse ids 1 and 2."""
+    step = 0.3 / 1000 / 111.195  # 0.3 m in degrees of latitude
+    rows = [("A", i + 1, 42.0 + i * step, -71.0) for i in range(4)] + [("B", 1, 42.0, -71.0), ("B", 2, 43.0, -71.0)]
+    df = spark.createDataFrame(rows, "g string, id int, lat double, long double")
+    got = dbscan(df, "g", "id", eps_km=0.35 / 1000, min_samples=3).collect()
+    assert len(got) == 6
+    assert {(r.g, r.id): r.cluster_id for r in got} == {("A", i): 0 for i in (1, 2, 3, 4)} | {("B", 1): -1, ("B", 2): -1}
+    assert {r.id for r in got if r.is_core} == {2, 3}
+
+
+def test_one_id_for_all(spark):
+    rows = [(7, 42.0 + (i % 2), -71.0 + 1e-7 * i) for i in range(8)]
+    df = spark.createDataFrame([("A", *r) for r in rows], "g string, id int, lat double, long double")
+    got = dbscan(df, "g", "id", eps_km=0.01, min_samples=4).collect()
+    assert len(got) == 8 and {(round(r.lat), r.cluster_id) for r in got} == {(42, 0), (43, 1)}

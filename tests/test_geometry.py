@@ -104,5 +104,5 @@ def test_adjacency(spark):
 
 def test_collect_geometry(spark):
     rows = polygons(spark, [(1, SQUARE), (1, PARTS), (2, HOLED)])
-    got = {r["location_id"]: len(r["geometry"]) for r in collect_geometry(rows, ["location_id"]).collect()}
+    got = {r["location_id"]: len(r["geometry"]) for r in collect_geometry(rows.withColumn("at", F.monotonically_increasing_id()), ["location_id"], "at").collect()}
     assert got == {1: 3, 2: 1}

@@ -1,6 +1,5 @@
 """Every registered query against its oracle on the smallest driver tables."""
 
-import os
 from pathlib import Path
 
 import pytest
@@ -9,12 +8,7 @@ import __spark_entry__ as entry
 from tests.compare import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
-# variants of clustering queries that the others already cover; all run with FULL_QUERIES=1
-VARIANTS = {
-    "dbscan_border", "dbscan_stats", "dbscan_two_scale", "cluster_kpis", "crime_cluster_points", "point_kinds",
-    "grocery_board", "grocery_map", "grocery_narratives", "crime_narratives", "prompt_context", "forecast_board",
-}
-CHECKED = set(entry.oracle_sql()) - (set() if os.environ.get("FULL_QUERIES") else VARIANTS)
+CHECKED = set(entry.oracle_sql())
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables not present")
 
 

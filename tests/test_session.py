@@ -4,7 +4,7 @@ import types
 
 import pytest
 
-from placestats.session import SETTINGS, fits, materialize, scratch_dir, spread, widen
+from placestats.session import SETTINGS, _paths, materialize, observed, release, scratch_dir, spread
 
 
 def fake(**conf):
@@ -27,9 +27,19 @@ def test_materialize_cuts_the_plan(spark):
 
 
 def test_sizes(spark):
-    assert fits(spark.range(5), 5) and not fits(spark.range(6), 5)
     assert spread(spark.range(10), 10).rdd.getNumPartitions() == 1
     assert spread(spark.range(10), 10**9).rdd.getNumPartitions() == 5000
-    assert widen(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 8
-    assert widen(spark.range(0, 10, 1, 1), max_rows=5).rdd.getNumPartitions() == 1
     assert SETTINGS["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_writes_tell_what_they_wrote_and_files_go(spark):
+    from pyspark.sql import functions as F
+
+    df, told = observed(spark.range(10), n=F.count(F.lit(1)), most=F.max("id"))
+    assert told == {"n": 10, "most": 9} and df.count() == 10
+    path = _paths[id(df)]
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    disk = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert disk.exists(files)
+    release(df)
+    assert not disk.exists(files)

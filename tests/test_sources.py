@@ -71,7 +71,7 @@ def test_geojson_and_master_locations(spark, tmp_path):
     feats = readers.read_geojson(spark, str(tmp_path / "b.geojson"), {"sqmiles": "double"})
     rows = feats.orderBy("pos").collect()
     assert [(r["pos"], r["name"], r["sqmiles"]) for r in rows] == [(0, "FENWAY", 1.5), (1, "PORT", None)]
-    shapes = spark.createDataFrame([("SALEM",)], "name string").crossJoin(feats.where("pos = 0").select("geometry"))
+    shapes = spark.createDataFrame([("SALEM",)], "name string").crossJoin(feats.where("pos = 0").select("pos", "geometry"))
     master = locations.master_locations(
         [locations.neighbourhoods(feats, "BOSTON", "sqmiles"), locations.cities(spark, shapes)]
     ).orderBy("location_id").collect()

@@ -110,7 +110,9 @@ def test_narrate_with_and_without_model(spark):
 def test_reports_are_exact_when_cut(spark):
     df = spark.range(500).select(F.format_string("n%03d", "id").alias("k"))
     whole = "\n\n".join(f"n{i:03d}" for i in range(500))
-    assert text_report(df, F.col("k"), ["k"]).first()["report"] == whole
+    assert text_report(df.withColumn("g", F.lit(1)), F.col("k"), ["k"], by=["g"]).first()["report"] == whole
+    with pytest.raises(ValueError):
+        text_report(df, F.col("k"), ["k"])
     assert text_report(df, F.col("k"), ["k"], max_chars=100).first()["report"] == whole[:100]
     csv = rows_as_csv(df.withColumn("q", F.lit('a "b", c')), ["k", "q"], 2, [F.col("k").asc()]).first()["csv"]
     assert csv == 'k,q\nn000,"a ""b"", c"\nn001,"a ""b"", c"\n'
@@ -120,12 +122,10 @@ def test_features(spark):
     rows = [("a", "POLYGON ((0 0, 1 0, 1 1, 0 0))", 3), ("b", "nonsense", 4)]
     df = spark.createDataFrame(rows, "neighborhood_name string, w string, n int").withColumn("geometry", wkt_to_geom(F.col("w")))
     feats = features(df, {"n": F.col("n"), "none": F.lit(None).cast("string")}, selected="a")
-    doc = json.loads(feature_collection(feats).first()["geojson"])
+    doc = json.loads(feature_collection(feats, "neighborhood_name").first()["geojson"])
     assert len(doc["features"]) == 1
     assert doc["features"][0]["properties"] == {"n": 3, "none": None, "is_selected": True}
     assert doc["features"][0]["geometry"]["coordinates"][0][2] == [1.0, 1.0]
-    with pytest.raises(ValueError):
-        feature_collection(feats, max_features=0)
 
 
 PAGE = """<html><head><title>t</title><script>var x = "</p>";</script></head><body><nav><p>menu</p></nav>
