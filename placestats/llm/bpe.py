@@ -31,7 +31,7 @@ LONG = 128
 NONE = 2**31 - 1  # stands for no rank
 ID = 1 << 16  # ids are below
 MIXERS, SHIFT = (0x45D9F3B5, 0x2C1B3C6D), 24  # odd multipliers of 31 bits: products of two ids never overflow
-BLOCK = 32 << 20  # characters of text in a block, more only if one text is longer
+BLOCK = 8 << 20  # characters of text in a block, more only if one text is longer
 SEPARATOR = ","
 
 
@@ -205,35 +205,39 @@ class _Words:
     once. A part is a list of word numbers; a long word has a negative one.
     """
 
-    def __init__(self, match, path: str):
-        self.match, self.path, self.ranks = match, path, {}
+    def __init__(self, pattern: str, path: str):
+        self.match, self.path, self.ranks = split_pattern(pattern).finditer, path, {}
+        self.whole = r" ?\p{L}+" in pattern  # a space and letters are one match
         self.words: dict[bytes, int] = {}
         self.longs: list[list[int]] = []
-        self.parts: dict[str, int] = {}
+        self.heads: dict[str, int] = {}  # parts at the start of a text
+        self.parts: dict[str, int] = {}  # parts after a space
         self.numbers: list[int] = []
         self.sizes: list[int] = []
 
-    def learn(self, part: str) -> int:
-        n = self.parts[part] = len(self.sizes)
-        found = [m[0].encode("utf-8", "surrogatepass") for m in self.match(part)]
+    def learn(self, known: dict[str, int], key: str, text: str) -> None:
+        found = [text] if known is self.parts and self.whole and key.isalpha() else [m[0] for m in self.match(text)]
         for word in found:
-            if len(word) > LONG:
+            data = word.encode("utf-8", "surrogatepass")
+            if len(data) > LONG:
                 self.ranks = self.ranks or load_ranks(self.path)
-                self.longs.append(heap_encode(word, self.ranks))
+                self.longs.append(heap_encode(data, self.ranks))
                 self.numbers.append(-len(self.longs))
             else:
-                self.numbers.append(self.words.setdefault(word, len(self.words)))
+                self.numbers.append(self.words.setdefault(data, len(self.words)))
+        known[key] = len(self.sizes)
         self.sizes.append(len(found))
-        return n
 
     def parts_of(self, text: str) -> np.ndarray:
-        cut = [text] if uneven(text) else [w if i == 0 else " " + w for i, w in enumerate(text.split(" "))]
-        numbers = list(map(self.parts.get, cut))
+        head, *rest = [text] if uneven(text) else text.split(" ")
+        if head not in self.heads:
+            self.learn(self.heads, head, head)
+        numbers = list(map(self.parts.get, rest))
         if None in numbers:
-            for part in dict.fromkeys(p for p, n in zip(cut, numbers) if n is None):
-                self.learn(part)
-            numbers = list(map(self.parts.get, cut))
-        return np.array(numbers, dtype=np.int32)
+            for part in dict.fromkeys(p for p, n in zip(rest, numbers) if n is None):
+                self.learn(self.parts, part, " " + part)
+            numbers = list(map(self.parts.get, rest))
+        return np.array([self.heads[head], *numbers], dtype=np.int32)
 
     def expand(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all texts in order, and how many each has."""
@@ -251,8 +255,6 @@ def _to_blocks(pattern: str, path: str, block: int):
     """mapInArrow function: rows (other columns, text) to rows of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        match = split_pattern(pattern).finditer
-
         def flush(held: list[pa.RecordBatch], words: _Words, texts: list[np.ndarray]) -> pa.RecordBatch:
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, held[0].schema) as out:
@@ -269,7 +271,7 @@ def _to_blocks(pattern: str, path: str, block: int):
                 ["rows", "word_index", "word_counts", "words", "long_ids"],
             )
 
-        held, words, texts, size = [], _Words(match, path), [], 0
+        held, words, texts, size = [], _Words(pattern, path), [], 0
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             others = batch.select(range(batch.num_columns - 1))
@@ -281,7 +283,7 @@ def _to_blocks(pattern: str, path: str, block: int):
                 if size >= block:
                     held.append(others.slice(at, row + 1 - at))
                     yield flush(held, words, texts)
-                    held, words, texts, size, at = [], _Words(match, path), [], 0, row + 1
+                    held, words, texts, size, at = [], _Words(pattern, path), [], 0, row + 1
             if at < batch.num_rows:
                 held.append(others.slice(at))
         if held:
@@ -290,8 +292,8 @@ def _to_blocks(pattern: str, path: str, block: int):
     return run
 
 
-def _from_blocks(finish: Callable[[np.ndarray, list[bytes]], list], fields: list[tuple[str, pa.DataType]], decoded: bool):
-    """mapInArrow function: encoded blocks back to rows, with the columns `finish` makes of each row's ids (and bytes)."""
+def _from_blocks(finish: Callable[[np.ndarray], list], fields: list[tuple[str, pa.DataType]]):
+    """mapInArrow function: encoded blocks back to rows, with the columns `finish` makes of each row's ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,7 +304,6 @@ def _from_blocks(finish: Callable[[np.ndarray, list[bytes]], list], fields: list
                 words = ids.values  # a list of ids per distinct word, the long ones last and backwards
                 bounds = words.offsets.to_numpy().astype(np.int64)
                 flat, starts, sizes = words.values.to_numpy(zero_copy_only=False), bounds[:-1], np.diff(bounds)
-                pieces = batch.column("decoded")[at].values.to_pylist() if decoded else []
                 row = 0
                 with pa.ipc.open_stream(pa.py_buffer(rows.as_buffer())) as stream:
                     for part in stream:
@@ -311,7 +312,7 @@ def _from_blocks(finish: Callable[[np.ndarray, list[bytes]], list], fields: list
                             own = index[ends[row] : ends[row + 1]]  # a negative number counts from the end
                             n = sizes[own]
                             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                            made.append(finish(flat[np.repeat(starts[own], n) + step], [pieces[i] for i in own.tolist()] if decoded else []))
+                            made.append(finish(flat[np.repeat(starts[own], n) + step]))
                         row += 1
                         new = [pa.array([m[i] for m in made], kind) for i, (_, kind) in enumerate(fields)]
                         yield pa.RecordBatch.from_arrays([*part.columns, *new], [*part.schema.names, *(name for name, _ in fields)])
@@ -319,27 +320,26 @@ def _from_blocks(finish: Callable[[np.ndarray, list[bytes]], list], fields: list
     return run
 
 
-def encoded_blocks(docs: DataFrame, text_col: str, path: str, pattern: str, block: int = BLOCK, decode: bool = False) -> DataFrame:
-    """Blocks of documents with the ids of their distinct words and, on demand, the bytes these ids stand for."""
-    read = docs.select(*docs.columns, whole_text(text_col).alias("__llm_text"))
+def encoded_blocks(docs: DataFrame, text_col: str, path: str, pattern: str, block: int = BLOCK) -> DataFrame:
+    """Blocks of documents with the ids of their distinct words."""
+    return encoded_blocks_of(docs.select(*docs.columns, whole_text(text_col).alias("__llm_text")), path, pattern, block)
+
+
+def encoded_blocks_of(read: DataFrame, path: str, pattern: str, block: int) -> DataFrame:
+    """The same for rows whose last column is the text; the other columns are carried along."""
     schema = "rows binary, word_index binary, word_counts binary, words array<array<smallint>>, long_ids array<array<int>>"
     blocks = read.mapInArrow(_to_blocks(pattern, path, block), schema)
-    ranks = load_ranks(path)
-    literal, bits = rank_literal(ranks)
+    literal, bits = rank_literal(load_ranks(path))
     ids = let(literal, lambda table: F.transform("words", lambda w: encode_word(table, bits, w)))
-    blocks = blocks.select("rows", "word_index", "word_counts", F.concat(ids, "long_ids").alias("ids"))
-    if not decode:
-        return blocks
-    back = let(vocabulary_literal(ranks), lambda vocabulary: F.transform("ids", lambda i: _decoded(vocabulary, i)))
-    return blocks.withColumn("decoded", back)
+    return blocks.select("rows", "word_index", "word_counts", F.concat(ids, "long_ids").alias("ids"))
 
 
-def encode_with(docs: DataFrame, path: str, pattern: str, text_col: str, fields: list[tuple[str, str, pa.DataType]], finish, decode: bool, block: int = BLOCK) -> DataFrame:
-    """`docs` with the columns `finish(ids, pieces)` makes of each text; fields are (name, Spark type, Arrow type)."""
+def encode_with(docs: DataFrame, path: str, pattern: str, text_col: str, fields: list[tuple[str, str, pa.DataType]], finish, block: int = BLOCK) -> DataFrame:
+    """`docs` with the columns `finish(ids)` makes of each text; fields are (name, Spark type, Arrow type)."""
     docs = without(docs, [name for name, *_ in fields])
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"`{name}` {kind}" for name, kind, _ in fields]
-    made = _from_blocks(finish, [(name, kind) for name, _, kind in fields], decode)
-    return encoded_blocks(docs, text_col, path, pattern, block, decode).mapInArrow(made, ", ".join(kinds))
+    made = _from_blocks(finish, [(name, kind) for name, _, kind in fields])
+    return encoded_blocks(docs, text_col, path, pattern, block).mapInArrow(made, ", ".join(kinds))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", block: int = BLOCK) -> DataFrame:
@@ -348,17 +348,26 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
     A column that is already named `ids_col` is replaced; rows, also repeated ones, and
     all other columns stay. An empty table gives an empty result.
     """
-    return encode_with(docs, path, pattern, text_col, [(ids_col, "array<int>", pa.list_(pa.int32()))], lambda ids, _: [ids], False, block)
+    return encode_with(docs, path, pattern, text_col, [(ids_col, "array<int>", pa.list_(pa.int32()))], lambda ids: [ids], block)
 
 
-def encode_digest(docs: DataFrame, path: str, pattern: str, text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """`docs` without `text_col`, with n_tokens, ids_sha256 (of little-endian unsigned 32-bit ids) and decoded_sha256.
+def encode_digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """(id, n_tokens, ids_sha256 of little-endian unsigned 32-bit ids, decoded_sha256), without the texts.
 
-    The ids of every distinct word are decoded again, and the bytes of a text are those of its words.
+    The ids are decoded by joining the binary pieces they stand for.
     """
+    pieces: list[bytes] = []
 
-    def finish(ids: np.ndarray, pieces: list[bytes]) -> list:
-        return [len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(b"".join(pieces)).hexdigest()]
+    def finish(ids: np.ndarray) -> list:
+        if not pieces:
+            known = {n: token for token, n in load_ranks(path).items()}
+            pieces.extend(known.get(n, b"") for n in range(max(known) + 1))
+        data = b"".join(map(pieces.__getitem__, ids.tolist()))
+        return [len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(data).hexdigest()]
 
     fields = [("n_tokens", "long", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())]
-    return encode_with(docs, path, pattern, text_col, fields, finish, True, block).drop(text_col)
+    kinds = [f"`{id_col}` {dict(docs.dtypes)[id_col]}"] + [f"`{name}` {kind}" for name, kind, _ in fields]
+    made = _from_blocks(finish, [(name, kind) for name, _, kind in fields])
+    # the text is read beside the id, so that a block carries only what comes back
+    blocks = encoded_blocks_of(docs.select(id_col, whole_text(text_col).alias("__llm_text")), path, pattern, block)
+    return blocks.mapInArrow(made, ", ".join(kinds))
