@@ -1,13 +1,11 @@
 """Incremental loads and keyed updates."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from catalog import query
 from placestats.operators.joins import update_by_key
 from placestats.operators.ranking import dedupe
-from placestats.session import scratch_dir
+from placestats.session import new_folder
 from placestats.sources.writers import VersionedTable, load_report, upsert, with_audit
 from placestats.streaming.incremental import incremental, newer_than, stream_incremental
 
@@ -70,7 +68,7 @@ def _(t):
     """The same two loads, the second arriving as a stream of the event files."""
     spark = t.spark
     rows = t.fx_incident.select(*_COLS)
-    base = f"{scratch_dir(spark)}/placestats/{uuid.uuid4().hex}"
+    base = new_folder(spark)
     table = VersionedTable(spark, f"{base}/table")
     first = rows.where(F.col("occurred_on_date") <= F.lit(_MARK).cast("timestamp_ntz"))
     keys = ["incident_number", "offense_code"]

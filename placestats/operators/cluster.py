@@ -132,7 +132,7 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     """
     ends = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).where(F.col("u") != F.col("v"))
     told = {"n": F.count(F.lit(1)), "sum": F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))}
-    cur, now = observed(ends.distinct(), **told)
+    cur, now = observed(ends, **told)
     while now["n"]:
         new, after = observed(_star_round(cur), **told)
         release(cur)
@@ -289,7 +289,9 @@ def dbscan(
         F.col("a_dense") & F.col("b_dense") & (F.col("a.owner") < F.col("b.owner"))
     )
     pairs = reach.join(targets, [*group, "ky", "kx"]).where(once).drop("ky", "kx")
-    undecided = {"open": F.count_if("open"), "open_dense": F.count_if(F.col("open") & F.col("a_dense"))}
+    # one proof of contact settles a pair of dense cells
+    is_open = F.col("open") & ~(F.col("touch") & F.col("a_dense"))
+    undecided = {"open": F.count_if(is_open), "open_dense": F.count_if(is_open & F.col("a_dense"))}
     judged, told = observed(_judge(pairs, eps_km), **undecided)
 
     proven = []
@@ -302,8 +304,10 @@ def dbscan(
         proven.append(facts)
         if not told["open"]:
             break
-        unsettled = judged.where(F.col("open")).select(*group, "a", "a_dense", "b", "b_dense")
-        if told["open_dense"]:  # pairs of dense cells that contacts connect already need no further proof
+        unsettled = judged.where(is_open).select(*group, "a", "a_dense", "b", "b_dense")
+        # from the second level on, pairs of dense cells that contacts connect already need no further proof;
+        # at the first each pair stands for itself, and there are no more of them than cells times neighbours
+        if level and told["open_dense"]:
             unsettled = _across_components(unsettled, reduce(DataFrame.unionByName, proven))
         parents = reduce(
             DataFrame.unionByName,

@@ -67,6 +67,11 @@ def _folder(spark: SparkSession) -> str:
     return path
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own on the scratch storage, for files a step leaves to the next."""
+    return f"{_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     context = spark.sparkContext
     if context._jsc is None or context._gateway is None:  # stopped: nothing can reach the folder any more
@@ -91,7 +96,7 @@ def materialize(df: DataFrame) -> DataFrame:
 def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     """`materialize`, with aggregates that the write itself computes: no extra job reads the rows."""
     spark = df.sparkSession
-    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     if on_plan is not None:
         on_plan(df)
     told: dict = {}
