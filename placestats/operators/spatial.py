@@ -1,9 +1,10 @@
-"""Spatial joins through a fixed grid.
+"""Spatial joins through grids of several cell sizes.
 
-Polygons are cut into the grid cells they cover, points get the one cell they lie
-in, and an equality join on the cell does the pairing. Cells wholly inside a
-polygon need no test at all; the others carry just the edges that can matter for
-a point of that cell.
+Each polygon is cut into cells of a size that fits its own extent, a power of four, so
+no polygon covers more than some eighty of them, whatever the others look like. A point
+lies in one cell of each size in use; equality joins on the cells, one per size, do the
+pairing. Cells wholly inside a polygon need no test at all; the others carry just the
+edges that can matter for a point of that cell.
 """
 
 from __future__ import annotations
@@ -20,17 +21,29 @@ from placestats.session import materialize
 def suggest_cell(polygons: DataFrame, geom: str = "geometry") -> float:
     """An eighth of the mean polygon extent: one number from the (small) polygon table."""
     edges = polygons.select(geom_edges(F.col(geom)).alias("e"))
-    boxes = edges.select(*[c.alias(k) for k, c in bbox(F.col("e")).items()])
-    extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
-    mean = boxes.agg(F.avg(extent)).first()[0]
+    mean = edges.select(_extent(bbox(F.col("e"))).alias("x")).agg(F.avg("x")).first()[0]
     return (mean or 1.0) / 8
 
 
-def cover_cells(polygons: DataFrame, geom: str, cell: float) -> DataFrame:
-    """One row per polygon and grid cell it may reach: _cx, _cy, _inside, _edges."""
-    c, pad = F.lit(cell), cell * 1e-6
+def _extent(box: dict[str, Column]) -> Column:
+    return F.greatest(box["max_x"] - box["min_x"], box["max_y"] - box["min_y"])
+
+
+def own_cell(extent: Column) -> Column:
+    """Cell size for a polygon of that extent: the power of four from an eighth to a half of it."""
+    return F.pow(F.lit(4.0), F.ceil(F.log2(F.greatest(extent, F.lit(1e-9)) / 8) / 2))
+
+
+def cover_cells(polygons: DataFrame, geom: str, cell: float | None = None) -> DataFrame:
+    """One row per polygon and grid cell it may reach: _cell (its size), _cx, _cy, _inside, _edges.
+
+    Without `cell` each polygon gets the size that fits it.
+    """
     boxed = polygons.withColumn("_all", geom_edges(F.col(geom))).where(F.size("_all") > 0)
     boxed = boxed.withColumns({f"_{k}": v for k, v in bbox(F.col("_all")).items()})
+    fitting = own_cell(_extent({k: F.col(f"_{k}") for k in ("min_x", "max_x", "min_y", "max_y")}))
+    boxed = boxed.withColumn("_cell", F.lit(float(cell)) if cell else fitting)
+    c, pad = F.col("_cell"), F.col("_cell") * 1e-6
     xs = F.sequence(F.floor((F.col("_min_x") - pad) / c), F.floor((F.col("_max_x") + pad) / c))
     ys = F.sequence(F.floor((F.col("_min_y") - pad) / c), F.floor((F.col("_max_y") + pad) / c))
     cells = boxed.withColumn("_cx", F.explode(xs)).withColumn("_cy", F.explode(ys))
@@ -77,39 +90,34 @@ def spatial_join(
     polygon column whose lowest value wins, per `point_key`.
     """
     carry = carry or {"location_id": "location_id"}
-    cell = cell or suggest_cell(polygons, geom)
-    small = polygons.select(*[F.col(k).alias(f"_p_{v}") for k, v in carry.items()], geom)
+    if one_match and not point_key:
+        raise ValueError("one_match needs point_key, the columns that identify a point")
+    small = polygons.select(*[F.col(k).alias(v) for k, v in carry.items()], geom)
+    held = F.struct(*carry.values(), "_inside", "_edges")
     # written out once: its true size decides whether it is broadcast
-    cells = materialize(cover_cells(small, geom, cell).drop(geom))
-    cells = cells.withColumnsRenamed({"_cx": "_pcx", "_cy": "_pcy"})
+    cells = materialize(cover_cells(small, geom, cell).groupBy("_cell", "_cx", "_cy").agg(F.collect_list(held).alias("_held")))
+    sizes = sorted(r[0] for r in cells.select("_cell").distinct().collect())  # a few powers of four
 
     usable = F.col(lon).isNotNull() & F.col(lat).isNotNull()
     if valid is not None:
         usable = usable & F.coalesce(valid, F.lit(False))
-    located = points.withColumns(
-        {
-            "_cx": F.when(usable, F.floor(F.col(lon) / F.lit(cell))),
-            "_cy": F.when(usable, F.floor(F.col(lat) / F.lit(cell))),
-        }
-    )
-    if how == "inner":
-        located = located.where(F.col("_cx").isNotNull())
-    hit = (
-        (F.col("_cx") == F.col("_pcx"))
-        & (F.col("_cy") == F.col("_pcy"))
-        & (F.col("_inside") | contains(F.col("_edges"), F.col(lon), F.col(lat)))
-    )
-    joined = located.join(cells, hit, how)
+    located, lists = points, []
+    for i, size in enumerate(sizes):
+        keys = {f"_x{i}": F.when(usable, F.floor(F.col(lon) / F.lit(size))), f"_y{i}": F.when(usable, F.floor(F.col(lat) / F.lit(size)))}
+        level = cells.where(F.col("_cell") == size).select(F.col("_cx").alias(f"_x{i}"), F.col("_cy").alias(f"_y{i}"), F.col("_held").alias(f"_held{i}"))
+        outer = "inner" if how == "inner" and len(sizes) == 1 else "left"
+        located = located.withColumns(keys).join(level, [f"_x{i}", f"_y{i}"], outer).drop(f"_x{i}", f"_y{i}")
+        lists.append(F.coalesce(F.col(f"_held{i}"), F.array().cast(level.schema[f"_held{i}"].dataType)))
+    if not sizes:  # no polygon at all
+        empty = located.withColumns({v: F.lit(None).cast(polygons.schema[k].dataType) for k, v in carry.items()})
+        return empty if how == "left" else empty.where(F.lit(False))
+    x, y = F.col(lon), F.col(lat)
+    hits = F.filter(F.concat(*lists), lambda p: p["_inside"] | contains(p["_edges"], x, y))
     if one_match:
-        if not point_key:
-            raise ValueError("one_match needs point_key, the columns that identify a point")
-        best = F.min_by(F.struct(*joined.columns), F.col(f"_p_{carry[one_match]}"))
-        joined = joined.groupBy(*[F.col(k).alias(f"_k_{k}") for k in point_key]).agg(
-            F.coalesce(best, F.any_value(F.struct(*joined.columns))).alias("_row")
-        ).select("_row.*")
-    return joined.drop("_cx", "_cy", "_pcx", "_pcy", "_inside", "_edges").withColumnsRenamed(
-        {f"_p_{v}": v for v in carry.values()}
-    )
+        hits = F.slice(F.array_sort(hits, lambda a, b: F.when(a[carry[one_match]] < b[carry[one_match]], -1).when(a[carry[one_match]] > b[carry[one_match]], 1).otherwise(0)), 1, 1)
+    explode = F.explode if how == "inner" else F.explode_outer
+    joined = located.select(*[F.col(c) for c in points.columns], explode(hits).alias("_hit"))
+    return joined.select(*[F.col(c) for c in points.columns], *[F.col(f"_hit.{v}").alias(v) for v in carry.values()])
 
 
 def resolve_location(
@@ -200,15 +208,15 @@ def adjacency(
     )
     other = segs.select(F.col(key).alias("b"), F.col("e").alias("f"), "cx", "cy")
     touching = (
-        segs.join(other, ["cx", "cy"])
-        .where((F.col(key) < F.col("b")) & segments_touch(F.col("e"), F.col("f")))
-        .select(F.col(key).alias("a"), "b")
+        segs.alias("s").join(other.alias("o"), (F.col("s.cx") == F.col("o.cx")) & (F.col("s.cy") == F.col("o.cy")) & (F.col(f"s.{key}") < F.col("o.b")))
+        .where(segments_touch(F.col("s.e"), F.col("o.f")))
+        .select(F.col(f"s.{key}").alias("a"), "o.b")
         .distinct()
     )
     corners = polygons.select(F.col(key).alias("a"), F.explode(F.flatten(F.col(geom))).alias("_ring")).select(
         "a", F.col("_ring")[0]["x"].alias("long"), F.col("_ring")[0]["y"].alias("lat")
     )
-    held = spatial_join(corners, polygons, geom=geom, carry={key: "b"}, cell=cell).where(F.col("a") != F.col("b"))
+    held = spatial_join(corners, polygons, geom=geom, carry={key: "b"}).where(F.col("a") != F.col("b"))
     held = held.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = touching.unionByName(held).distinct()
     return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))

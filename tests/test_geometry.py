@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from placestats.functions.geometry import centroid, geojson_to_geom, geom_edges, geom_to_geojson, geom_to_wkt, wkt_to_geom
-from placestats.operators.spatial import adjacency, collect_geometry, spatial_join
+from placestats.operators.spatial import adjacency, collect_geometry, cover_cells, spatial_join
 
 SQUARE = "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))"
 HOLED = "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 1 2, 2 2, 2 1, 1 1))"
@@ -106,3 +106,29 @@ def test_collect_geometry(spark):
     rows = polygons(spark, [(1, SQUARE), (1, PARTS), (2, HOLED)])
     got = {r["location_id"]: len(r["geometry"]) for r in collect_geometry(rows.withColumn("at", F.monotonically_increasing_id()), ["location_id"], "at").collect()}
     assert got == {1: 3, 2: 1}
+
+
+def test_one_wide_polygon_among_many_small(spark):
+    """One polygon a thousand times wider: no polygon covers many cells, and all containments are found."""
+    square = lambda x, y, w: f"POLYGON (({x} {y}, {x + w} {y}, {x + w} {y + w}, {x} {y + w}, {x} {y}))"
+    rows = [(0, square(-5.0, -5.0, 10.0))] + [(i, square(0.02 * (i % 20), 0.02 * (i // 20), 0.01)) for i in range(1, 200)]
+    polygons = spark.createDataFrame(rows, "location_id int, w string").withColumn("geometry", wkt_to_geom(F.col("w"))).drop("w")
+    per = cover_cells(polygons, "geometry").groupBy("location_id").count().agg(F.max("count")).first()[0]
+    assert per < 200
+    rnd = random.Random(1)
+    points = [(i, rnd.uniform(-0.1, 0.5), rnd.uniform(-0.1, 0.3)) for i in range(300)] + [(300, 9.0, 9.0), (301, None, 1.0)]
+    df = spark.createDataFrame(points, "id int, long double, lat double")
+    want = set()
+    for i, x, y in points:
+        found = [0] if x is not None and -5 <= x < 5 and -5 <= y < 5 else []
+        for j in range(1, 200):
+            a, b = 0.02 * (j % 20), 0.02 * (j // 20)
+            if x is not None and a <= x < a + 0.01 and b <= y < b + 0.01:
+                found.append(j)
+        want |= {(i, j) for j in found} or {(i, None)}
+    got = spatial_join(df, polygons, how="left").select("id", "location_id").collect()
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+    inner = spatial_join(df, polygons).select("id", "location_id").collect()
+    assert set(map(tuple, inner)) == {w for w in want if w[1] is not None}
+    lowest = spatial_join(df, polygons, how="left", one_match="location_id", point_key=["id"]).select("id", "location_id").collect()
+    assert set(map(tuple, lowest)) == {(i, min((j for k, j in want if k == i and j is not None), default=None)) for i, _, _ in points}
