@@ -8,6 +8,9 @@ map, until no joined pair has a rank. The same functions decode ids by joining t
 pieces of a literal vocabulary. Last, the documents of the block are put together from
 their words. Nothing is shuffled, and memory is bounded by the block.
 
+Words that are frequent in a bounded sample of the texts are encoded once for all blocks, by
+the same fold; which words these are changes the speed only, never a result.
+
 The rank map is a literal: the rank of joined bytes is their id, and a pair of ids finds
 it in one of two places of an array. The fold takes time in the square of a word's bytes,
 so words of more than LONG bytes are merged by a heap, with the same result.
@@ -31,7 +34,10 @@ LONG = 128
 NONE = 2**31 - 1  # stands for no rank
 ID = 1 << 16  # ids are below
 MIXERS, SHIFT = (0x45D9F3B5, 0x2C1B3C6D), 24  # odd multipliers of 31 bits: products of two ids never overflow
-BLOCK = 8 << 20  # characters of text in a block, more only if one text is longer
+COMMON = 250_000  # most words that are encoded ahead
+COMMON_CHARS = 64 << 20  # about as many characters are read to find them
+AHEAD = 1 << 30  # number of the first of these words
+BLOCK = 4 << 20  # characters of text in a block, more only if one text is longer
 SEPARATOR = ","
 
 
@@ -205,8 +211,8 @@ class _Words:
     once. A part is a list of word numbers; a long word has a negative one.
     """
 
-    def __init__(self, pattern: str, path: str):
-        self.match, self.path, self.ranks = split_pattern(pattern).finditer, path, {}
+    def __init__(self, pattern: str, path: str, ahead: dict[bytes, int]):
+        self.match, self.path, self.ranks, self.ahead = split_pattern(pattern).finditer, path, {}, ahead
         self.whole = r" ?\p{L}+" in pattern  # a space and letters are one match
         self.words: dict[bytes, int] = {}
         self.longs: list[list[int]] = []
@@ -219,7 +225,9 @@ class _Words:
         found = [text] if known is self.parts and self.whole and key.isalpha() else [m[0] for m in self.match(text)]
         for word in found:
             data = word.encode("utf-8", "surrogatepass")
-            if len(data) > LONG:
+            if (n := self.ahead.get(data)) is not None:
+                self.numbers.append(n)
+            elif len(data) > LONG:
                 self.ranks = self.ranks or load_ranks(self.path)
                 self.longs.append(heap_encode(data, self.ranks))
                 self.numbers.append(-len(self.longs))
@@ -251,10 +259,53 @@ class _Words:
         return numbers[np.repeat(starts[every], n) + step], np.diff(total[np.concatenate([[0], ends]).astype(np.int64)])
 
 
-def _to_blocks(pattern: str, path: str, block: int):
+class Ahead:
+    """Words encoded ahead: their bytes, and their ids as one array with bounds."""
+
+    def __init__(self, words: list[bytes], flat: np.ndarray, bounds: np.ndarray):
+        self.words, self.flat, self.bounds = words, flat, bounds
+
+    def numbers(self) -> dict[bytes, int]:
+        return {w: AHEAD + i for i, w in enumerate(self.words)}
+
+
+def encode_ahead(texts: DataFrame, path: str, pattern: str, most: int = COMMON, chars: int = COMMON_CHARS) -> Ahead:
+    """Encode the most frequent words of a bounded sample of the text column `__llm_text`.
+
+    Whole texts are drawn, about `chars` characters of them; at most `most` short
+    byte strings come back to the driver.
+    """
+    total = texts.agg(F.sum(F.length("__llm_text").cast("long"))).first()[0] or 0
+    drawn = texts.where(F.rand(7) < min(1.0, chars / max(total, 1)))  # row by row, so copies do not come together
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = _Words(pattern, path, {})
+            index, _ = words.expand([words.parts_of(t.as_py() or "") for t in batch.column(0)])
+            n = np.bincount(index[index >= 0], minlength=len(words.words))
+            sizes = np.fromiter(map(len, words.words), np.int32, len(words.words))
+            letters = pa.array(np.frombuffer(b"".join(words.words), np.uint8).astype(np.int16))
+            listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), letters)
+            yield pa.RecordBatch.from_arrays([listed, pa.array(n, pa.int64())], ["word", "n"])
+
+    counts = drawn.select("__llm_text").mapInArrow(count, "word array<smallint>, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    often = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(most)
+    literal, bits = rank_literal(load_ranks(path))
+    found = often.select("word", let(literal, lambda table: encode_word(table, bits, F.col("word"))).alias("ids")).toArrow()
+    words, ids = (found.column(c).combine_chunks() for c in ("word", "ids"))
+    spell = lambda a: (a.values.to_numpy(zero_copy_only=False), a.offsets.to_numpy())
+    letters, ends = spell(words) if len(words) else (np.zeros(0, np.int16), np.zeros(1, np.int32))
+    data = letters.astype(np.uint8).tobytes()
+    flat, bounds = spell(ids) if len(ids) else (np.zeros(0, np.int32), np.zeros(1, np.int32))
+    return Ahead([data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], flat.astype(np.int32), bounds.astype(np.int64))
+
+
+def _to_blocks(pattern: str, path: str, block: int, ahead: Ahead):
     """mapInArrow function: rows (other columns, text) to rows of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = ahead.numbers()
+
         def flush(held: list[pa.RecordBatch], words: _Words, texts: list[np.ndarray]) -> pa.RecordBatch:
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, held[0].schema) as out:
@@ -271,7 +322,7 @@ def _to_blocks(pattern: str, path: str, block: int):
                 ["rows", "word_index", "word_counts", "words", "long_ids"],
             )
 
-        held, words, texts, size = [], _Words(pattern, path), [], 0
+        held, words, texts, size = [], _Words(pattern, path, known), [], 0
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             others = batch.select(range(batch.num_columns - 1))
@@ -283,7 +334,7 @@ def _to_blocks(pattern: str, path: str, block: int):
                 if size >= block:
                     held.append(others.slice(at, row + 1 - at))
                     yield flush(held, words, texts)
-                    held, words, texts, size, at = [], _Words(pattern, path), [], 0, row + 1
+                    held, words, texts, size, at = [], _Words(pattern, path, known), [], 0, row + 1
             if at < batch.num_rows:
                 held.append(others.slice(at))
         if held:
@@ -292,7 +343,7 @@ def _to_blocks(pattern: str, path: str, block: int):
     return run
 
 
-def _from_blocks(finish: Callable[[np.ndarray], list], fields: list[tuple[str, pa.DataType]]):
+def _from_blocks(finish: Callable[[np.ndarray], list], fields: list[tuple[str, pa.DataType]], ahead: Ahead):
     """mapInArrow function: encoded blocks back to rows, with the columns `finish` makes of each row's ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,13 +354,18 @@ def _from_blocks(finish: Callable[[np.ndarray], list], fields: list[tuple[str, p
                 ends = np.concatenate([[0], np.cumsum(np.frombuffer(counts.as_buffer(), "<i8"))])
                 words = ids.values  # a list of ids per distinct word, the long ones last and backwards
                 bounds = words.offsets.to_numpy().astype(np.int64)
-                flat, starts, sizes = words.values.to_numpy(zero_copy_only=False), bounds[:-1], np.diff(bounds)
+                flat, n_own = words.values.to_numpy(zero_copy_only=False).astype(np.int32), len(bounds) - 1
+                # own words first, those encoded ahead behind them; a long word has a negative number, from the end of the own ones
+                index = np.where(index >= AHEAD, index - AHEAD + n_own, np.where(index < 0, index + n_own, index))
+                starts = np.concatenate([bounds[:-1], ahead.bounds[:-1] + len(flat)])
+                sizes = np.concatenate([np.diff(bounds), np.diff(ahead.bounds)])
+                flat = np.concatenate([flat, ahead.flat])
                 row = 0
                 with pa.ipc.open_stream(pa.py_buffer(rows.as_buffer())) as stream:
                     for part in stream:
                         made = []
                         for row in range(row, row + part.num_rows):
-                            own = index[ends[row] : ends[row + 1]]  # a negative number counts from the end
+                            own = index[ends[row] : ends[row + 1]]
                             n = sizes[own]
                             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                             made.append(finish(flat[np.repeat(starts[own], n) + step]))
@@ -320,26 +376,17 @@ def _from_blocks(finish: Callable[[np.ndarray], list], fields: list[tuple[str, p
     return run
 
 
-def encoded_blocks(docs: DataFrame, text_col: str, path: str, pattern: str, block: int = BLOCK) -> DataFrame:
-    """Blocks of documents with the ids of their distinct words."""
-    return encoded_blocks_of(docs.select(*docs.columns, whole_text(text_col).alias("__llm_text")), path, pattern, block)
-
-
-def encoded_blocks_of(read: DataFrame, path: str, pattern: str, block: int) -> DataFrame:
-    """The same for rows whose last column is the text; the other columns are carried along."""
+def _encoded(read: DataFrame, path: str, pattern: str, block: int, finish, fields: list[tuple[str, str, pa.DataType]]) -> DataFrame:
+    """Rows whose last column is the text, with it replaced by the columns `finish(ids)` makes; fields are (name, Spark type, Arrow type)."""
+    ahead = encode_ahead(read.select("__llm_text"), path, pattern)
     schema = "rows binary, word_index binary, word_counts binary, words array<array<smallint>>, long_ids array<array<int>>"
-    blocks = read.mapInArrow(_to_blocks(pattern, path, block), schema)
+    blocks = read.mapInArrow(_to_blocks(pattern, path, block, ahead), schema)
     literal, bits = rank_literal(load_ranks(path))
     ids = let(literal, lambda table: F.transform("words", lambda w: encode_word(table, bits, w)))
-    return blocks.select("rows", "word_index", "word_counts", F.concat(ids, "long_ids").alias("ids"))
-
-
-def encode_with(docs: DataFrame, path: str, pattern: str, text_col: str, fields: list[tuple[str, str, pa.DataType]], finish, block: int = BLOCK) -> DataFrame:
-    """`docs` with the columns `finish(ids)` makes of each text; fields are (name, Spark type, Arrow type)."""
-    docs = without(docs, [name for name, *_ in fields])
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"`{name}` {kind}" for name, kind, _ in fields]
-    made = _from_blocks(finish, [(name, kind) for name, _, kind in fields])
-    return encoded_blocks(docs, text_col, path, pattern, block).mapInArrow(made, ", ".join(kinds))
+    encoded = blocks.select("rows", "word_index", "word_counts", F.concat(ids, "long_ids").alias("ids"))
+    kept = [f for f in read.schema.fields if f.name != "__llm_text"]
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{name}` {kind}" for name, kind, _ in fields]
+    return encoded.mapInArrow(_from_blocks(finish, [(name, kind) for name, _, kind in fields], ahead), ", ".join(kinds))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", block: int = BLOCK) -> DataFrame:
@@ -348,7 +395,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
     A column that is already named `ids_col` is replaced; rows, also repeated ones, and
     all other columns stay. An empty table gives an empty result.
     """
-    return encode_with(docs, path, pattern, text_col, [(ids_col, "array<int>", pa.list_(pa.int32()))], lambda ids: [ids], block)
+    docs = without(docs, [ids_col])
+    read = docs.select(*docs.columns, whole_text(text_col).alias("__llm_text"))
+    return _encoded(read, path, pattern, block, lambda ids: [ids], [(ids_col, "array<int>", pa.list_(pa.int32()))])
 
 
 def encode_digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
@@ -365,9 +414,5 @@ def encode_digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
         data = b"".join(map(pieces.__getitem__, ids.tolist()))
         return [len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(data).hexdigest()]
 
-    fields = [("n_tokens", "long", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())]
-    kinds = [f"`{id_col}` {dict(docs.dtypes)[id_col]}"] + [f"`{name}` {kind}" for name, kind, _ in fields]
-    made = _from_blocks(finish, [(name, kind) for name, _, kind in fields])
-    # the text is read beside the id, so that a block carries only what comes back
-    blocks = encoded_blocks_of(docs.select(id_col, whole_text(text_col).alias("__llm_text")), path, pattern, block)
-    return blocks.mapInArrow(made, ", ".join(kinds))
+    read = docs.select(id_col, whole_text(text_col).alias("__llm_text"))
+    return _encoded(read, path, pattern, block, finish, [("n_tokens", "long", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())])
