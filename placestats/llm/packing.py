@@ -328,7 +328,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     where = places(plan(totals, capacity, groups, small))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     shifts = per_task.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    ranked = pieces.join(shifts, ["length", "task"]).select(
+    # a count per length and task grows with the tasks, so it is never broadcast
+    ranked = pieces.join(shifts.hint("merge"), ["length", "task"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("shift") + F.col("nth")).alias("rank")
     )
     id_type = dict(ranked.dtypes)["doc_id"]
