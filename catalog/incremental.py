@@ -7,7 +7,7 @@ from placestats.operators.joins import update_by_key
 from placestats.operators.ranking import dedupe
 from placestats.session import new_folder
 from placestats.sources.writers import VersionedTable, load_report, upsert, with_audit
-from placestats.streaming.incremental import incremental, newer_than, stream_incremental
+from placestats.streaming.incremental import incremental, newer_than, run_incremental, stream_incremental
 
 # the first load holds the events up to this moment, the next one brings all again
 _MARK = "2024-01-15 00:00:00"
@@ -72,7 +72,7 @@ def _(t):
     table = VersionedTable(spark, f"{base}/table")
     first = rows.where(F.col("occurred_on_date") <= F.lit(_MARK).cast("timestamp_ntz"))
     keys = ["incident_number", "offense_code"]
-    table.write(incremental(first, None, "occurred_on_date", keys, ["incident_number"], latest()))
+    run_incremental(first, table, "occurred_on_date", keys, ["incident_number"], latest())
     rows.write.mode("overwrite").parquet(f"{base}/landing")
     stream = spark.readStream.schema(rows.schema).parquet(f"{base}/landing")
     run = stream_incremental(

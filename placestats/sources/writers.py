@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,40 +89,87 @@ def upsert(
     return target.join(batch.select(*key), key, "left_anti").unionByName(rows)
 
 
+class Conflict(RuntimeError):
+    """Another writer has taken the version that this one meant to write."""
+
+
 class VersionedTable:
-    """A Parquet table replaced by writing a new version beside the old one.
+    """A Parquet table kept in key buckets; a version is a list of bucket folders.
 
-    A version counts once Spark has committed it (its _SUCCESS marker), so readers
-    never see a half-written table and a failed write leaves the last one in force.
+    An upsert rewrites only the buckets its batch touches, into folders of its own, and then
+    claims the next version by creating that version's list, which fails if the file exists:
+    readers never see a half-written table, a failed write leaves the last version in force,
+    and of two writers one gets a `Conflict`. `forget` deletes folders that no kept version
+    names.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
 
-    def _fs(self):
-        jvm = self.spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+    def _at(self, *parts: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
+        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def versions(self) -> list[int]:
-        jvm, fs, at = self._fs()
-        if not fs.exists(at):
-            return []
-        names = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("v=")]
-        done = [p for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(p.getName()[2:]) for p in done)
+        at, fs = self._at("versions")
+        found = fs.listStatus(at) if fs.exists(at) else []
+        return sorted(int(s.getPath().getName()) for s in found if s.getLen())  # an empty list is still being written
 
     def exists(self) -> bool:
         return bool(self.versions())
 
-    def read(self) -> DataFrame | None:
+    def folders(self, version: int | None = None) -> dict[int, str]:
+        """Bucket -> folder of a version, by default the last."""
         done = self.versions()
-        return self.spark.read.parquet(f"{self.path}/v={done[-1]}") if done else None
-
-    def write(self, df: DataFrame) -> int:
-        version = (self.versions() or [0])[-1] + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        if not done:
+            return {}
+        at, _ = self._at("versions", str(version or done[-1]))
+        lines = [r.value for r in self.spark.read.text(at.toString()).collect()]  # a line per bucket
+        return {int(b): f for b, f in (line.split(" ", 1) for line in lines)}
+
+    def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
+        held = [f for b, f in sorted(self.folders(version).items()) if buckets is None or b in buckets]
+        return self.spark.read.parquet(*[f"{self.path}/{f}" for f in held]) if held else None
+
+    def _bucket(self, key: Sequence[str]) -> Column:
+        return F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int")
+
+    def upsert(self, batch: DataFrame, key: Sequence[str], order: Sequence[Column] | None = None, unique: bool = False) -> int:
+        """Insert or replace by key; returns the new version. See `upsert` for `order` and `unique`."""
+        base = self.versions()
+        old = self.folders()
+        named = batch.withColumn("_bucket", self._bucket(key))
+        touched = sorted(r[0] for r in named.select("_bucket").distinct().collect())  # at most `buckets` numbers
+        if not touched and base:
+            return base[-1]
+        merged = upsert(self.read(buckets=touched), batch, key, order, unique)
+        own = f"data/{uuid.uuid4().hex}"
+        # a bucket may hold a hot share of the rows, so each is spread by the whole key, not sent to one task
+        merged.withColumn("_bucket", self._bucket(key)).write.partitionBy("_bucket").parquet(f"{self.path}/{own}")
+        new = {**old, **{b: f"{own}/_bucket={b}" for b in touched}}
+        return self._claim((base or [0])[-1] + 1, new)
+
+    def _claim(self, version: int, folders: dict[int, str]) -> int:
+        at, fs = self._at("versions", str(version))
+        try:
+            out = fs.create(at, False)
+        except Py4JJavaError as e:
+            if "AlreadyExists" in str(e.java_exception.getClass().getName()):
+                raise Conflict(f"{self.path}: version {version} is taken") from None
+            raise
+        try:
+            out.write(bytearray("\n".join(f"{b} {f}" for b, f in sorted(folders.items())).encode()))
+        finally:
+            out.close()
         return version
 
-    def upsert(self, batch: DataFrame, key: Sequence[str], order: Sequence[Column] | None = None) -> int:
-        return self.write(upsert(self.read(), batch, key, order))
+    def forget(self, keep: int = 1) -> None:
+        """Delete versions but the last `keep`, and the folders only they named."""
+        done = self.versions()
+        named = {f for v in done[-keep:] for f in self.folders(v).values()}
+        for v in done[:-keep]:
+            for folder in set(self.folders(v).values()) - named:
+                at, fs = self._at(folder)
+                fs.delete(at, True)
+            at, fs = self._at("versions", str(v))
+            fs.delete(at, False)

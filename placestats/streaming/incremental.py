@@ -25,32 +25,34 @@ def newer_than(source: DataFrame, target: DataFrame | None, ts: str) -> DataFram
     return source.where(F.col(ts) > target.agg(F.coalesce(F.max(ts), earliest)).scalar())
 
 
-def incremental(
-    source: DataFrame,
-    target: DataFrame | None,
-    ts: str,
-    dedupe_keys: Sequence[str],
-    key: Sequence[str],
-    order: Sequence[Column],
+def fresh_rows(
+    source: DataFrame, target: DataFrame | None, ts: str, dedupe_keys: Sequence[str], key: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:
-    """State of the target after one run: new rows, de-duplicated, upserted by `key`.
+    """The rows of a run, one per `key`: newer than the target, de-duplicated.
 
     Where `key` is part of `dedupe_keys` the first row per `key` is also the first of its
-    `dedupe_keys`, so one reduction does both. The reduced rows are written once, because
-    their keys strike out the stored rows and they themselves are added.
+    `dedupe_keys`, so one reduction does both.
     """
     fresh = newer_than(source, target, ts)
     if not set(key) <= set(dedupe_keys):
         fresh = dedupe(fresh, dedupe_keys, order)
-    fresh = dedupe(fresh, key, order)
+    return dedupe(fresh, key, order)
+
+
+def incremental(
+    source: DataFrame, target: DataFrame | None, ts: str, dedupe_keys: Sequence[str], key: Sequence[str], order: Sequence[Column]
+) -> DataFrame:
+    """State of the target after one run. The reduced rows are written once, because their keys
+    strike out the stored rows and they themselves are added."""
+    fresh = fresh_rows(source, target, ts, dedupe_keys, key, order)
     return upsert(target, fresh if target is None else materialize(fresh), key, unique=True)
 
 
 def run_incremental(
     source: DataFrame, table: VersionedTable, ts: str, dedupe_keys: Sequence[str], key: Sequence[str], order: Sequence[Column]
 ) -> int:
-    """One batch run against a versioned table; returns the new version."""
-    return table.write(incremental(source, table.read(), ts, dedupe_keys, key, order))
+    """One batch run against a versioned table, rewriting the buckets it touches; returns the version."""
+    return table.upsert(materialize(fresh_rows(source, table.read(), ts, dedupe_keys, key, order)), key, unique=True)
 
 
 def stream_incremental(

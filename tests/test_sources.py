@@ -117,6 +117,30 @@ def test_versioned_upsert(spark, tmp_path):
     with pytest.raises(Exception, match="more than once"):
         writers.upsert(first, double, ["k"]).collect()
     assert writers.upsert(first, double, ["k"], [F.col("v").desc()]).count() == 3
-    # a version without its commit marker does not count
-    (tmp_path / "v" / "v=9").mkdir()
     assert table.versions() == [1, 2, 3]
+    assert sorted(map(tuple, table.read(1).collect())) == [(1, "a"), (2, "b")]
+    table.forget(keep=1)
+    assert table.versions() == [3]
+    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_upsert_leaves_other_buckets_alone(spark, tmp_path):
+    table = writers.VersionedTable(spark, str(tmp_path / "v"), buckets=8)
+    table.upsert(spark.range(100).withColumn("v", F.lit(0)), ["id"])
+    before = table.folders()
+    table.upsert(spark.range(5, 6).withColumn("v", F.lit(1)), ["id"])
+    after = table.folders()
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert sorted(map(tuple, table.read().collect())) == [(i, int(i == 5)) for i in range(100)]
+    assert table.upsert(spark.range(0).withColumn("v", F.lit(1)), ["id"]) == 2  # nothing to write
+
+
+def test_two_writers(spark, tmp_path):
+    table, other = (writers.VersionedTable(spark, str(tmp_path / "v")) for _ in range(2))
+    rows = spark.range(3).withColumn("v", F.lit(0))
+    table.upsert(rows, ["id"])
+    held = table.folders()
+    other.upsert(rows, ["id"])  # takes version 2 meanwhile
+    with pytest.raises(writers.Conflict):
+        table._claim(2, held)
+    assert table.versions() == [1, 2] and table.read().count() == 3
