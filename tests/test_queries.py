@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from placestats import session
 from tests.compare import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
@@ -17,9 +18,18 @@ def con():
     return duck(FOLDER)
 
 
+@pytest.fixture
+def written_plans(monkeypatch):
+    """The plans of all intermediate tables that a query writes."""
+    plans = []
+    monkeypatch.setattr(session, "on_plan", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()))
+    return plans
+
+
 @pytest.mark.parametrize("name", sorted(CHECKED))
-def test_matches_oracle(spark, con, name):
+def test_matches_oracle(spark, con, name, written_plans):
     df = entry.queries()[name](spark, FOLDER)
+    assert not [p for p in written_plans if "NestedLoop" in p or "Cartesian" in p]
     assert compare(df, con, entry.oracle_sql()[name]) == []
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
