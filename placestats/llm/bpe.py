@@ -37,7 +37,7 @@ MIXERS, SHIFT = (0x45D9F3B5, 0x2C1B3C6D), 24  # odd multipliers of 31 bits: prod
 COMMON = 250_000  # most words that are encoded ahead
 COMMON_CHARS = 64 << 20  # about as many characters are read to find them
 AHEAD = 1 << 30  # number of the first of these words
-BLOCK = 4 << 20  # characters of text in a block, more only if one text is longer
+BLOCK = 6 << 20  # characters of text in a block, more only if one text is longer
 SEPARATOR = ","
 
 
@@ -214,12 +214,20 @@ class _Words:
     def __init__(self, pattern: str, path: str, ahead: dict[bytes, int]):
         self.match, self.path, self.ranks, self.ahead = split_pattern(pattern).finditer, path, {}, ahead
         self.whole = r" ?\p{L}+" in pattern  # a space and letters are one match
+        # parts that are one word encoded ahead are known to every block
+        plain = [(w[1:].decode("utf-8", "replace"), n) for w, n in ahead.items() if self.whole and w[:1] == b" "]
+        plain = [(part, n) for part, n in plain if part.isalpha()]
+        self.plain, self.plain_numbers = {part: i for i, (part, _) in enumerate(plain)}, [n for _, n in plain]
+        self.clear()
+
+    def clear(self) -> None:
+        """Begin a new block."""
         self.words: dict[bytes, int] = {}
         self.longs: list[list[int]] = []
         self.heads: dict[str, int] = {}  # parts at the start of a text
-        self.parts: dict[str, int] = {}  # parts after a space
-        self.numbers: list[int] = []
-        self.sizes: list[int] = []
+        self.parts: dict[str, int] = self.plain.copy()  # parts after a space
+        self.numbers: list[int] = self.plain_numbers.copy()
+        self.sizes: list[int] = [1] * len(self.plain_numbers)
 
     def learn(self, known: dict[str, int], key: str, text: str) -> None:
         found = [text] if known is self.parts and self.whole and key.isalpha() else [m[0] for m in self.match(text)]
@@ -304,8 +312,6 @@ def _to_blocks(pattern: str, path: str, block: int, ahead: Ahead):
     """mapInArrow function: rows (other columns, text) to rows of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ahead.numbers()
-
         def flush(held: list[pa.RecordBatch], words: _Words, texts: list[np.ndarray]) -> pa.RecordBatch:
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, held[0].schema) as out:
@@ -322,7 +328,7 @@ def _to_blocks(pattern: str, path: str, block: int, ahead: Ahead):
                 ["rows", "word_index", "word_counts", "words", "long_ids"],
             )
 
-        held, words, texts, size = [], _Words(pattern, path, known), [], 0
+        held, words, texts, size = [], _Words(pattern, path, ahead.numbers()), [], 0
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             others = batch.select(range(batch.num_columns - 1))
@@ -334,7 +340,8 @@ def _to_blocks(pattern: str, path: str, block: int, ahead: Ahead):
                 if size >= block:
                     held.append(others.slice(at, row + 1 - at))
                     yield flush(held, words, texts)
-                    held, words, texts, size, at = [], _Words(pattern, path, known), [], 0, row + 1
+                    held, texts, size, at = [], [], 0, row + 1
+                    words.clear()
             if at < batch.num_rows:
                 held.append(others.slice(at))
         if held:
