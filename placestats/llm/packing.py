@@ -261,27 +261,48 @@ def merge_ranks(tokenizer_path: str) -> dict[bytes, int] | None:
     return ranks if order == sorted(order) and all(bytes([b]) in ranks for b in range(256)) else None
 
 
-def token_bytes(tokenizer_path: str, end_id: int = 0) -> Callable[[str], bytes]:
-    """Encoder of a text to little-endian unsigned 32-bit ids, closed by `end_id`; special tokens are ordinary text.
+def added_tokens_of(tokenizer_path: str) -> list[str]:
+    """Literals that the file's tokenizer recognises in a text before it splits it."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        return [t["content"] for t in json.load(f).get("added_tokens") or []]
+
+
+def token_bytes(tokenizer_path: str, end_id: int = 0, added_tokens: bool = False) -> Callable[[str], bytes]:
+    """Encoder of a text to little-endian unsigned 32-bit ids, closed by `end_id`.
 
-    Byte-level files are run by the faster of two libraries that give the same ids.
+    With `added_tokens` the file's added tokens have their own id wherever a text holds
+    them, as the library does by default; otherwise they are ordinary text. Byte-level
+    files are run by the faster of two libraries that give the same ids; texts that hold
+    an added token always by the library of the file.
     """
     end = int(end_id).to_bytes(4, "little")
     ranks = merge_ranks(tokenizer_path)
-    if ranks is None:
+
+    def by_library():
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = not added_tokens
         return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + end
 
+    if ranks is None:
+        return by_library()
+
     import tiktoken
 
     ids_of = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
-    return lambda text: (ids_of(text).astype("<u4").tobytes() if text else b"") + end
+
+    def fast(text: str) -> bytes:
+        return (ids_of(text).astype("<u4").tobytes() if text else b"") + end
+
+    literals = added_tokens_of(tokenizer_path) if added_tokens else []
+    if not literals:
+        return fast
+    whole = by_library()
+    return lambda text: whole(text) if any(t in text for t in literals) else fast(text)
 
 
-def tokenized_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: str, capacity: int, end_id: int) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: str, capacity: int, end_id: int, added_tokens: bool = False) -> DataFrame:
     """Pieces of all documents with their task and their rank among the pieces of their length in that task."""
     id_type = dict(docs.dtypes)[id_col]
     schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, task int, nth long"
@@ -292,7 +313,7 @@ def tokenized_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_path
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = token_bytes(tokenizer_path, end_id)
+        encode = token_bytes(tokenizer_path, end_id, added_tokens)
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         for batch in batches:
@@ -316,13 +337,14 @@ def tokenized_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_path
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-         end_id: int = 0, groups: int = GROUPS, small: tuple[float, ...] = SMALL) -> DataFrame:
+         end_id: int = 0, groups: int = GROUPS, small: tuple[float, ...] = SMALL, added_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Every row of `docs` is packed, also rows that repeat an id or have a null id; a null
     text counts as empty and still has its closing token. An empty table gives no rows.
+    `added_tokens` gives literals of added tokens, such as <|endoftext|>, their own id.
     """
-    pieces = materialize(tokenized_pieces(docs, id_col, text_col, tokenizer_path, capacity, end_id))
+    pieces = materialize(tokenized_pieces(docs, id_col, text_col, tokenizer_path, capacity, end_id, added_tokens))
     per_task = materialize(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")))
     totals = {r.length: r.n for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     where = places(plan(totals, capacity, groups, small))

@@ -39,7 +39,7 @@ def best_fit_packing(spark, folder):
 
     from placestats.llm.packing import pack
 
-    return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
 def quality_model(spark, folder, vectors: DataFrame):

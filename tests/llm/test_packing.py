@@ -10,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import __spark_entry__ as entry
+import corpus_pipeline
 from placestats.llm.packing import best_fit, linear_groups, pack, pieces_of, places, plan, token_bytes
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -112,3 +114,19 @@ def test_other_tokenizer_files():
 
 def test_empty(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>  y\n", "<|endoftext|><|endoftext|>z", "no such <|endoftext|", "plain words 12", "é <|endoftext|>" * 900]
+
+
+def test_added_tokens_have_the_ids_of_the_library(spark, tmp_path):
+    tok = Tokenizer.from_file(PATH)
+    want = {i: tok.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(ADDED)}
+    assert want[0] == [64, 220, 50256, 275, 0]
+    encode = token_bytes(PATH, 0, added_tokens=True)
+    assert all(np.frombuffer(encode(t), "<u4").tolist() == want[i] for i, t in enumerate(ADDED))
+    spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    pieces = {(i, p, a, n, zlib.crc32(np.array(ids[a : a + n], "<u4").tobytes())) for i, ids in want.items() for p, (a, n) in enumerate(pieces_of(len(ids), 2048))}
+    stage = corpus_pipeline.packed(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    for found in (entry.queries()["op2_best_fit_packing"](spark, str(tmp_path)), stage):
+        assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found.collect()} == pieces
