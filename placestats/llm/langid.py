@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -141,22 +142,38 @@ def train(rows: list[tuple[str, str]], buckets: int = BUCKETS, width: int = WIDT
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = SAMPLE, chars: int = SAMPLE_CHARS) -> DataFrame:
-    """At most `rows` whole texts of up to `chars` characters, drawn by hash, evenly from the most frequent languages.
+    """At most `rows` texts of up to `chars` characters, drawn by hash, evenly from the most frequent languages.
 
-    A hash thins each language to about three times its share before the rank.
+    The rows of the least hashes of a language are taken. Before the rank a limit on the
+    hash thins each language to about three times its share; the limit is never below the
+    least hash, so each of these languages gives a row. One without a text of up to
+    `chars` characters gives the first `chars` characters of its shortest texts.
     """
-    usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= chars))
-    counts = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    sizes = {r.lang: r.n for r in counts.orderBy(F.desc("n"), "lang").limit(SAMPLE_LANGUAGES).collect()}
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
+    short, drawn = F.length("text") <= chars, F.xxhash64("id", "text")
+    counts = picked.groupBy("lang").agg(F.count_if(short).alias("short"), F.count(F.lit(1)).alias("all"), F.min(F.when(short, drawn)).alias("least"))
+    counts = counts.select("lang", "short", "least", F.when(F.col("short") > 0, F.col("short")).otherwise(F.col("all")).alias("n"))
+    sizes = counts.orderBy((F.col("short") == 0).asc(), F.desc("n"), "lang").limit(SAMPLE_LANGUAGES).collect()
     if not sizes:
-        return usable.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+        return picked.select("text", "lang")
     each = min(max(rows // len(sizes), 1), 999)  # Spark cuts ranks early below 1000
-    # a hash lets about three times the rows through that are ranked, however many there are
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, 3 * each / n) * 1_000_000))])
-    drawn = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < share[F.col("lang")]
-    draw = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"), "id"))
-    picked = usable.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    return picked.where(drawn).withColumn("draw", draw).where(F.col("draw") <= each).select("text", "lang")
+    limits = {r.lang: max(hash_limit(3 * each, r.n), r.least) for r in sizes if r.short}
+    long_only = [r.lang for r in sizes if not r.short]
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "id"))
+    kept = []
+    if limits:
+        limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+        kept.append(picked.where(short & (drawn <= limit[F.col("lang")])).withColumn("order", drawn))
+    if long_only:
+        long = picked.where(F.col("lang").isin(long_only)).withColumn("order", F.length("text").cast("long"))
+        kept.append(long.withColumn("text", F.substring("text", 1, chars)))
+    ranked = [part.withColumn("draw", rank).where(F.col("draw") <= each).select("text", "lang") for part in kept]
+    return reduce(DataFrame.unionByName, ranked)
+
+
+def hash_limit(wanted: int, n: int) -> int:
+    """Signed 64-bit limit that about `wanted` of `n` hashes do not exceed, whatever `n` is."""
+    return min(-(1 << 63) + (wanted << 64) // n, (1 << 63) - 1)
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **params) -> Model:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from placestats.llm import langid
-from placestats.llm.langid import GRAMS, fit, identify, prepared, subwords, train
+from placestats.llm.langid import GRAMS, fit, hash_limit, identify, prepared, sample, subwords, train
 
 
 def plain_subwords(text, n):
@@ -66,3 +66,21 @@ def test_held_out(spark):
     truth = duckdb.connect().execute(f"SELECT doc_id, lang FROM '{folder}/documents.parquet'").fetchall()
     assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, _ in truth)
     assert np.mean([got[i].lang_pred == lang for i, lang in truth if got[i].held_out and lang]) > 0.95
+
+
+def test_hash_limit_never_closes():
+    for n in (1, 59, 60, 61, 10**6, 61_000_000, 3 * 10**9, 10**15):
+        passed = (hash_limit(60, n) + (1 << 63)) / (1 << 64)
+        assert passed == pytest.approx(min(1, 60 / n)) and passed > 0
+
+
+def test_every_language_is_sampled(spark):
+    df = spark.createDataFrame([(i, f"the {i}", "aa") for i in range(5)], "doc_id long, text string, lang string")
+    same = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("und der nicht").alias("text"), F.lit("bb").alias("lang"))
+    many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("que les "), "id").alias("text"), F.lit("cc").alias("lang"))
+    long = spark.createDataFrame([(i, "hund " * (4000 + i), "dd") for i in range(1, 4)], df.schema)
+    rows = sample(df.unionAll(same).unionAll(many).unionAll(long), "doc_id", "text", "lang", rows=8).collect()
+    got = {lang: sorted(r.text for r in rows if r.lang == lang) for lang in ("aa", "bb", "cc", "dd")}
+    assert {lang: len(texts) for lang, texts in got.items()} == dict.fromkeys(got, 2)
+    assert got["dd"] == ["hund " * 4000] * 2
+    assert got["cc"] == sorted(r.text for r in many.orderBy(F.xxhash64("doc_id", "text")).limit(2).collect())
