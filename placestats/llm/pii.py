@@ -10,13 +10,18 @@ and is written into their texts in each mention's own format.
 
 Kinds: email, phone, card, ip, secret, iban, national id, and names behind a title
 (given names by gender, surnames), with later bare mentions of a name in the same text.
-Texts without any trigger (a digit, an @ or a title) are not moved at all.
+Phones are numbers in North American groups, numbers that open with + or 00 and a country
+code, and numbers that open with a trunk 0; an entity is the number without these, so that
+both ways to write it agree. Addresses are IPv4, and IPv6 in full or in the ranges 2000::/3
+and f000::/4. Texts without any trigger (a digit, one of @ = :, a key's prefix or a title)
+are not moved at all.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 from functools import reduce
@@ -35,6 +40,24 @@ MALE_TITLES = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|Господин"
 OPEN_TITLES = "Dr|Prof|Professor"
 TITLES = f"{FEMALE_TITLES}|{MALE_TITLES}|{OPEN_TITLES}"
 CAPITALISED = r"[^\W\d_a-zà-öø-ÿа-я][^\W\d_A-ZÀ-ÖØ-ÞА-Я]+(?:-[^\W\d_a-zà-öø-ÿа-я][^\W\d_A-ZÀ-ÖØ-ÞА-Я]+)?"
+SEP, HEX = r"[ ./-]", r"[0-9A-Fa-f]{1,4}"
+# subscriber numbers of seven or eight digits, and of six, by groups
+EIGHT = rf"(?:\d\d(?:{SEP}\d\d){{3}}|\d{{4}}{SEP}\d{{4}}|\d{{3}}{SEP}\d\d{SEP}\d\d|\d{{3}}{SEP}\d{{3,5}}|\d{{7,8}})"
+SIX = rf"(?:\d\d{SEP}\d\d{SEP}\d\d|\d{{6}})"
+AFTER = r"(?!\w|[.,:]\d)"
+ABROAD = rf"""(?:\+(?!1[ (.-])|(?<![\w+.:/-])00(?=[1-9]))(?:
+          \d{{1,3}}[ .-]?(?:\(0\)[ ]?)?(?:\(\d{{1,4}}\)|\d{{1,4}}){SEP}{EIGHT}{AFTER}
+        | \d{{1,3}}[ .-]?(?:\(0\)[ ]?)?(?:\(\d{{2,5}}\)|\d{{2,5}}){SEP}{SIX}{AFTER}
+        | (?=(?:[ .-]?\d){{9,15}}{AFTER})\d{{1,3}}(?:[ .-]\d{{2,12}}){{1,6}}{AFTER})"""
+TRUNK = rf"""(?<![\w+.:/-])(?:(?:\(0\d{{1,4}}\)[ ]?|0\d{{1,4}}(?:[ ]?[/-][ ]?|[ ])){EIGHT}{AFTER}
+        | (?:\(0\d{{2,4}}\)[ ]?|0\d{{2,4}}(?:[ ]?[/-][ ]?|[ ])){SIX}{AFTER}
+        | 0[1-9](?:\.\d\d){{4}}{AFTER})"""
+# full form, or shortened with a first group of the ranges in use
+IPV6 = rf"""(?<![\w:.])(?:(?:{HEX}:){{7}}{HEX}
+        | [23fF][0-9A-Fa-f]{{3}}(?=[0-9A-Fa-f:]*::)(?::{HEX}){{0,5}}::(?:{HEX}(?::{HEX}){{0,5}})?)(?![\w:]|\.\d)"""
+TWO_DIGITS = {"20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55",
+              "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98"}
+KEY_PREFIXES = ["AKIA", "ASIA", *[k + c for k in ("ghp", "gho", "sk", "pk", "xoxb", "xoxa", "xoxp") for c in "-_"]]
 FINDER = re.compile(
     rf"""
     (?P<email>(?<![A-Za-z0-9_%+.-])[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
@@ -43,10 +66,13 @@ FINDER = re.compile(
       | (?i:password|passwd|secret|token|api[_-]?key)\s{{0,8}}[=:]\s{{0,8}}["']?(?P<value>[^\s"']{{6,}}))
   | (?P<iban>\b[A-Z]{{2}}\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{3,7}}(?:[ ]?[A-Z0-9]{{1,3}})?\b)
   | (?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
+  | (?P<ip6>{IPV6})
+  | (?P<abroad>{ABROAD})
   | (?P<card>(?<![\w+])(?:\d{{4}}[ -]\d{{4}}[ -]\d{{4}}[ -]\d{{1,7}}|\d{{4}}[ -]\d{{6}}[ -]\d{{5}}|\d{{13,19}})(?!\w|\.\d))
   | (?P<national>(?<![\w-])\d{{3}}-\d{{2}}-\d{{4}}(?![\w-]))
   | (?P<phone>(?<![\w+])(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)[ .-]?|\d{{2,4}}[ .-])\d{{3}}[ .-]?\d{{3,4}}(?!\w)
-      | (?<![\w+])\+\d{{9,14}}(?!\w))
+      | (?<![\w+])\+\d{{9,14}}(?!\w)
+      | {TRUNK})
   | (?:\b(?:(?P<female>{FEMALE_TITLES})|(?P<male>{MALE_TITLES})|(?:{OPEN_TITLES}))\.?[ ]+(?P<name>{CAPITALISED}(?:[ ]{CAPITALISED}){{0,2}}))
     """,
     re.VERBOSE,
@@ -79,6 +105,17 @@ def _digits(s: str) -> str:
     return "".join(str(int(c)) for c in s if c.isdigit())
 
 
+def phone_number(mention: str, abroad: bool) -> str:
+    """Digits of a phone number without country code and trunk 0."""
+    digits = _digits(mention)
+    if mention[0] == "+" or abroad:
+        digits = digits[2:] if mention[0] == "0" else digits
+        digits = digits[1 if digits[0] in "17" else 2 if digits[:2] in TWO_DIGITS else 3 :]
+    elif len(digits) > 10 and digits[0] != "0":
+        return digits[-10:]
+    return digits[1:] if digits[0] == "0" else digits
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of the entities of a whole text, in order, without overlaps."""
     out: list[tuple[int, int, str, str]] = []
@@ -103,9 +140,13 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 out.append((*m.span(), "card", digits))
             elif m["card"].replace(" ", "").replace("-", "") == digits:
                 out.append((*m.span(), "phone", digits))
-        elif m["phone"]:
-            digits = _digits(m["phone"])
-            out.append((*m.span(), "phone", digits[-10:] if len(digits) > 10 else digits))
+        elif m["phone"] or m["abroad"]:
+            out.append((*m.span(), "phone", phone_number(m[0], bool(m["abroad"]))))
+        elif m["ip6"]:
+            try:
+                out.append((*m.span(), "ip", ipaddress.IPv6Address(m[0]).exploded))
+            except ValueError:  # more groups than an address has
+                pass
         elif m["email"]:
             out.append((*m.span(), "email", m["email"].casefold()))
         elif kind in ("secret", "iban", "ip", "national"):
@@ -154,6 +195,10 @@ def candidate(key: bytes, kind: str, canon: str, attempt: int) -> str:
         names = ["".join(_like(c, host) for c in n) for n in names]
         grown = "".join(chr(97 + draw.below(26)) for _ in range(extra))
         return "".join(_like(c, draw) for c in local) + grown + "@" + ".".join([*names, top])
+    if kind == "ip" and ":" in canon:  # the first group and empty ones stay, so that short forms stay writable
+        first, *groups = canon.split(":")
+        sizes = [4 if extra and g != "0000" else len(g.lstrip("0")) for g in groups]
+        return ":".join([first, *[(f"{1 + draw.below(16**n - 1):x}" if n else "").zfill(4) for n in sizes]])
     if kind == "ip":
         spans = {1: (1, 9), 2: (10, 90), 3: (100, 156)}
         parts = []
@@ -188,6 +233,16 @@ def written(mention: str, kind: str, surrogate: str) -> str:
             old = out[i]
             out[i] = chr(ord(old) - int(old) + int(c)) if old.isdecimal() and c.isdecimal() else c
         return "".join(out)
+    if kind == "ip" and ":" in surrogate:
+        groups, (head, cut, tail) = surrogate.split(":"), mention.partition("::")
+        ends = tail.split(":") if tail else []
+
+        def shown(old: list[str], new: list[str]) -> str:
+            return ":".join((n.lstrip("0") or "0").zfill(len(o)) for o, n in zip(old, new))
+
+        front = head.split(":")
+        out = shown(front, groups) + cut + shown(ends, groups[8 - len(ends) :])
+        return out.upper() if mention.isupper() else out
     if kind == "email" or kind.startswith(("given", "surname")):
         if mention.isupper():
             return surrogate.upper()
@@ -205,8 +260,8 @@ def replace(text: str, mapping: dict[tuple[str, str], str]) -> str:
 
 def triggered(text: Column) -> Column:
     """Could the text hold an entity? True for every text that does; false for null."""
-    title = reduce(or_, [text.contains(t) for t in TITLES.split("|")])
-    return F.coalesce(text.rlike(r"[\p{Nd}@=:]") | title, F.lit(False))
+    literal = reduce(or_, [text.contains(t) for t in [*TITLES.split("|"), *KEY_PREFIXES]])
+    return F.coalesce(text.rlike(r"[\p{Nd}@=:]") | literal, F.lit(False))
 
 
 def entities(text: Column) -> Column:

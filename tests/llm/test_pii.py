@@ -90,3 +90,43 @@ def test_documents(spark):
     assert replace_entities(df.limit(0), KEY).count() == 0
     with pytest.raises(ValueError):
         replace_entities(df, b"")
+
+
+PHONES = {
+    "2079460958": ["+44 20 7946 0958", "020 7946 0958", "+44 (0)20 7946 0958", "(020) 7946 0958", "+442079460958", "0044 20 7946 0958"],
+    "612345678": ["06 12 34 56 78", "+33 6 12 34 56 78", "06.12.34.56.78", "+33 612345678"],
+    "123456789": ["+33 1 23 45 67 89", "01-23-45-67-89"],
+    "15112345678": ["+49 151 12345678", "0151 12345678", "0151/12345678", "0151 1234 5678", "+49 15112345678"],
+    "13800138000": ["+86 138 0013 8000"], "446681800": ["+41 44 668 18 00"], "711123456": ["0711/123456", "+49 711 123456", "0711 12 34 56"], "91234567": ["+47 912 34 567"],
+}
+SIXES = {"20010db8000000000000000000000001": ["2001:db8::1", "2001:DB8::1", "2001:0db8:0:0:0:0:0:1"], "fe8000000000000001ff0fe234567890": ["fe80::1ff:fe2:3456:7890"]}
+KEYS = ["AKIA" + "ABCDEFGH" * 2, "ASIA" + "ABCDEFGH" * 2, "ghp_" + "abcdefgh" * 3, "sk-" + "abcdefgh" * 3]
+
+
+@pytest.mark.parametrize("number,mention", [(n, m) for n, ms in PHONES.items() for m in ms])
+def test_phones_of_other_countries(number, mention):
+    for text in (mention, f"Tel. {mention}, bitte.", f"({mention})\n"):
+        ((start, end, kind, canon),) = find(text)
+        assert (kind, canon, text[start:end]) == ("phone", number, mention)
+    new = written(mention, "phone", candidate(KEY, "phone", number, 0))
+    assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", mention) and new != mention
+
+
+@pytest.mark.parametrize("number,mention", [(n, m) for n, ms in SIXES.items() for m in ms])
+def test_ipv6(number, mention):
+    ((start, end, kind, canon),) = find(f"at {mention}.")
+    assert (start, end, kind, canon.replace(":", "")) == (3, 3 + len(mention), "ip", number)
+    new = written(mention, "ip", candidate(KEY, kind, canon, 0))
+    assert new != mention and [len(g) for g in new.split(":")] == [len(g) for g in mention.split(":")] and new.isupper() == mention.isupper()
+    assert find(new)[0][3] == candidate(KEY, kind, canon, 0)
+
+
+@pytest.mark.parametrize("text", ["01.02.2003 12:30", "2003-01-02 10:15:00", "x[1::2]", "std::vector", "12:30:45", "0.123456789"])
+def test_dates_and_code_stay(text):
+    assert find(text) == []
+
+
+def test_letter_keys_trigger(spark):
+    df = spark.createDataFrame([(i, f"key {k} end") for i, k in enumerate(KEYS)], "doc_id long, text string")
+    assert all(r.t for r in df.select(triggered(F.col("text")).alias("t")).collect())
+    assert not any(k in r.text for r in replace_entities(df, KEY).collect() for k in KEYS)
