@@ -149,3 +149,73 @@ def transcript_roles(spark, folder):
     from placestats.llm.transcripts import parse
 
     return parse(table(spark, folder, "conversations"))
+
+
+@query(
+    "op11_four_russians_negatives",
+    """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+q AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS n
+  FROM p JOIN s USING (anchor_id)
+  WHERE s.label <> s.own AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, n::INTEGER AS rank, negative_id, positive_score, negative_score FROM q WHERE n <= 10""",
+)
+def four_russians_negatives(spark, folder):
+    from placestats.llm.hard_negatives import mine
+
+    return mine(table(spark, folder, "embeddings"))
+
+
+@query("op12_license_scan")
+def license_scan(spark, folder):
+    from placestats.llm.licenses import scan_licenses, summary
+
+    return summary(scan_licenses(table(spark, folder, "documents").select("doc_id", "text")))
+
+
+COLLOCATIONS = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n\\x0B\\f\\r]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+runs AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM places, (VALUES (1), (2), (3), (4)) v(k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, phrase, k, count(*) AS f, string_split(phrase, ' ') AS w FROM runs GROUP BY lang, phrase, k HAVING count(*) >= 30),
+c AS (SELECT lang, phrase, k, f AS a, w FROM f WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, t.cut, x.f AS l, y.f AS r, ((2000000 * c.a::HUGEINT) // (x.f + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) t
+  JOIN c USING (lang, phrase)
+  JOIN f x ON x.lang = t.lang AND x.phrase = array_to_string(t.w[1:t.cut], ' ')
+  JOIN f y ON y.lang = t.lang AND y.phrase = array_to_string(t.w[t.cut + 1:], ' ')),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+subs AS (SELECT lang, w, a, k, size, unnest(range(1, k - size + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS size FROM c)),
+longer AS (SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS longer FROM subs GROUP BY ALL),
+kept AS (
+  SELECT lang, phrase, a, l, r, score FROM least LEFT JOIN longer USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000"""
+
+
+@query("op13_phrase_collocations", COLLOCATIONS)
+def phrase_collocations(spark, folder):
+    from placestats.llm.collocations import collocations
+
+    return collocations(table(spark, folder, "documents"))
