@@ -273,7 +273,7 @@ def token_bytes(tokenizer_path: str, end_id: int = 0, added_tokens: bool = False
     With `added_tokens` the file's added tokens have their own id wherever a text holds
     them, as the library does by default; otherwise they are ordinary text. Byte-level
     files are run by the faster of two libraries that give the same ids; texts that hold
-    an added token always by the library of the file.
+    an added token, and those it refuses, by the library of the file.
     """
     end = int(end_id).to_bytes(4, "little")
     ranks = merge_ranks(tokenizer_path)
@@ -292,13 +292,15 @@ def token_bytes(tokenizer_path: str, end_id: int = 0, added_tokens: bool = False
 
     ids_of = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
 
+    whole = by_library()
+
     def fast(text: str) -> bytes:
-        return (ids_of(text).astype("<u4").tobytes() if text else b"") + end
+        try:
+            return (ids_of(text).astype("<u4").tobytes() if text else b"") + end
+        except ValueError:  # its pattern gives up on very long runs of white space
+            return whole(text)
 
     literals = added_tokens_of(tokenizer_path) if added_tokens else []
-    if not literals:
-        return fast
-    whole = by_library()
     return lambda text: whole(text) if any(t in text for t in literals) else fast(text)
 
 

@@ -106,6 +106,18 @@ def test_pack(spark):
     assert len(by) <= -(-used // 2048) + 2
 
 
+def test_long_runs_of_white_space(spark):
+    """The faster library gives up on these; the ids are those of the other."""
+    texts = [c * 2_000_000 for c in (" ", "\n", "\t")] + ["word " * 10 + " " * 1_500_000 + "end"]
+    tok = Tokenizer.from_file(PATH)
+    want = Counter()
+    for i, t in enumerate(texts):
+        ids = tok.encode(t, add_special_tokens=False).ids + [0]
+        want.update((i, piece, zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())) for piece, (start, length) in enumerate(pieces_of(len(ids), 2048)))
+    got = pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH).collect()
+    assert Counter((r.doc_id, r.piece, r.ids_crc32) for r in got) == want
+
+
 def test_other_tokenizer_files():
     path = public_tokenizers.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
