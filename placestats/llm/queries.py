@@ -146,9 +146,12 @@ def byte_bpe(spark, folder):
 
 @query("op10_transcript_roles")
 def transcript_roles(spark, folder):
+    """Roles of all turns; in every conversation whose crc32(conv_id as text) is odd they are hidden from the operator."""
     from placestats.llm.transcripts import parse
 
-    return parse(table(spark, folder, "conversations"))
+    hidden = F.coalesce(F.crc32(F.col("conv_id").cast("string")) % 2 == 1, F.lit(False))
+    turns = table(spark, folder, "conversations").withColumn("role", F.when(~hidden, F.col("role")))
+    return parse(turns).select("conv_id", "turn", "unit", hidden.alias("held_out"), "marked", "role", "body", "rendered")
 
 
 @query(

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from placestats.session import materialize
+from placestats.session import materialize, release
 
 ROLES = ["system", "user", "assistant", "tool"]
 # names that stand for a role in markers and role columns
@@ -49,6 +49,12 @@ TRUST = 0.97  # chance that a marker tells the truth
 LENGTHS = [40, 120, 300, 700, 1500]  # characters that bound the classes of unit length
 FEATURES = {"opens": 2, "length": len(LENGTHS) + 1, "lines": 4, "question": 2, "listing": 2, "code": 2, "please": 2}
 SMOOTHING = 1.0
+RANGE = 4 << 20  # characters of text in a range
+ROUNDS = 4  # of counting again, where nothing is marked
+# counts to start from where nothing is marked: a turn of another role follows, users ask and are brief
+PRIOR_START = [2.0, 8.0, 0.5, 0.1]
+PRIOR_MOVE = [[0.1, 9.0, 0.8, 0.1], [0.1, 0.5, 9.0, 0.4], [0.1, 9.0, 0.5, 0.4], [0.1, 0.5, 9.0, 0.4]]
+PRIOR_HINTS = {"question": [0.1, 0.6, 0.1, 0.05], "listing": [0.1, 0.1, 0.4, 0.2], "code": [0.05, 0.1, 0.3, 0.3], "please": [0.1, 0.5, 0.1, 0.05]}
 
 
 def role_of(name: str | None) -> int:
@@ -130,7 +136,10 @@ def dealt(df: DataFrame, key: str, order: str, text: str, role: str | None) -> D
     )
     tie = F.xxhash64("text", "given")
     sort = [F.col("key").asc_nulls_first(), F.col("place").asc_nulls_first(), tie]
-    placed = rows.withColumn("tie", tie).repartitionByRange(*sort).sortWithinPartitions("key", "place", "tie", "text", "given")
+    # ranges hold about as many characters at every size of the table
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()
+    parts = max(1, -(-size // RANGE), min(df.sparkSession.sparkContext.defaultParallelism, n // 1000))
+    placed = rows.withColumn("tie", tie).repartitionByRange(parts, *sort).sortWithinPartitions("key", "place", "tie", "text", "given")
     # from here on keys are text, which pandas keeps exact also among nulls
     plain = placed.select(F.col("key").cast("string").alias("key"), F.col("place").cast("string").alias("place"), "text", "given")
 
@@ -162,15 +171,25 @@ def _classes(rows: pd.DataFrame, opens: np.ndarray) -> np.ndarray:
 
 
 def _borders(cut: DataFrame) -> DataFrame:
-    """Per partition: does its first transcript go on from the partition before? One row each, by the first and last keys."""
-    edge = F.struct("seq", "key")
-    ends = cut.groupBy("part").agg(F.min(edge)["key"].alias("first"), F.max(edge)["key"].alias("last"))
+    """Per partition: does its first transcript go on from the partition before, and with what mark there? One row each."""
+    edge = F.struct("seq", "key", "mark")
+    ends = cut.groupBy("part").agg(F.min(edge)["key"].alias("first"), F.max(edge).alias("last"))
     before = F.lag(F.struct("last")).over(Window.orderBy("part"))  # one row per partition of the table
-    return materialize(ends.select("part", (before.isNotNull() & before["last"].eqNullSafe(F.col("first"))).alias("goes_on")))
+    goes_on = before.isNotNull() & before["last"]["key"].eqNullSafe(F.col("first"))
+    return materialize(ends.select("part", goes_on.alias("goes_on"), F.coalesce(before["last"]["mark"], F.lit(-1)).alias("mark_before")))
 
 
-def fit(cut: DataFrame, borders: DataFrame) -> Model:
-    """Counts over all marked units. Moves between partitions are left out: at most one per partition."""
+def prior() -> Model:
+    """The model to start from where no unit is marked."""
+    emit = []
+    for name, n in FEATURES.items():
+        chance = np.array(PRIOR_HINTS[name]) if name in PRIOR_HINTS else None
+        emit.append(np.full((len(ROLES), n), 1.0) if chance is None else 20 * np.column_stack([1 - chance, chance]))
+    return Model(10 * np.array(PRIOR_START), 10 * np.array(PRIOR_MOVE), emit)
+
+
+def fit(cut: DataFrame, borders: DataFrame) -> Model | None:
+    """Counts over all marked units and all moves between marked neighbours; None where no unit is marked."""
     s = len(ROLES)
 
     def count(rows: pd.DataFrame, border: pd.DataFrame) -> pd.DataFrame:
@@ -178,23 +197,24 @@ def fit(cut: DataFrame, borders: DataFrame) -> Model:
         if len(rows):
             rows = rows.sort_values("seq")
             same, marks = _same(rows["key"]), rows["mark"].to_numpy()
-            opens = ~same
+            opens, earlier = ~same, np.r_[-1, marks[:-1]]
             if bool(border["goes_on"].iloc[0]):
-                opens[0] = False
+                opens[0], earlier[0] = False, border["mark_before"].iloc[0]
             classes = _classes(rows, opens)
             for i, mark in enumerate(marks):
                 if mark < 0:
                     continue
-                cells = [(-1, 0, mark)] if opens[i] else [(-2, marks[i - 1], mark)] if same[i] and marks[i - 1] >= 0 else []
+                cells = [(-1, 0, mark)] if opens[i] else [(-2, earlier[i], mark)] if earlier[i] >= 0 else []
                 for cell in cells + [(f, mark, c) for f, c in enumerate(classes[i])]:
                     out[cell] = out.get(cell, 0) + 1
         return pd.DataFrame([(*map(int, k), v) for k, v in out.items()], columns=["what", "a", "b", "n"])
 
     counts = cut.groupBy("part").cogroup(borders.groupBy("part")).applyInPandas(count, "what int, a int, b int, n long")
     start, move, emit = np.zeros(s), np.zeros((s, s)), [np.zeros((s, n)) for n in FEATURES.values()]
-    for r in counts.groupBy("what", "a", "b").agg(F.sum("n").alias("n")).collect():  # a few dozen cells
+    cells = counts.groupBy("what", "a", "b").agg(F.sum("n").alias("n")).collect()  # a few dozen cells
+    for r in cells:
         (start if r.what == -1 else move[r.a] if r.what == -2 else emit[r.what][r.a])[r.b] = r.n
-    return Model(start, move, emit)
+    return Model(start, move, emit) if cells else None
 
 
 def _settle(cut: DataFrame, borders: DataFrame, model: Model) -> DataFrame:
@@ -237,23 +257,13 @@ def _settle(cut: DataFrame, borders: DataFrame, model: Model) -> DataFrame:
     return materialize(chained.groupBy("key").applyInPandas(chain, "part int, start int, before int, last int"))
 
 
-def parse(df: DataFrame, key: str = "conv_id", order: str = "turn", text: str = "text", role: str | None = "role") -> DataFrame:
-    """One row per unit: the key and order columns, unit (from 0 in its row), marked and recovered role, body, rendered text.
-
-    `marked` is the role that a marker or the role column names, null for none; `role` is
-    the recovered one; `rendered` is null for a null text. Rows whose key is null form one
-    transcript, a null order comes first, ties are broken by content. Rows that repeat are
-    kept. An empty table gives an empty result.
-    """
-    cut = dealt(df, key, order, text, role)
-    borders = _borders(cut)
-    model = fit(cut, borders)
+def decode(cut: DataFrame, borders: DataFrame, model: Model) -> DataFrame:
+    """The units with `found`, the number of the role on the best path of their whole transcript."""
     settled = borders.join(_settle(cut, borders, model), "part", "left").select("part", "goes_on", "start", "before", "last")
 
-    def decode(rows: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
-        columns = ["key", "place", "unit", "marked", "role", "body", "rendered"]
+    def best(rows: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
-            return pd.DataFrame(columns=columns)
+            return rows.assign(found=pd.Series(dtype="int32"))
         rows = rows.sort_values("seq")
         fixed = {int(a): (int(b), int(c)) for a, b, c in zip(around["start"], around["before"], around["last"]) if not pd.isna(a)}
         goes_on, roles = bool(around["goes_on"].iloc[0]), []
@@ -263,15 +273,33 @@ def parse(df: DataFrame, key: str = "conv_id", order: str = "turn", text: str =
             opens[0] = not (a == 0 and goes_on)
             before, last = fixed.get(a, (-1, -1))
             roles.append(model.path(model.scores(part["mark"].to_numpy(), _classes(part, opens)), before, last))
-        names = np.array(ROLES, dtype=object)
-        found = names[np.concatenate(roles)]
-        marks = rows["mark"].to_numpy()
-        rendered = [None if m else f"<|{r}|>\n{b}\n<|end|>" for r, b, m in zip(found, rows["body"], rows["missing"])]
-        out = {"key": rows["key"], "place": rows["place"], "unit": rows["unit"], "marked": np.where(marks >= 0, names[marks], None), "role": found, "body": rows["body"], "rendered": rendered}
-        return pd.DataFrame(out, columns=columns)
-
-    schema = "key string, place string, unit int, marked string, role string, body string, rendered string"
-    out = cut.groupBy("part").cogroup(settled.groupBy("part")).applyInPandas(decode, schema)
+        return rows.assign(found=np.concatenate(roles).astype("int32"))
+
+    schema = "key string, place string, unit int, mark int, body string, missing boolean, part int, seq long, found int"
+    return cut.groupBy("part").cogroup(settled.groupBy("part")).applyInPandas(best, schema)
+
+
+def parse(df: DataFrame, key: str = "conv_id", order: str = "turn", text: str = "text", role: str | None = "role") -> DataFrame:
+    """One row per unit: the key and order columns, unit (from 0 in its row), marked and recovered role, body, rendered text.
+
+    `marked` is the role that a marker or the role column names, null for none; `role` is
+    the recovered one; `rendered` is null for a null text. Where no unit at all is marked,
+    a fixed prior finds roles, and the counts of these are used `ROUNDS` times over. Rows
+    whose key is null form one transcript, a null order comes first, ties are broken by
+    content. Rows that repeat are kept. An empty table gives an empty result.
+    """
+    cut = dealt(df, key, order, text, role)
+    borders = _borders(cut)
+    model = fit(cut, borders)
+    if model is None:
+        model = prior()
+        for _ in range(ROUNDS):
+            guessed = materialize(decode(cut, borders, model).withColumn("mark", F.col("found")).drop("found"))
+            model = fit(guessed, _borders(guessed)) or model
+            release(guessed)
+    found = decode(cut, borders, model)
+    name = lambda c: F.get(F.array(*[F.lit(r) for r in ROLES]), F.when(F.col(c) >= 0, F.col(c)))
+    rendered = F.when(~F.col("missing"), F.concat(F.lit("<|"), name("found"), F.lit("|>\n"), "body", F.lit("\n<|end|>")))
     kinds = dict(df.dtypes)
     ends = [F.col(new).cast(kinds[old]).alias(old) for new, old in (("key", key), ("place", order))]
-    return out.select(*ends, "unit", "marked", "role", "body", "rendered")
+    return found.select(*ends, "unit", name("mark").alias("marked"), name("found").alias("role"), "body", rendered.alias("rendered"))

@@ -1,5 +1,6 @@
 """Transcript parsing: units, Viterbi against all paths, borders, recovery of hidden roles."""
 
+import zlib
 from itertools import product
 
 import numpy as np
@@ -7,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from placestats.llm import transcripts
 from placestats.llm.transcripts import FEATURES, ROLES, Model, parse, units
 
@@ -66,6 +68,58 @@ def test_hidden_roles_are_recovered(spark):
     assert all(r.rendered == f"<|{r.role}|>\n{r.body}\n<|end|>" for r in got)
 
 
+def plain_parse(rows):
+    """The whole operator in one place: (conv, turn, text) -> roles, for transcripts without ties."""
+    cut = []
+    for c, t, r, x in sorted(rows, key=lambda r: r[:2]):
+        for n, (mark, body) in enumerate(units(x or "")):
+            cut.append([c, t, n, mark if mark >= 0 or n else transcripts.role_of(r), body])
+    start, move, emit = np.zeros(S), np.zeros((S, S)), [np.zeros((S, n)) for n in FEATURES.values()]
+    opens = [i == 0 or cut[i - 1][0] != u[0] for i, u in enumerate(cut)]
+    seen = [transcripts.observed(u[4], o) for u, o in zip(cut, opens)]
+    for i, (u, o) in enumerate(zip(cut, opens)):
+        if u[3] >= 0:
+            if o:
+                start[u[3]] += 1
+            elif cut[i - 1][3] >= 0:
+                move[cut[i - 1][3], u[3]] += 1
+            for f, k in enumerate(seen[i]):
+                emit[f][u[3], k] += 1
+    m, out = Model(start, move, emit), {}
+    for c in dict.fromkeys(u[0] for u in cut):
+        at = [i for i, u in enumerate(cut) if u[0] == c]
+        path = m.path(m.scores(np.array([cut[i][3] for i in at]), np.array([seen[i] for i in at])), -1, -1)
+        out |= {(cut[i][0], cut[i][1], cut[i][2]): ROLES[r] for i, r in zip(at, path)}
+    return out
+
+
+@pytest.mark.parametrize("size", [1 << 22, 3000])
+def test_against_one_pass(spark, size, monkeypatch):
+    """One range and many: the same counts, the same paths."""
+    monkeypatch.setattr(transcripts, "RANGE", size)
+    rows = [(c, t, r if c % 3 else None, x) for c, t, r, x in conversations()]
+    rows += [(10**6, t, None, f"User: {t}?\nAssistant: {'so ' * (t % 90)}") for t in range(60)]
+    got = parse(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r.conv_id, r.turn, r.unit): r.role for r in got} == plain_parse(rows)
+
+
+def test_registered_query_recovers_hidden_roles(spark):
+    rows = entry.queries()["op10_transcript_roles"](spark, "/root/testdata/sf0.01").collect()
+    truth = {(c, t): r for c, t, r, _ in conversations()}
+    assert len(rows) == len(truth) and all(r.held_out == (zlib.crc32(str(r.conv_id).encode()) % 2 == 1) for r in rows)
+    hidden = [r for r in rows if r.held_out]
+    assert len(hidden) > 100 and all(r.marked is None for r in hidden)
+    assert sum(r.role == truth[r.conv_id, r.turn] for r in hidden) >= 0.95 * len(hidden)
+
+
+def test_without_any_mark(spark):
+    truth = {(c, t): r for c, t, r, _ in conversations()}
+    df = spark.createDataFrame(conversations(), "conv_id long, turn long, role string, text string")
+    rows = parse(df, role=None).collect()
+    right = sum(r.role == truth[r.conv_id, r.turn] for r in rows)
+    assert all(r.marked is None for r in rows) and right > 0.8 * len(rows) > sum(v == "user" for v in truth.values())
+
+
 def test_long_transcript_over_many_partitions(spark):
     rows = [(7, i, None if i % 5 else ROLES[1 + i % 2], f"{'ask' if i % 2 == 0 else 'answer ' * 60} {i}") for i in range(400)]
     rows += [(c, i, ROLES[1 + i % 2], "x" * (500 * (i % 2) + 5)) for c in (1, 9) for i in range(4)]
