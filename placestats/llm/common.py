@@ -34,3 +34,14 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Drop columns an operator is about to add, in any letter case."""
     low = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in low])
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column of `df` has, in any letter case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
