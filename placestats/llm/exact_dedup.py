@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placestats.llm.common import let, whole_text, without
+from placestats.llm.common import free_names, let, whole_text
 from placestats.session import materialize
 
 CHUNK = 1 << 16  # 65,536 products below 2**39 still add up below 2**63
@@ -121,8 +121,9 @@ def with_exact_key(docs: DataFrame, text_col: str = "text", primes: tuple[int, .
     if bad is None:
         return keyed
     more = F.concat(F.col(name), *[fingerprint(whole_text(text_col), s, PRIMES) for s in range(1, extra + 1)])
-    marked = bad.select(F.col("fp").alias(name), F.lit(True).alias("__bad"))
-    return keyed.join(marked, name, "left").withColumn(name, F.when(F.col("__bad"), more).otherwise(F.col(name))).drop("__bad")
+    (mark,) = free_names(keyed, "collided")
+    marked = bad.select(F.col("fp").alias(name), F.lit(True).alias(mark))
+    return keyed.join(marked, name, "left").withColumn(name, F.when(F.col(mark), more).otherwise(F.col(name))).drop(mark)
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", primes: tuple[int, ...] = PRIMES) -> DataFrame:
@@ -146,6 +147,7 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The rank is cut to one row per key before the shuffle, so a group that holds a
     third of all rows ships one row per map task.
     """
-    keyed = with_exact_key(without(docs, ["__llm_fp"]), text_col, primes, "__llm_fp")
-    rank = F.row_number().over(Window.partitionBy("__llm_fp").orderBy(F.col(id_col).desc_nulls_last()))
-    return keyed.withColumn("__llm_rank", rank).where("__llm_rank = 1").drop("__llm_rank", "__llm_fp").select(*docs.columns)
+    key, rank = free_names(docs, "fp", "rank")
+    keyed = with_exact_key(docs, text_col, primes, key)
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.col(id_col).desc_nulls_last()))
+    return keyed.withColumn(rank, place).where(F.col(rank) == 1).select(*docs.columns)

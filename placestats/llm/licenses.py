@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placestats.llm.common import whole_text, without
+from placestats.llm.common import free_names, whole_text, without
 from placestats.llm.license_rules import ALL, Rule
 
 KIND = "struct<n_words: bigint, found: array<struct<label: string, rule: int, base: boolean, level: int, score: double, first: bigint, last: bigint, text: string>>>"
@@ -104,10 +104,7 @@ def scan_licenses(docs: DataFrame, text_col: str = "text") -> DataFrame:
     are read whole, whatever their length; rows never leave their partition.
     """
     docs = without(docs, ["n_words", "detections"])
-    names = docs.columns
-    scanned = "scan"
-    while scanned in [n.lower() for n in names]:
-        scanned += "_"
+    names, (scanned,) = docs.columns, free_names(docs, "scan")
     out = docs.withColumn(scanned, detections(whole_text(text_col)))
     return out.select(*names, F.col(f"{scanned}.n_words").alias("n_words"), F.col(f"{scanned}.found").alias("detections"))
 

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placestats.llm.common import row_key, without
+from placestats.llm.common import free_names, row_key, without
 from placestats.session import materialize
 
 PLAIN_ROUNDS = 6  # rounds before candidates grow
@@ -335,11 +335,12 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
 
     trigger = triggered(F.col(text_col))
     still = docs.where(~trigger)
-    met = docs.where(trigger).withColumn("__llm_key", row_key(docs, [id_col, text_col]))
-    met = met.join(per_row.select(F.col("key").alias("__llm_key"), F.col("entries").alias("__llm_entries")), "__llm_key", "left")
-    moved = met.withColumn(text_col, rewrite(F.col(text_col), F.col("__llm_entries")))
+    row, held_here = free_names(docs, "row", "entries")
+    met = docs.where(trigger).withColumn(row, row_key(docs, [id_col, text_col]))
+    met = met.join(per_row.select(F.col("key").alias(row), F.col("entries").alias(held_here)), row, "left")
+    moved = met.withColumn(text_col, rewrite(F.col(text_col), F.col(held_here)))
     if count_col:
         still = still.withColumn(count_col, F.lit(0).cast("long"))
-        moved = moved.withColumn(count_col, F.greatest(F.size("__llm_entries"), F.lit(0)).cast("long"))
+        moved = moved.withColumn(count_col, F.greatest(F.size(held_here), F.lit(0)).cast("long"))
         columns = [*columns, count_col]
     return still.select(*columns).unionByName(moved.select(*columns))

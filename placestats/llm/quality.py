@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placestats.llm.common import whole_text, without
+from placestats.llm.common import free_names, whole_text
 
 UPPER, LOWER, DIGIT = 0, 1, 2
 MARKS = b"!|*#$%&@^~_=+<>\\{}[]"
@@ -156,12 +156,12 @@ def text_score(text: Column, model: Discriminant) -> Column:
 
 def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """(label, features) of the documents that have a label; only ids and labels meet the documents."""
-    known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("label")).where("__id is not null and label is not null")
-    vectors = docs.select(F.col(id_col).alias("__id"), features(whole_text(text_col)).alias("features"))
-    return vectors.join(known, "__id").select("label", "features")
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id is not null and label is not null")
+    vectors = docs.select(F.col(id_col).alias("id"), features(whole_text(text_col)).alias("features"))
+    return vectors.join(known, "id").select("label", "features")
 
 
 def drop_low_quality(docs: DataFrame, model: Discriminant, text_col: str = "text", least: float = 0.3) -> DataFrame:
     """`docs` without the rows that score below `least`; columns stay as they are."""
-    name = "__llm_score"
-    return without(docs, [name]).withColumn(name, text_score(whole_text(text_col), model)).where(F.col(name) >= least).drop(name)
+    (name,) = free_names(docs, "score")
+    return docs.withColumn(name, text_score(whole_text(text_col), model)).where(F.col(name) >= least).drop(name)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from placestats.llm.common import row_key, whole_text, without
+from placestats.llm.common import free_names, row_key, whole_text
 from placestats.operators.cluster import connected_components
 from placestats.session import materialize
 
@@ -232,14 +232,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Only 16-byte row keys and fingerprints are grouped; texts move once, to meet the keys
     that stay. Rows that repeat id and text fully are one document and keep one row.
     """
-    keyed = without(docs, ["__key"]).withColumn("__key", row_key(docs, [id_col, text_col]))
+    key, copy = free_names(docs, "row", "copy")
+    keyed = docs.withColumn(key, row_key(docs, [id_col, text_col]))
     prints = materialize(
-        keyed.select("__key", F.col(id_col).alias("doc_id"), fingerprint(whole_text(text_col)).alias("fp"))
+        keyed.select(F.col(key).alias("key"), F.col(id_col).alias("doc_id"), fingerprint(whole_text(text_col)).alias("fp"))
     )
-    distinct = materialize(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__key")).alias("least")))
+    distinct = materialize(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("least")))
     classes = fingerprint_classes(distinct, **params)
-    stay = classes.join(distinct, "fp").groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.__key").alias("__key"))
+    stay = classes.join(distinct, "fp").groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.key").alias(key))
     stay = materialize(stay)
-    copy = F.row_number().over(Window.partitionBy("__key").orderBy(F.lit(1)))
-    single = keyed.withColumn("__copy", copy).where("__copy = 1").drop("__copy")
-    return single.join(stay, "__key", "left_semi").drop("__key")
+    number = F.row_number().over(Window.partitionBy(key).orderBy(F.lit(1)))
+    single = keyed.withColumn(copy, number).where(F.col(copy) == 1).drop(copy)
+    return single.join(stay, key, "left_semi").select(*docs.columns)
