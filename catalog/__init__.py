@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None, needs: Sequence[str] = (), ctes: di
 
 
 def load_all() -> None:
-    from catalog import analysis, boards, cards, cleaning, clusters, incremental, places, scores, series, sources, texts  # noqa: F401
+    from catalog import analysis, boards, cards, cleaning, clusters, incremental, places, scores, search, series, sources, texts  # noqa: F401

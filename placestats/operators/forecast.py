@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placestats.constants import HORIZON, MIN_MONTHS, SEASON_LENGTH
+from placestats.operators.order_search import forecast_steps, order_search
 from placestats.operators.series import backtest, horizon_months
 
 Z95 = 1.96
@@ -120,7 +121,14 @@ def forecast_seasonal(series: DataFrame, group: str | Sequence[str], horizon: in
     return _contract(rows, keys, F.col("_y") + drift, half, F.lit("seasonal_ar1"))
 
 
-MODELS = {"seasonal": forecast_seasonal, "snaive": forecast_snaive, "trend": forecast_trend}
+def forecast_order_search(series: DataFrame, group: str | Sequence[str], horizon: int = HORIZON) -> DataFrame:
+    """The seasonal autoregressive moving-average model of the order that fits each group best."""
+    keys = _keys(group)
+    rows = forecast_steps(order_search(series, keys), keys, horizon)
+    return _contract(rows, keys, F.col("value"), F.col("deviation") * Z95, F.col("order"))
+
+
+MODELS = {"seasonal": forecast_seasonal, "snaive": forecast_snaive, "trend": forecast_trend, "search": forecast_order_search}
 
 
 def forecast(series: DataFrame, group: str | Sequence[str], horizon: int = HORIZON, model: str = "seasonal") -> DataFrame:
