@@ -1,10 +1,11 @@
-"""Spatial joins through grids of several cell sizes.
+"""Spatial joins through nested grids.
 
 Each polygon is cut into cells of a size that fits its own extent, a power of four, so
-no polygon covers more than some eighty of them, whatever the others look like. A point
-lies in one cell of each size in use; equality joins on the cells, one per size, do the
-pairing. Cells wholly inside a polygon need no test at all; the others carry just the
-edges that can matter for a point of that cell.
+no polygon covers more than some eighty of them, whatever the others look like. Cells of
+all sizes nest, as on a space-filling curve: the cell of the finest size that a point lies
+in tells its cells of all sizes. So points meet polygons in one equality join. Cells
+wholly inside a polygon need no test at all; the others carry just the edges that can
+matter for a point of that cell. Boundaries meet in the same way, segment by segment.
 """
 
 from __future__ import annotations
@@ -15,14 +16,7 @@ from pyspark.sql import functions as F
 from placestats.functions.geometry import bbox, centroid, contains, geom_edges, segments_touch
 from placestats.functions.text import norm_text
 from placestats.operators.ranking import number_rows
-from placestats.session import materialize
-
-
-def suggest_cell(polygons: DataFrame, geom: str = "geometry") -> float:
-    """An eighth of the mean polygon extent: one number from the (small) polygon table."""
-    edges = polygons.select(geom_edges(F.col(geom)).alias("e"))
-    mean = edges.select(_extent(bbox(F.col("e"))).alias("x")).agg(F.avg("x")).first()[0]
-    return (mean or 1.0) / 8
+from placestats.session import materialize, observed
 
 
 def _extent(box: dict[str, Column]) -> Column:
@@ -69,6 +63,21 @@ def cover_cells(polygons: DataFrame, geom: str, cell: float | None = None) -> Da
     )
 
 
+def _found(keyed: DataFrame, cells: DataFrame, sizes: list[float]) -> DataFrame:
+    """(_kx, _ky, _hold): for each cell of the finest size with points in it, the cells of all sizes around it.
+
+    Sizes are powers of four, so a cell lies in exactly one cell of every coarser size. Only
+    distinct cells take part: a cell with a third of all points is one row here.
+    """
+    fine = sizes[0]
+    keys = keyed.where("_kx is not null and _ky is not null").select("_kx", "_ky").distinct()
+    around = F.array(
+        *[F.struct(F.lit(s).alias("_cell"), F.floor(F.col("_kx") * F.lit(fine / s)).alias("_cx"), F.floor(F.col("_ky") * F.lit(fine / s)).alias("_cy")) for s in sizes]
+    )
+    placed = keys.select("_kx", "_ky", F.explode(around).alias("_a")).select("_kx", "_ky", "_a.*")
+    return materialize(placed.join(cells, ["_cell", "_cx", "_cy"]).select("_kx", "_ky", "_hold"))
+
+
 def spatial_join(
     points: DataFrame,
     polygons: DataFrame,
@@ -88,6 +97,10 @@ def spatial_join(
     coordinates away from the geometry; with `how="left"` they stay unmatched. A
     point in several polygons appears once per polygon unless `one_match` names the
     polygon column whose lowest value wins, per `point_key`.
+
+    The points meet the polygons in one join on their cell of the finest size in use,
+    however many sizes there are; which coarser cells lie around is found before, for
+    the distinct cells only.
     """
     carry = carry or {"location_id": "location_id"}
     if one_match and not point_key:
@@ -95,29 +108,33 @@ def spatial_join(
     small = polygons.select(*[F.col(k).alias(v) for k, v in carry.items()], geom)
     held = F.struct(*carry.values(), "_inside", "_edges")
     # written out once: its true size decides whether it is broadcast
-    cells = materialize(cover_cells(small, geom, cell).groupBy("_cell", "_cx", "_cy").agg(F.collect_list(held).alias("_held")))
-    sizes = sorted(r[0] for r in cells.select("_cell").distinct().collect())  # a few powers of four
+    cells, told = observed(cover_cells(small, geom, cell).select("_cell", "_cx", "_cy", held.alias("_hold")), sizes=F.collect_set("_cell"))
+    sizes = sorted(told.get("sizes") or [])  # a few powers of four
+    if not sizes:  # no polygon at all
+        empty = points.withColumns({v: F.lit(None).cast(polygons.schema[k].dataType) for k, v in carry.items()})
+        return empty if how == "left" else empty.where(F.lit(False))
 
     usable = F.col(lon).isNotNull() & F.col(lat).isNotNull()
     if valid is not None:
         usable = usable & F.coalesce(valid, F.lit(False))
-    located, lists = points, []
-    for i, size in enumerate(sizes):
-        keys = {f"_x{i}": F.when(usable, F.floor(F.col(lon) / F.lit(size))), f"_y{i}": F.when(usable, F.floor(F.col(lat) / F.lit(size)))}
-        level = cells.where(F.col("_cell") == size).select(F.col("_cx").alias(f"_x{i}"), F.col("_cy").alias(f"_y{i}"), F.col("_held").alias(f"_held{i}"))
-        outer = "inner" if how == "inner" and len(sizes) == 1 else "left"
-        located = located.withColumns(keys).join(level, [f"_x{i}", f"_y{i}"], outer).drop(f"_x{i}", f"_y{i}")
-        lists.append(F.coalesce(F.col(f"_held{i}"), F.array().cast(level.schema[f"_held{i}"].dataType)))
-    if not sizes:  # no polygon at all
-        empty = located.withColumns({v: F.lit(None).cast(polygons.schema[k].dataType) for k, v in carry.items()})
-        return empty if how == "left" else empty.where(F.lit(False))
+    fine = F.lit(sizes[0])
+    keyed = points.withColumns({"_kx": F.when(usable, F.floor(F.col(lon) / fine)), "_ky": F.when(usable, F.floor(F.col(lat) / fine))})
+    near = cells.select(F.col("_cx").alias("_kx"), F.col("_cy").alias("_ky"), "_hold") if len(sizes) == 1 else _found(keyed, cells, sizes)
     x, y = F.col(lon), F.col(lat)
-    hits = F.filter(F.concat(*lists), lambda p: p["_inside"] | contains(p["_edges"], x, y))
+
+    def holds(h: Column) -> Column:
+        return h["_inside"] | contains(h["_edges"], x, y)
+
+    own, carried = [F.col(c) for c in points.columns], [F.col(f"_hold.{v}").alias(v) for v in carry.values()]
+    if how == "inner" and not one_match:
+        return keyed.join(near, ["_kx", "_ky"]).where(holds(F.col("_hold"))).select(*own, *carried)
+    lists = near.groupBy("_kx", "_ky").agg(F.collect_list("_hold").alias("_holds"))
+    hits = F.filter("_holds", holds)
     if one_match:
-        hits = F.slice(F.array_sort(hits, lambda a, b: F.when(a[carry[one_match]] < b[carry[one_match]], -1).when(a[carry[one_match]] > b[carry[one_match]], 1).otherwise(0)), 1, 1)
+        name = carry[one_match]
+        hits = F.slice(F.array_sort(hits, lambda a, b: F.when(a[name] < b[name], -1).when(a[name] > b[name], 1).otherwise(0)), 1, 1)
     explode = F.explode if how == "inner" else F.explode_outer
-    joined = located.select(*[F.col(c) for c in points.columns], explode(hits).alias("_hit"))
-    return joined.select(*[F.col(c) for c in points.columns], *[F.col(f"_hit.{v}").alias(v) for v in carry.values()])
+    return keyed.join(lists, ["_kx", "_ky"], how).select(*own, explode(hits).alias("_hold")).select(*own, *carried)
 
 
 def resolve_location(
@@ -185,34 +202,46 @@ def _segments(polygons: DataFrame, key: str, geom: str, snap: int) -> DataFrame:
     return rows.select(key, snapped.alias("e"))
 
 
-def adjacency(
-    polygons: DataFrame, key: str = "location_id", geom: str = "geometry", snap: int = 9, cell: float | None = None
-) -> DataFrame:
+def segment_cells(segments: DataFrame, snap: int = 9) -> DataFrame:
+    """Adds `size` (the least power of four that a segment fits in) and its cells `cx`, `cy`: at most two each way."""
+    reach = F.greatest(F.abs(F.col("e.x1") - F.col("e.x2")), F.abs(F.col("e.y1") - F.col("e.y2")), F.lit(10.0**-snap))
+    sized = segments.withColumn("size", F.pow(F.lit(4.0), F.ceil(F.log2(reach) / 2)))
+
+    def span(a: str, b: str) -> Column:
+        lo, hi = F.least(f"e.{a}", f"e.{b}"), F.greatest(f"e.{a}", f"e.{b}")
+        return F.explode(F.sequence(F.floor(lo / F.col("size")), F.floor(hi / F.col("size"))))
+
+    return sized.withColumn("cx", span("x1", "x2")).withColumn("cy", span("y1", "y2"))
+
+
+def touching_pairs(segments: DataFrame, key: str, snap: int = 9) -> DataFrame:
+    """Pairs a < b of different keys with segments (key, e) that share a point.
+
+    A segment lives in the cells of its own length and looks for segments of its own or a
+    greater length in those cells and the cells around them, one of each greater size in
+    use. Cells of powers of four nest, so two segments that touch meet in the longer one's
+    cell. Rows per segment are bounded by the number of sizes, whatever the other lengths.
+    """
+    cells, told = observed(segment_cells(segments, snap), sizes=F.collect_set("size"))
+    sizes = sorted(told.get("sizes") or [])
+    up = F.filter(F.array(*[F.lit(float(s)) for s in sizes]).cast("array<double>"), lambda s: s >= F.col("size"))
+    looks = cells.withColumn("at", F.explode(up))
+    shrink = F.col("size") / F.col("at")
+    looks = looks.select(
+        F.col(key).alias("k"), F.col("e").alias("f"), F.col("at").alias("size"), F.floor(F.col("cx") * shrink).alias("cx"), F.floor(F.col("cy") * shrink).alias("cy")
+    ).distinct()
+    met = cells.join(looks, ["size", "cx", "cy"]).where((F.col(key) != F.col("k")) & segments_touch(F.col("e"), F.col("f")))
+    return met.select(F.least(key, "k").alias("a"), F.greatest(key, "k").alias("b")).distinct()
+
+
+def adjacency(polygons: DataFrame, key: str = "location_id", geom: str = "geometry", snap: int = 9) -> DataFrame:
     """Pairs (a, b), both ways, of different polygons that share a point.
 
-    Boundaries are compared segment by segment within grid cells; polygons that
+    Boundaries are compared segment by segment (see `touching_pairs`); polygons that
     hold another without touching it are found by looking up one vertex per ring.
     Coordinates are rounded to `snap` digits so that shared borders agree.
     """
-    cell = cell or suggest_cell(polygons, geom)
-    c = F.lit(cell)
-
-    def span(a: str, b: str) -> Column:
-        lo, hi = F.least(f"e.{a}", f"e.{b}"), F.greatest(f"e.{a}", f"e.{b}")
-        return F.explode(F.sequence(F.floor(lo / c), F.floor(hi / c)))
-
-    segs = (
-        _segments(polygons, key, geom, snap)
-        .withColumn("cx", span("x1", "x2"))
-        .withColumn("cy", span("y1", "y2"))
-    )
-    other = segs.select(F.col(key).alias("b"), F.col("e").alias("f"), "cx", "cy")
-    touching = (
-        segs.alias("s").join(other.alias("o"), (F.col("s.cx") == F.col("o.cx")) & (F.col("s.cy") == F.col("o.cy")) & (F.col(f"s.{key}") < F.col("o.b")))
-        .where(segments_touch(F.col("s.e"), F.col("o.f")))
-        .select(F.col(f"s.{key}").alias("a"), "o.b")
-        .distinct()
-    )
+    touching = touching_pairs(_segments(polygons, key, geom, snap), key, snap)
     corners = polygons.select(F.col(key).alias("a"), F.explode(F.flatten(F.col(geom))).alias("_ring")).select(
         "a", F.col("_ring")[0]["x"].alias("long"), F.col("_ring")[0]["y"].alias("lat")
     )

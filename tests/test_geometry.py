@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from placestats.functions.geometry import centroid, geojson_to_geom, geom_edges, geom_to_geojson, geom_to_wkt, wkt_to_geom
-from placestats.operators.spatial import adjacency, collect_geometry, cover_cells, spatial_join
+from placestats.operators.spatial import _segments, adjacency, collect_geometry, cover_cells, segment_cells, spatial_join
 
 SQUARE = "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))"
 HOLED = "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 1 2, 2 2, 2 1, 1 1))"
@@ -132,3 +132,53 @@ def test_one_wide_polygon_among_many_small(spark):
     assert set(map(tuple, inner)) == {w for w in want if w[1] is not None}
     lowest = spatial_join(df, polygons, how="left", one_match="location_id", point_key=["id"]).select("id", "location_id").collect()
     assert set(map(tuple, lowest)) == {(i, min((j for k, j in want if k == i and j is not None), default=None)) for i, _, _ in points}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_points_shuffle_once_whatever_the_sizes(spark, how):
+    """Four sizes of polygons, no broadcast: the rows of the points pass one exchange."""
+    square = lambda x, y, w: f"POLYGON (({x} {y}, {x + w} {y}, {x + w} {y + w}, {x} {y + w}, {x} {y}))"
+    rows = [(i, square(-0.5 * 10**i, -0.5 * 10**i, 1.0 * 10**i)) for i in range(4)]
+    points = spark.range(200).selectExpr("id", "(id - 100) * 7.3D as long", "(id - 100) * -3.1D as lat", "uuid() as payload")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spatial_join(points, polygons(spark, rows), how=how)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        got = {(r.id, r.location_id) for r in joined.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert plan.count("SortMergeJoin") == 1 and "NestedLoop" not in plan
+    assert plan.count("hashpartitioning(_kx") == 2  # the points, and the cells they are looked up in
+    want = {(i, p) for i in range(200) for p in range(4) if abs((i - 100) * 7.3) < 0.5 * 10**p and abs((i - 100) * 3.1) < 0.5 * 10**p}
+    assert want and {g for g in got if g[1] is not None} == want
+    assert {g[0] for g in got} == (set(range(200)) if how == "left" else {w[0] for w in want})
+
+
+def test_no_polygon_at_all(spark):
+    points = spark.range(3).selectExpr("id", "1.0D as long", "1.0D as lat")
+    none = polygons(spark, [(1, None)])
+    assert spatial_join(points, none).count() == 0
+    assert [r.location_id for r in spatial_join(points, none, how="left").collect()] == [None] * 3
+    assert adjacency(none).count() == 0
+
+
+def touch(a, b):
+    """Two axis-parallel segments with a common point."""
+    return max(a[0], b[0]) <= min(a[2], b[2]) and max(a[1], b[1]) <= min(a[3], b[3])
+
+
+def test_adjacency_of_very_different_lengths(spark):
+    """A polygon a thousand times wider adds no more rows per segment than any other."""
+    square = lambda x, y, w: f"POLYGON (({x} {y}, {x + w} {y}, {x + w} {y + w}, {x} {y + w}, {x} {y}))"
+    small = [(i, round(0.37 * (i % 15), 2), round(0.25 * (i // 15), 2), 0.25) for i in range(1, 120)]
+    rows = [(0, square(-100.0, 1.0, 250.0)), *[(i, square(x, y, w)) for i, x, y, w in small]]
+    polys = polygons(spark, rows)
+    cells = segment_cells(_segments(polys, "location_id", "geometry", 9))
+    assert cells.groupBy("location_id", "e").count().agg(F.max("count")).first()[0] <= 4
+    sides = {i: [(x, y, x + w, y), (x + w, y, x + w, y + w), (x, y + w, x + w, y + w), (x, y, x, y + w)] for i, x, y, w in [(0, -100.0, 1.0, 250.0), *small]}
+    sides = {i: [tuple(round(v, 9) for v in s) for s in ss] for i, ss in sides.items()}
+    want = {(a, b) for a in sides for b in sides if a != b and any(touch(s, t) for s in sides[a] for t in sides[b])}
+    inside = {i for i, x, y, w in small if 1.0 <= y}  # within the wide one
+    want |= {(0, i) for i in inside} | {(i, 0) for i in inside}
+    assert {(r["a"], r["b"]) for r in adjacency(polys).collect()} == want
