@@ -15,6 +15,7 @@ from placestats.functions.geometry import (
 )
 from placestats.functions.nested import close_ring, json_path
 from placestats.operators import spatial
+from placestats.operators.dissolve import dissolve, signed_area
 from placestats.operators.narrative import feature_collection, features
 from placestats.plans import board, crime, grocery, healthcare
 
@@ -353,3 +354,38 @@ def _(t):
 def _(t):
     center = spatial.map_center(spatial.with_centroid(t.polygons))
     return center.select(F.round("center_lat", 6).alias("center_lat"), F.round("center_long", 6).alias("center_long"))
+
+
+_TURN = "(atan2(e.ay - e.by_, e.ax - e.bx) - atan2(f.by_ - f.ay, f.bx - f.ax))"
+DISSOLVED = {
+    "d": "SELECT city, round(x1, 9) AS x1, round(y1, 9) AS y1, round(x2, 9) AS x2, round(y2, 9) AS y2 FROM fx_edge e JOIN fx_location l ON e.location_id = l.location_id",
+    "corner": "SELECT city, x1 AS x, y1 AS y FROM d UNION SELECT city, x2, y2 FROM d",
+    "cut": """SELECT d.*, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / (pow(x2 - x1, 2) + pow(y2 - y1, 2)) AS t, x, y FROM d JOIN corner c ON c.city = d.city
+AND abs((x - x1) * (y2 - y1) - (y - y1) * (x2 - x1)) < 1e-9 * (pow(x2 - x1, 2) + pow(y2 - y1, 2)) AND least(x1, x2) <= x AND x <= greatest(x1, x2) AND least(y1, y2) <= y AND y <= greatest(y1, y2)""",
+    "piece": "SELECT city, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_ FROM cut WINDOW w AS (PARTITION BY city, x1, y1, x2, y2 ORDER BY t)",
+    "edge": """SELECT row_number() OVER () AS id, p.* FROM piece p WHERE bx IS NOT NULL
+AND NOT EXISTS (SELECT 1 FROM piece q WHERE q.city = p.city AND q.ax = p.bx AND q.ay = p.by_ AND q.bx = p.ax AND q.by_ = p.ay)""",
+    "follow": f"""SELECT e.id, arg_min(f.id, CASE WHEN {_TURN} - 2 * pi() * floor({_TURN} / (2 * pi())) < 1e-9 THEN 2 * pi() ELSE {_TURN} - 2 * pi() * floor({_TURN} / (2 * pi())) END) AS next
+FROM edge e JOIN edge f ON f.city = e.city AND f.ax = e.bx AND f.ay = e.by_ GROUP BY e.id""",
+    "walk": "SELECT id AS start, next AS here FROM follow UNION SELECT w.start, f.next FROM walk w JOIN follow f ON f.id = w.here",
+    "ring": "SELECT start AS id, min(here) AS ring FROM walk GROUP BY start",
+    "rings": "SELECT city, ring, sum(ax * by_ - bx * ay) / 2 AS area, sum(sqrt(pow(bx - ax, 2) + pow(by_ - ay, 2))) AS length, count(*) AS n FROM edge JOIN ring USING (id) GROUP BY city, ring",
+}
+
+
+@query(
+    "dissolve",
+    """SELECT city, count(*) FILTER (area > 0) AS n_polygons, count(*) FILTER (area < 0) AS n_holes, sum(n)::BIGINT AS n_points,
+       round(sum(area), 7) AS area, round(sum(length), 7) AS perimeter FROM rings GROUP BY city""",
+    ["fx_location", "fx_edge"],
+    DISSOLVED,
+)
+def _(t):
+    """One outline per city from its areas, squares and Ls that share half borders; described by its rings."""
+    merged = dissolve(t.polygons, "city")
+    rings = merged.select("city", F.explode("geometry").alias("p")).select("city", F.posexplode("p").alias("at", "r"))
+    length = F.aggregate(geom_edges(F.array(F.array("r"))), F.lit(0.0), lambda s, e: s + F.sqrt(F.pow(e["x2"] - e["x1"], 2) + F.pow(e["y2"] - e["y1"], 2)))
+    return rings.groupBy("city").agg(
+        F.count_if(F.col("at") == 0).alias("n_polygons"), F.count_if(F.col("at") > 0).alias("n_holes"), F.sum(F.size("r") - 1).cast("long").alias("n_points"),
+        F.round(F.sum(signed_area(F.col("r"))), 7).alias("area"), F.round(F.sum(length), 7).alias("perimeter"),
+    )
