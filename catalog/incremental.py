@@ -3,11 +3,14 @@
 from pyspark.sql import functions as F
 
 from catalog import query
+from catalog.series import DENSE, NEEDS, orders_by_area
 from placestats.operators.joins import update_by_key
 from placestats.operators.ranking import dedupe
 from placestats.session import new_folder
-from placestats.sources.writers import VersionedTable, load_report, upsert, with_audit
-from placestats.streaming.incremental import incremental, newer_than, run_incremental, stream_incremental
+from placestats.sources.writers import MonthTable, load_report, upsert, with_audit
+from placestats.streaming.incremental import (
+    incremental, monthly_from_days, newer_than, run_incremental, stream_daily_counts, stream_incremental,
+)
 
 # the first load holds the events up to this moment, the next one brings all again
 _MARK = "2024-01-15 00:00:00"
@@ -69,7 +72,7 @@ def _(t):
     spark = t.spark
     rows = t.fx_incident.select(*_COLS)
     base = new_folder(spark)
-    table = VersionedTable(spark, f"{base}/table")
+    table = MonthTable(spark, f"{base}/table", "occurred_on_date")
     first = rows.where(F.col("occurred_on_date") <= F.lit(_MARK).cast("timestamp_ntz"))
     keys = ["incident_number", "offense_code"]
     run_incremental(first, table, "occurred_on_date", keys, ["incident_number"], latest())
@@ -95,6 +98,39 @@ def _(t):
     return upsert(t.orders.select(*cols), batch.select(*cols), ["o_orderkey"])
 
 
+@query(
+    "upsert_by_month",
+    """WITH moved AS (SELECT o_orderkey, o_orderdate + INTERVAL 40 DAY AS o_orderdate, 'MOVED' AS o_orderstatus FROM orders WHERE o_orderkey % 50 = 0),
+       late AS (SELECT o_orderkey, o_orderdate, 'LATE' AS o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01' AND o_orderkey % 50 <> 0)
+       SELECT * FROM moved UNION ALL SELECT * FROM late UNION ALL
+       SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders WHERE o_orderkey % 50 <> 0 AND o_orderdate < TIMESTAMP '2001-06-01'""",
+)
+def _(t):
+    """All orders, then two batches: some move to another month, the newest change their state."""
+    table = MonthTable(t.spark, new_folder(t.spark), "o_orderdate")
+    rows = t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
+    moved = F.col("o_orderkey") % 50 == 0
+    table.upsert(rows, ["o_orderkey"], unique=True)
+    table.upsert(rows.where(moved).withColumns({"o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 40 DAYS"), "o_orderstatus": F.lit("MOVED")}), ["o_orderkey"], unique=True)
+    late = rows.where(~moved & (F.col("o_orderdate") >= F.lit("2001-06-01").cast("timestamp_ntz")))
+    table.upsert(late.withColumn("o_orderstatus", F.lit("LATE")), ["o_orderkey"], unique=True)
+    return table.read()
+
+
+@query("monthly_series_stream", "SELECT location_id, month, y FROM dense", NEEDS, DENSE)
+def _(t):
+    """The monthly series from a stream of files of orders, drained twice: the second half arrives after a restart."""
+    spark, base = t.spark, new_folder(t.spark)
+    rows = orders_by_area(t).select("location_id", "o_orderdate")
+    table = MonthTable(spark, f"{base}/days", "day")
+    half = F.lit("1998-06-01").cast("timestamp_ntz")
+    for part in (rows.where(F.col("o_orderdate") < half), rows.where(F.col("o_orderdate") >= half)):
+        part.write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/landing")
+        stream_daily_counts(stream, table, ["location_id"], "o_orderdate", f"{base}/progress", "1 day").awaitTermination()
+    return monthly_from_days(table.read(), ["location_id"])
+
+
 _SHIP = "l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax"
 
 

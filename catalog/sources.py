@@ -1,11 +1,14 @@
 """Readers over texts built from the driver tables, and sinks written and read back."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import query
 from placestats import constants as K
 from placestats.fixtures import Tables
 from placestats.functions.geometry import geom_to_geojson
+from placestats.operators.ranking import dedupe
 from placestats.plans import locations
 from placestats.session import new_folder
 from placestats.sources import readers, writers
@@ -36,6 +39,9 @@ def _(t):
 
 
 # --- CSV -----------------------------------------------------------------------------
+CSV_SCHEMA = {"id": "int", "note": "string", "score": "double", "state": "string"}
+
+
 @query(
     "parse_csv_tolerant",
     """SELECT CAST(o_orderkey AS INTEGER) AS id, 'say "' || o_orderstatus || '", ok' AS note,
@@ -43,14 +49,36 @@ def _(t):
        FROM orders WHERE o_orderkey % 7 <> 0 AND (o_orderkey % 6 <> 5 OR o_orderkey % 4 = 0 OR o_orderkey % 5 = 0)""",
 )
 def _(t):
+    return readers.parse_csv_tolerant(order_lines(t), "line", CSV_SCHEMA, columns=["id", "note", "score"], defaults={"state": "MA"})
+
+
+def order_lines(t: Tables):
     """Quoted, padded, short, long and bad lines; the state column is not in the file."""
     key, score = F.col("o_orderkey"), (F.col("o_custkey") / F.lit(4.0)).cast("string")
     score = F.when(key % 5 == 0, F.lit("NULL")).when(key % 6 == 5, F.lit("n/k")).otherwise(score)
     head = F.concat(F.when(key % 7 == 0, F.lit("x")).otherwise(F.lit("  ")), key.cast("string"), F.lit(', "say ""'), "o_orderstatus", F.lit('"", ok"'))
     line = F.when(key % 4 == 0, head).when(key % 3 == 0, F.concat(head, F.lit(","), score, F.lit(",more,cells"))).otherwise(F.concat(head, F.lit(", "), score))
-    lines = t.orders.select(line.alias("line"))
-    schema = {"id": "int", "note": "string", "score": "double", "state": "string"}
-    return readers.parse_csv_tolerant(lines, "line", schema, columns=["id", "note", "score"], defaults={"state": "MA"})
+    return t.orders.select(line.alias("line"))
+
+
+@query(
+    "csv_quarantine",
+    """WITH l AS (SELECT *, o_orderkey % 7 = 0 AS bad_id, o_orderkey % 6 = 5 AND o_orderkey % 5 <> 0 AND o_orderkey % 4 <> 0 AS bad_score FROM orders),
+       c AS (SELECT count(*) AS rows_read, count(*) FILTER (NOT bad_id AND NOT bad_score) AS rows_accepted, count(*) FILTER (bad_id OR bad_score) AS rows_rejected FROM l)
+       SELECT CASE WHEN bad_id THEN NULL ELSE CAST(o_orderkey AS INTEGER) END AS id, 'say "' || o_orderstatus || '", ok' AS note,
+       CASE WHEN bad_score OR o_orderkey % 4 = 0 OR o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) / 4 END AS score, 'MA' AS state,
+       CASE WHEN bad_id AND bad_score THEN 'id is no int; score is no double' WHEN bad_id THEN 'id is no int' WHEN bad_score THEN 'score is no double' END AS reject,
+       bad_id OR bad_score AS has_line, rows_read, rows_accepted, rows_rejected FROM l, c""",
+)
+def _(t):
+    """Both sides of one load, read back, with the counts that the write itself made."""
+    path = new_folder(t.spark)
+    rows = readers.parse_csv_checked(order_lines(t), "line", CSV_SCHEMA, columns=["id", "note", "score"], defaults={"state": "MA"})
+    counts = writers.write_checked(rows, path)
+    good = writers.read_checked(t.spark, path, rows.schema).withColumns({"reject": F.lit(None).cast("string"), "has_line": F.lit(False)})
+    bad = writers.read_checked(t.spark, path, rows.schema, accepted=False)
+    bad = bad.select("id", "note", "score", "state", F.col("_reject").alias("reject"), F.col("_line").isNotNull().alias("has_line"))
+    return good.unionByName(bad).withColumns({f"rows_{k}": F.lit(v).cast("long") for k, v in counts.items()})
 
 
 @query(
@@ -155,3 +183,28 @@ def _(t):
     csv = t.spark.read.schema(rows.schema).option("header", True).option("escape", '"').csv(writers.export(rows, "csv", new_folder(t.spark), stamp=True))
     lines = t.spark.read.schema(rows.schema).json(writers.export(rows, "json", new_folder(t.spark)))
     return csv.withColumn("form", F.lit("csv")).unionByName(lines.withColumn("form", F.lit("json")))
+
+
+@query(
+    "bucketed_profile",
+    """SELECT o.o_orderkey, o.o_custkey, count(l.l_orderkey) AS n_items, round(coalesce(sum(l.l_extendedprice), 0), 2) AS price,
+       (SELECT max(x.l_linenumber) FROM lineitem x WHERE x.l_orderkey = o.o_orderkey) AS last_line
+       FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey, o.o_custkey""",
+)
+def _(t):
+    """Orders with their items, from two tables bucketed by order: neither the join, the sums nor the last item shuffles."""
+    return profile_by_order(*bucketed_orders(t))
+
+
+def bucketed_orders(t: Tables):
+    name, where = f"t{uuid.uuid4().hex}", new_folder(t.spark)
+    orders = writers.write_bucketed(t.orders.select("o_orderkey", "o_custkey"), f"{name}_orders", ["o_orderkey"], 16, f"{where}/orders")
+    items = writers.write_bucketed(t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice"), f"{name}_items", ["l_orderkey"], 16, f"{where}/items")
+    return orders, items
+
+
+def profile_by_order(orders, items):
+    sums = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_extendedprice").alias("p"))
+    last = dedupe(items, ["l_orderkey"], [F.col("l_linenumber").desc()]).select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("last_line"))
+    joined = orders.join(sums, orders.o_orderkey == sums.l_orderkey, "left").join(last, F.col("o_orderkey") == F.col("k"), "left")
+    return joined.select("o_orderkey", "o_custkey", F.coalesce("n", F.lit(0)).alias("n_items"), F.round(F.coalesce("p", F.lit(0.0)), 2).alias("price"), "last_line")

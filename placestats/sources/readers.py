@@ -82,13 +82,39 @@ def tolerant_rows(
     return texts.select(*[(typed[c] if c in typed else F.lit(defaults.get(c)).cast(kind)).alias(c) for c, kind in schema.items()])
 
 
-def parse_csv_tolerant(lines: DataFrame, text: str, schema: Mapping[str, str], columns: Sequence[str] | None = None, **rules) -> DataFrame:
-    """CSV lines of a text column, without a header: short rows are padded and long rows cut, then `tolerant_rows`."""
+def checked_rows(
+    raw: DataFrame, schema: Mapping[str, str], null_tokens: Sequence[str] = tuple(CSV_NULL_TOKENS), columns: Sequence[str] | None = None,
+    defaults: Mapping[str, object] | None = None, keep: Sequence[str] = (),
+) -> DataFrame:
+    """As `tolerant_rows`, with bad rows kept: `_reject` names the columns whose text does not parse, null for a good row.
+
+    A bad value is null in its column. `keep` names columns of `raw` that stay on rejected rows.
+    """
     held = list(columns or schema)
+    texts = {c: _blank_to_null(F.trim(F.col(c)), null_tokens) for c in held}
+    bad = [F.when(texts[c].isNotNull() & texts[c].try_cast(schema[c]).isNull(), F.lit(f"{c} is no {schema[c]}")) for c in held if schema[c] != "string"]
+    reason = F.nullif(F.concat_ws("; ", *bad), F.lit("")) if bad else F.lit(None).cast("string")
+    defaults = defaults or {}
+    typed = [(texts[c].try_cast(kind) if c in texts else F.lit(defaults.get(c)).cast(kind)).alias(c) for c, kind in schema.items()]
+    rows = raw.withColumn("_reject", reason)
+    return rows.select(*typed, "_reject", *[F.when(F.col("_reject").isNotNull(), F.col(c)).alias(c) for c in keep])
+
+
+def _csv_fields(lines: DataFrame, text: str, held: Sequence[str], *more: Column) -> DataFrame:
     ddl = ", ".join(f"`{c}` STRING" for c in held)
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
-    raw = lines.where(F.trim(F.col(text)) != "").select(F.from_csv(F.col(text), ddl, options).alias("r")).select("r.*")
-    return tolerant_rows(raw, schema, columns=columns, **rules)
+    return lines.where(F.trim(F.col(text)) != "").select(F.from_csv(F.col(text), ddl, options).alias("r"), *more).select("r.*", *[F.col("_line") for _ in more])
+
+
+def parse_csv_tolerant(lines: DataFrame, text: str, schema: Mapping[str, str], columns: Sequence[str] | None = None, **rules) -> DataFrame:
+    """CSV lines of a text column, without a header: short rows are padded and long rows cut, then `tolerant_rows`."""
+    return tolerant_rows(_csv_fields(lines, text, list(columns or schema)), schema, columns=columns, **rules)
+
+
+def parse_csv_checked(lines: DataFrame, text: str, schema: Mapping[str, str], columns: Sequence[str] | None = None, **rules) -> DataFrame:
+    """CSV lines as in `parse_csv_tolerant`, then `checked_rows`; rejected rows carry their `_line`. Blank lines are no rows."""
+    raw = _csv_fields(lines, text, list(columns or schema), F.col(text).alias("_line"))
+    return checked_rows(raw, schema, columns=columns, keep=["_line"], **rules)
 
 
 def read_csv_tolerant(

@@ -1,14 +1,13 @@
-"""Writers: full refresh, append, versioned upsert, exports and load reports."""
+"""Writers: full refresh, append, upsert by month, rejected rows, bucketed tables, exports and load reports."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from placestats.operators.filters import as_timestamp
 from placestats.operators.ranking import dedupe
@@ -89,87 +88,94 @@ def upsert(
     return target.join(batch.select(*key), key, "left_anti").unionByName(rows)
 
 
-class Conflict(RuntimeError):
-    """Another writer has taken the version that this one meant to write."""
+MONTH = "event_month"  # year * 100 + month, 0 without a time
 
 
-class VersionedTable:
-    """A Parquet table kept in key buckets; a version is a list of bucket folders.
+class MonthTable:
+    """A Parquet table partitioned by the month of a time column, for one writer at a time.
 
-    An upsert rewrites only the buckets its batch touches, into folders of its own, and then
-    claims the next version by creating that version's list, which fails if the file exists:
-    readers never see a half-written table, a failed write leaves the last version in force,
-    and of two writers one gets a `Conflict`. `forget` deletes folders that no kept version
-    names.
+    An upsert rewrites the months of its batch and those that hold its keys so far, by
+    dynamic partition overwrite; the files of all other months stay as they are. A month
+    that loses all its rows is removed after the write. Months are replaced one after the
+    other, so a run that died in between is made good by running the same batch again.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, path: str, ts: str):
+        self.spark, self.path, self.ts = spark, path.rstrip("/"), ts
 
     def _at(self, *parts: str):
         where = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
         return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def versions(self) -> list[int]:
-        at, fs = self._at("versions")
-        found = fs.listStatus(at) if fs.exists(at) else []
-        return sorted(int(s.getPath().getName()) for s in found if s.getLen())  # an empty list is still being written
-
-    def exists(self) -> bool:
-        return bool(self.versions())
-
-    def folders(self, version: int | None = None) -> dict[int, str]:
-        """Bucket -> folder of a version, by default the last."""
-        done = self.versions()
-        if not done:
-            return {}
-        at, _ = self._at("versions", str(version or done[-1]))
-        lines = [r.value for r in self.spark.read.text(at.toString()).collect()]  # a line per bucket
-        return {int(b): f for b, f in (line.split(" ", 1) for line in lines)}
-
-    def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
-        held = [f for b, f in sorted(self.folders(version).items()) if buckets is None or b in buckets]
-        return self.spark.read.parquet(*[f"{self.path}/{f}" for f in held]) if held else None
-
-    def _bucket(self, key: Sequence[str]) -> Column:
-        return F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int")
-
-    def upsert(self, batch: DataFrame, key: Sequence[str], order: Sequence[Column] | None = None, unique: bool = False) -> int:
-        """Insert or replace by key; returns the new version. See `upsert` for `order` and `unique`."""
-        base = self.versions()
-        old = self.folders()
-        named = batch.withColumn("_bucket", self._bucket(key))
-        touched = sorted(r[0] for r in named.select("_bucket").distinct().collect())  # at most `buckets` numbers
-        if not touched and base:
-            return base[-1]
-        merged = upsert(self.read(buckets=touched), batch, key, order, unique)
-        own = f"data/{uuid.uuid4().hex}"
-        # a bucket may hold a hot share of the rows, so each is spread by the whole key, not sent to one task
-        merged.withColumn("_bucket", self._bucket(key)).write.partitionBy("_bucket").parquet(f"{self.path}/{own}")
-        new = {**old, **{b: f"{own}/_bucket={b}" for b in touched}}
-        return self._claim((base or [0])[-1] + 1, new)
-
-    def _claim(self, version: int, folders: dict[int, str]) -> int:
-        at, fs = self._at("versions", str(version))
-        try:
-            out = fs.create(at, False)
-        except Py4JJavaError as e:
-            if "AlreadyExists" in str(e.java_exception.getClass().getName()):
-                raise Conflict(f"{self.path}: version {version} is taken") from None
-            raise
-        try:
-            out.write(bytearray("\n".join(f"{b} {f}" for b, f in sorted(folders.items())).encode()))
-        finally:
-            out.close()
-        return version
-
-    def forget(self, keep: int = 1) -> None:
-        """Delete versions but the last `keep`, and the folders only they named."""
-        done = self.versions()
-        named = {f for v in done[-keep:] for f in self.folders(v).values()}
-        for v in done[:-keep]:
-            for folder in set(self.folders(v).values()) - named:
-                at, fs = self._at(folder)
-                fs.delete(at, True)
-            at, fs = self._at("versions", str(v))
-            fs.delete(at, False)
+    def months(self) -> list[int]:
+        """The months in store, one folder each."""
+        at, fs = self._at()
+        names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{MONTH}="))
+
+    def stored(self) -> DataFrame | None:
+        """The rows with their month."""
+        return self.spark.read.parquet(self.path) if self.months() else None
+
+    def read(self) -> DataFrame | None:
+        rows = self.stored()
+        return None if rows is None else rows.drop(MONTH)
+
+    def newest(self) -> DataFrame | None:
+        """The rows of the last month: the greatest time is among them."""
+        rows = self.stored()
+        return None if rows is None else rows.where(F.col(MONTH) == self.months()[-1]).drop(MONTH)
+
+    def upsert(self, batch: DataFrame, key: Sequence[str], order: Sequence[Column] | None = None, unique: bool = False) -> list[int]:
+        """Insert or replace by key; returns the months that were rewritten. See `upsert` for `order` and `unique`.
+
+        `batch` is read more than once, so it must not change between reads. Rows of the
+        batch may move their key to another month.
+        """
+        named = batch.withColumn(MONTH, F.coalesce(F.year(self.ts) * 100 + F.month(self.ts), F.lit(0)))
+        stored = self.stored()
+        months = named.select(MONTH)
+        if stored is not None:
+            # of the stored rows only the keys are read here
+            months = months.unionByName(stored.join(batch.select(*key), list(key), "left_semi").select(MONTH))
+        touched = sorted(r[0] for r in months.distinct().collect())  # a number a month
+        if not touched:
+            return []
+        merged = upsert(None if stored is None else stored.where(F.col(MONTH).isin(touched)), named, key, order, unique)
+        watch = Observation()
+        # a hot month is split, small ones share a task
+        spread = merged.hint("rebalance", F.col(MONTH)).observe(watch, F.collect_set(MONTH).alias("written"))
+        spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(self.path)
+        for gone in set(touched) - set(watch.get["written"]):
+            at, fs = self._at(f"{MONTH}={gone}")
+            fs.delete(at, True)
+        return touched
+
+
+def write_checked(checked: DataFrame, path: str, reason: str = "_reject") -> dict[str, int]:
+    """Write rows with a null `reason` to the folder of accepted rows and the others to that of rejected ones.
+
+    One pass over the rows; the counts `read`, `accepted` and `rejected` come from the write itself.
+    """
+    watch = Observation()
+    counted = checked.observe(watch, F.count(F.lit(1)).alias("read"), F.count_if(F.col(reason).isNull()).alias("accepted"), F.count(reason).alias("rejected"))
+    status = F.when(F.col(reason).isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
+    counted.withColumn("_status", status).write.mode("overwrite").partitionBy("_status").parquet(path)
+    return {k: watch.get[k] for k in ("read", "accepted", "rejected")}
+
+
+def read_checked(spark: SparkSession, path: str, schema: StructType, accepted: bool = True, reason: str = "_reject") -> DataFrame:
+    """One of the two sides of `write_checked`; `schema` is that of the checked rows. Accepted rows come without the reason."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField("_status", StringType())])).parquet(path)
+    side = rows.where(F.col("_status") == ("accepted" if accepted else "rejected")).drop("_status")
+    return side.drop(reason, "_line") if accepted else side
+
+
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Save a table hashed and sorted by `keys`: joins, groupings and de-duplication by these keys then plan no exchange."""
+    # one task a bucket, so a bucket is one file
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DataType
 
+from placestats.functions.dates import month_of
 from placestats.operators.ranking import dedupe
+from placestats.operators.series import fill_months
 from placestats.session import materialize
-from placestats.sources.writers import VersionedTable, upsert
+from placestats.sources.writers import MonthTable, upsert
 
 
 def newer_than(source: DataFrame, target: DataFrame | None, ts: str) -> DataFrame:
@@ -49,15 +52,29 @@ def incremental(
 
 
 def run_incremental(
-    source: DataFrame, table: VersionedTable, ts: str, dedupe_keys: Sequence[str], key: Sequence[str], order: Sequence[Column]
-) -> int:
-    """One batch run against a versioned table, rewriting the buckets it touches; returns the version."""
-    return table.upsert(materialize(fresh_rows(source, table.read(), ts, dedupe_keys, key, order)), key, unique=True)
+    source: DataFrame, table: MonthTable, ts: str, dedupe_keys: Sequence[str], key: Sequence[str], order: Sequence[Column], mark: DataFrame | None = None
+) -> list[int]:
+    """One batch run against a table by months; returns the months it rewrote.
+
+    Rows count as new after the newest row of the table, or of `mark`, if given.
+    """
+    known = table.newest() if mark is None else mark
+    return table.upsert(materialize(fresh_rows(source, known, ts, dedupe_keys, key, order)), key, unique=True)
+
+
+def _mark(spark: SparkSession, table: MonthTable, ts: str, kind: DataType, path: str) -> DataFrame:
+    """The newest time before a batch, kept in a file, so that a replay after a failed write starts from the same one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        newest = table.newest()
+        last = spark.range(1).select(F.lit(None).cast(kind).alias(ts)) if newest is None else newest.agg(F.max(ts).alias(ts))
+        last.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def stream_incremental(
     stream: DataFrame,
-    table: VersionedTable,
+    table: MonthTable,
     ts: str,
     dedupe_keys: Sequence[str],
     key: Sequence[str],
@@ -67,16 +84,18 @@ def stream_incremental(
 ) -> StreamingQuery:
     """The same run for every micro-batch of a file stream, until it is drained.
 
-    A batch replayed after a failure changes nothing: its rows are no newer than the
-    table that already holds them. With `lateness` repeats within that delay are also
-    dropped by a stateful de-duplication ahead of the batch function.
+    A batch that is replayed after a failure writes the same rows again, by key, and so
+    changes nothing. With `lateness` repeats within that delay are also dropped by a
+    stateful de-duplication ahead of the batch function.
     """
     if lateness:
         stream = stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(dedupe_keys))
+    kind = stream.schema[ts].dataType
 
-    def run(batch: DataFrame, _: int) -> None:
+    def run(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            run_incremental(batch, table, ts, dedupe_keys, key, order)
+            mark = _mark(batch.sparkSession, table, ts, kind, f"{checkpoint.rstrip('/')}-marks/{number}")
+            run_incremental(batch, table, ts, dedupe_keys, key, order, mark)
 
     return (
         stream.writeStream.foreachBatch(run)
@@ -84,3 +103,27 @@ def stream_incremental(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_daily_counts(stream: DataFrame, table: MonthTable, group: Sequence[str], ts: str, checkpoint: str, lateness: str) -> StreamingQuery:
+    """Keep counts per group and day up to date from a stream, until it is drained; `table` is one by `day`.
+
+    Days are event-time windows under a watermark, so state is dropped once a day is older
+    than `lateness`; rows that come later than that are lost. Every micro-batch writes the
+    days it changed with their whole count, by key, so a replay changes nothing.
+    """
+    keys = list(group)
+    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
+    counted = timed.groupBy(*keys, F.window(ts, "1 day").alias("_day")).agg(F.count(F.lit(1)).alias("y"))
+    days = counted.select(*keys, F.col("_day.start").cast("date").alias("day"), "y")
+
+    def run(batch: DataFrame, _: int) -> None:
+        table.upsert(materialize(batch), [*keys, "day"], unique=True)
+
+    return days.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def monthly_from_days(days: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Gap-free monthly counts from counts per day."""
+    keys = list(group)
+    return fill_months(days.groupBy(*keys, month_of(F.col("day")).alias("month")).agg(F.sum("y").alias("y")), keys)

@@ -8,8 +8,9 @@ from placestats.operators.forecast import forecast, forecast_report
 from placestats.operators.ranking import number_rows, top_per_group
 from placestats.operators.series import backtest, monthly_series, yoy_recent
 from placestats.operators.forecast import forecast_snaive
-from placestats.sources.writers import VersionedTable
-from placestats.streaming.incremental import run_incremental, stream_incremental
+from placestats.sources import writers
+from placestats.sources.writers import MonthTable
+from placestats.streaming.incremental import monthly_from_days, run_incremental, stream_daily_counts, stream_incremental
 
 
 def as_series(spark, groups):
@@ -97,7 +98,7 @@ def latest():
 
 
 def test_incremental_batch(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
+    table = MonthTable(spark, str(tmp_path / "t"), "ts")
     run_incremental(incidents(spark, DAY1), table, "ts", *KEYS, latest())
     run_incremental(incidents(spark, DAY1 + DAY2), table, "ts", *KEYS, latest())
     run_incremental(incidents(spark, DAY1 + DAY2), table, "ts", *KEYS, latest())
@@ -106,7 +107,7 @@ def test_incremental_batch(spark, tmp_path):
 
 @pytest.mark.parametrize("lateness", [None, "10 days"])
 def test_incremental_stream(spark, tmp_path, lateness):
-    table = VersionedTable(spark, str(tmp_path / "t"))
+    table = MonthTable(spark, str(tmp_path / "t"), "ts")
     landing = str(tmp_path / "landing")
     for day in (DAY1, DAY2):
         incidents(spark, day).coalesce(1).write.mode("append").parquet(landing)
@@ -118,3 +119,37 @@ def test_incremental_stream(spark, tmp_path, lateness):
     # with a lateness the second I2 / 1 counts as a repeat of the first
     want = WANT if lateness is None else [("I1", 1), ("I2", 3), ("I3", 6)]
     assert sorted((r["incident_number"], r["load_seq"]) for r in table.read().collect()) == want
+
+
+def test_replayed_batch_after_a_half_written_table(spark, tmp_path, monkeypatch):
+    """The write dies after the rows of a batch are in: the replay starts from the same mark and loses nothing."""
+    table = MonthTable(spark, str(tmp_path / "t"), "ts")
+    landing, progress = str(tmp_path / "landing"), str(tmp_path / "progress")
+    run_incremental(incidents(spark, DAY1), table, "ts", *KEYS, latest())
+    incidents(spark, [*DAY1, *DAY2]).coalesce(1).write.parquet(landing)
+    whole = MonthTable.upsert
+
+    def dies(self, batch, *args, **kw):
+        whole(self, batch.where("load_seq = 6"), *args, **kw)  # only the newest row gets through
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(writers.MonthTable, "upsert", dies)
+    with pytest.raises(Exception, match="lost"):
+        stream_incremental(spark.readStream.schema(INCIDENTS).parquet(landing), table, "ts", *KEYS, latest(), progress).awaitTermination()
+    monkeypatch.setattr(writers.MonthTable, "upsert", whole)
+    stream_incremental(spark.readStream.schema(INCIDENTS).parquet(landing), table, "ts", *KEYS, latest(), progress).awaitTermination()
+    assert sorted((r["incident_number"], r["load_seq"]) for r in table.read().collect()) == WANT
+
+
+def test_daily_counts_survive_a_restart(spark, tmp_path):
+    rows = [(g, f"2024-{m:02d}-{d:02d} {h:02d}:30:00") for g in ("a", "b") for m in (1, 2, 4) for d in (1, 2, 28) for h in range(m + (g == "b"))]
+    df = spark.createDataFrame(rows, "g string, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    landing, table = str(tmp_path / "landing"), MonthTable(spark, str(tmp_path / "days"), "day")
+    for part in (df.where("month(ts) < 2 or (month(ts) = 2 and day(ts) = 1)"), df.where("month(ts) > 2 or (month(ts) = 2 and day(ts) > 1)")):
+        part.coalesce(1).write.mode("append").parquet(landing)
+        for _ in range(2):  # the second start finds nothing new
+            stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+            stream_daily_counts(stream, table, ["g"], "ts", str(tmp_path / "progress"), "10 days").awaitTermination()
+    key = lambda r: (r.g, r.month)
+    assert sorted(monthly_from_days(table.read(), ["g"]).collect(), key=key) == sorted(monthly_series(df, "g", "ts").collect(), key=key)
+    assert table.read().count() == 18

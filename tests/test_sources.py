@@ -5,6 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import sources
+from placestats.fixtures import Tables
 from placestats.functions.geometry import geom_to_wkt
 from placestats.plans import locations
 from placestats.sources import readers, writers
@@ -104,43 +106,76 @@ def test_writers(spark, tmp_path):
         writers.export(df, "xlsx", str(tmp_path / "q"))
 
 
-def test_versioned_upsert(spark, tmp_path):
-    table = writers.VersionedTable(spark, str(tmp_path / "v"))
-    assert table.read() is None
+def month_rows(spark, rows):
+    return spark.createDataFrame(rows, "k int, v string, ts string").withColumn("ts", F.to_timestamp_ntz("ts"))
+
+
+def month_files(path):
+    return {m.name: {f.name for f in m.glob("*.parquet")} for m in path.glob("event_month=*")}
+
+
+def test_upsert_by_month(spark, tmp_path):
+    table = writers.MonthTable(spark, str(tmp_path / "v"), "ts")
+    assert table.read() is None and table.newest() is None and table.months() == []
+    first = month_rows(spark, [(1, "a", "2024-01-05"), (2, "b", "2024-02-05"), (3, "c", "2024-03-05"), (4, "d", "2024-03-06"), (5, "e", None)])
+    assert table.upsert(first, ["k"]) == [0, 202401, 202402, 202403]
+    before = month_files(tmp_path / "v")
+    # 2 stays in its month, 3 moves to a new one, 6 is new
+    batch = month_rows(spark, [(2, "B", "2024-02-06"), (3, "C", "2024-05-01"), (6, "f", "2024-05-02")])
+    assert table.upsert(batch, ["k"]) == [202402, 202403, 202405]
+    after = month_files(tmp_path / "v")
+    assert all(before[f"event_month={m}"] == after[f"event_month={m}"] for m in (0, 202401))
+    assert all(before[f"event_month={m}"] != after[f"event_month={m}"] for m in (202402, 202403))
+    want = [(1, "a"), (2, "B"), (3, "C"), (4, "d"), (5, "e"), (6, "f")]
+    for again in (batch, batch, month_rows(spark, [])):
+        table.upsert(again, ["k"])
+        assert sorted((r.k, r.v) for r in table.read().collect()) == want
+    assert sorted(r.k for r in table.newest().collect()) == [3, 6]
+    # the only row of a month leaves it: the month goes
+    table.upsert(month_rows(spark, [(1, "a", "2024-05-05")]), ["k"])
+    assert table.months() == [0, 202402, 202403, 202405] and table.read().count() == 6
+
+
+def test_upsert_reads_only_the_months_it_touches(spark, tmp_path):
+    table = writers.MonthTable(spark, str(tmp_path / "v"), "ts")
+    table.upsert(month_rows(spark, [(i, "a", f"2024-{i + 1:02d}-05") for i in range(12)]), ["k"])
+    plan = table.stored().where(F.col("event_month").isin([202402]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_month" in plan and "202402" in plan
+
+
+def test_upsert_checks_keys(spark):
     first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    table.upsert(first, ["k"])
     batch = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
-    assert table.upsert(batch, ["k"]) == 2
-    assert table.upsert(batch, ["k"]) == 3
-    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "c"), (3, "d")]
     double = batch.unionByName(batch)
     with pytest.raises(Exception, match="more than once"):
         writers.upsert(first, double, ["k"]).collect()
     assert writers.upsert(first, double, ["k"], [F.col("v").desc()]).count() == 3
-    assert table.versions() == [1, 2, 3]
-    assert sorted(map(tuple, table.read(1).collect())) == [(1, "a"), (2, "b")]
-    table.forget(keep=1)
-    assert table.versions() == [3]
-    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "c"), (3, "d")]
-
-
-def test_upsert_leaves_other_buckets_alone(spark, tmp_path):
-    table = writers.VersionedTable(spark, str(tmp_path / "v"), buckets=8)
-    table.upsert(spark.range(100).withColumn("v", F.lit(0)), ["id"])
-    before = table.folders()
-    table.upsert(spark.range(5, 6).withColumn("v", F.lit(1)), ["id"])
-    after = table.folders()
-    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
-    assert sorted(map(tuple, table.read().collect())) == [(i, int(i == 5)) for i in range(100)]
-    assert table.upsert(spark.range(0).withColumn("v", F.lit(1)), ["id"]) == 2  # nothing to write
-
-
-def test_two_writers(spark, tmp_path):
-    table, other = (writers.VersionedTable(spark, str(tmp_path / "v")) for _ in range(2))
-    rows = spark.range(3).withColumn("v", F.lit(0))
-    table.upsert(rows, ["id"])
-    held = table.folders()
-    other.upsert(rows, ["id"])  # takes version 2 meanwhile
-    with pytest.raises(writers.Conflict):
-        table._claim(2, held)
-    assert table.versions() == [1, 2] and table.read().count() == 3
+
+
+def test_rejected_rows(spark, tmp_path):
+    lines = spark.createDataFrame([("1,x,2.5",), ("z,y,3",), ("2,,bad",), ("q,w,bad",), (" ",), ("3",), ("4,a,NULL,more",)], "line string")
+    schema = {"id": "int", "name": "string", "score": "double", "state": "string"}
+    rows = readers.parse_csv_checked(lines, "line", schema, columns=["id", "name", "score"], defaults={"state": "MA"})
+    path = str(tmp_path / "load")
+    scans = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda s: scans.add(1) or s, "string")
+    counts = writers.write_checked(rows.withColumn("state", seen("state")), path)
+    assert counts == {"read": 6, "accepted": 3, "rejected": 3} and scans.value == 6  # one pass
+    good = writers.read_checked(spark, path, rows.schema)
+    assert good.columns == list(schema)
+    assert sorted(map(tuple, good.collect())) == [(1, "x", 2.5, "MA"), (3, None, None, "MA"), (4, "a", None, "MA")]
+    bad = {r["_line"]: r["_reject"] for r in writers.read_checked(spark, path, rows.schema, accepted=False).collect()}
+    assert bad == {"z,y,3": "id is no int", "2,,bad": "score is no double", "q,w,bad": "id is no int; score is no double"}
+    assert writers.write_checked(rows.limit(0), path) == {"read": 0, "accepted": 0, "rejected": 0}
+    assert writers.read_checked(spark, path, rows.schema).count() == 0
+
+
+def test_bucketed_tables_need_no_exchange(spark):
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sources.profile_by_order(*sources.bucketed_orders(tables))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2
