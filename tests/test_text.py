@@ -10,7 +10,7 @@ from placestats.functions.dates import month_name
 from placestats.operators.narrative import (
     describe_facility, describe_incident, describe_store, feature_collection, features, narrate, rows_as_csv, text_report,
 )
-from placestats.operators.pages import page_blocks, pages_to_markdown
+from placestats.operators.pages import pages_to_markdown
 from placestats.functions.geometry import wkt_to_geom
 
 import pytest
@@ -145,10 +145,33 @@ def test_page_markdown(spark):
     assert got[4] == "# a\n\nb c d\n\nc"
 
 
-def test_stop_marks_the_first_element_that_mentions_it():
-    blocks = page_blocks("<article><p>a</p><div><p>b</p><p>LEAVE A REPLY</p></div></article>", K.STOP_PHRASES)
-    assert [b[1] for b in blocks] == ["p", "stop"]
-    assert page_blocks("<article><p>Leave a</p><p>Reply</p></article>", K.STOP_PHRASES)[-1][1] == "p"
+def test_stop_marks_the_first_element_that_mentions_it(spark):
+    rows = [(1, "<article><p>a</p><div><p>b</p><p>LEAVE A REPLY</p></div></article>"), (2, "<article><p>Leave a</p><p>Reply</p></article>")]
+    got = {r["page_id"]: r["markdown"] for r in pages_to_markdown(spark.createDataFrame(rows, "page_id int, html string")).collect()}
+    assert got == {1: "a", 2: "Leave a\n\nReply"}
+
+
+ODD = [
+    "", "a</>b</3>c", '<p title="x>y">z</p>', "<div/>x<br/>y<p>z</p>", "<script>a<b</script><p>c</p>",
+    "<p>q</p><script>never closed <p>x", "<P CLASS='a  Widget'>q</P ><p class=widget>r</p><p class='my widget'>s</p>", "<!DOCTYPE html><p>x<?pi y>z", "<p>&am &amp &amp; &#39; &#x41; &#65 &nbsp;</p>",
+    "<ul><li>a<li>b</ul><h2>x</h2><h2>x</h2><p></p></div><p>t <em>u</em>", "<b><p>x</b>y</p>z", "</p></p><p>a</p></ul>", "<nav><p>n<nav>m</nav>o</p></nav><p>p</p>",
+    "<ol><li>1<ul><li>2</ul><li>3</ol><ul></ul><ul><li> </li></ul><blockquote>b<p>c</p></blockquote>", "<div><div><div><div><div><div><div><h1>t</h1></div></div></div></div></div><p>far</p></div></div>",
+    "<body><header>h</header><p>x</p></body>" * 2, "<article>" + "".join(f"<p>{i % 700}</p>" for i in range(1500)) + "</article>", "<p>" + "<b>x</b> " * 700 + "</p><ul>" + "<li>y" * 600 + "</ul>",
+]
+
+
+def test_what_is_no_tag_is_text(spark):
+    rows = {"<p>a < b <3 c": "a < b <3 c", "<p>x</arti": "x</arti", "<p>abc<p cla": "abc<p cla", "<p>x<!-- open <p>y": "x<!-- open y\n\ny"}
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id int, html string")
+    assert [r["markdown"] for r in pages_to_markdown(df).orderBy("page_id").collect()] == list(rows.values())
+
+
+def test_odd_pages_match_a_plain_tree_walk(spark):
+    df = spark.createDataFrame(list(enumerate(ODD)), "page_id int, html string")
+    out = pages_to_markdown(df)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["page_id"]: r["markdown"] for r in out.collect()}
+    assert got == {i: plain_markdown(h) for i, h in enumerate(ODD)}
 
 
 class _Node:
