@@ -24,7 +24,6 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,75 +111,30 @@ class _Grid:
 
 
 def _star_round(edges: DataFrame) -> DataFrame:
-    """One large-star and one small-star step over (greater, lesser) edges."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    low = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-        low.select("u", F.col("m").alias("v"))
-    )
-    return small.where(F.col("u") != F.col("v")).distinct()
-
+    """One large-star and one small-star step over (greater, lesser) edges.
 
-def _contracted(edges: DataFrame) -> DataFrame:
-    """Edges (u, v) reduced by each task to a star per piece that its own edges connect.
-
-    Connectivity stays the same; a task holds the nodes of its partition, no more.
+    A lesser end without a lesser neighbour of its own stays the centre it is: its edges
+    need no aggregate by that centre, so a component with a third of all nodes never meets
+    in one task.
     """
-
-    def least(a, b) -> bool:
-        try:
-            return a < b
-        except TypeError:  # a null inside: any fixed choice will do
-            return repr(a) < repr(b)
-
-    def key(x):
-        return tuple(x.values()) if isinstance(x, dict) else x
-
-    def run(batches):
-        parent: dict = {}
-        shown: dict = {}
-
-        def find(x):
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        kind = None
-        for batch in batches:
-            kind = batch.schema.field(0).type
-            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                a, b = key(u), key(v)
-                shown[a], shown[b] = u, v
-                parent.setdefault(a, a)
-                parent.setdefault(b, b)
-                a, b = find(a), find(b)
-                if a != b:
-                    low, high = (a, b) if least(a, b) else (b, a)
-                    parent[high] = low
-        if kind is not None:
-            moved = [x for x in parent if find(x) != x]
-            for at in range(0, len(moved), 10_000):
-                part = moved[at : at + 10_000]
-                yield pa.RecordBatch.from_arrays([pa.array([shown[x] for x in part], kind), pa.array([shown[find(x)] for x in part], kind)], ["u", "v"])
-
-    return edges.select("u", "v").mapInArrow(run, edges.select("u", "v").schema)
+    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+    large = edges.join(low.select(F.col("u").alias("v"), "m"), "v", "left").select("u", F.coalesce("m", "v").alias("v"))
+    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, root) for every node of an undirected graph; the root is its least node.
 
-    Every task first contracts its own edges. Then each round replaces the edges by
-    shorter ones (large star, then small star) and writes them out, so lineage stays flat
-    and lost executors cost one round only. It ends when a round leaves the edges as they
-    were, which their writes tell; the files of a round are deleted once the next is written.
+    Each round replaces the edges by shorter ones (large star, then small star) and writes
+    them out, so lineage stays flat and lost executors cost one round only. It ends when a
+    round leaves the edges as they were, which their writes tell; the files of a round are
+    deleted once the next is written.
     """
     ends = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).where(F.col("u") != F.col("v"))
     told = {"n": F.count(F.lit(1)), "sum": F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))}
-    contracted = _contracted(ends).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    cur, now = observed(contracted, **told)
+    cur, now = observed(_star_round(ends), **told)
     while now["n"]:
         new, after = observed(_star_round(cur), **told)
         release(cur)

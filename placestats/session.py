@@ -12,7 +12,8 @@ import atexit
 import tempfile
 import uuid
 import weakref
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -25,6 +26,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _own_dirs: dict[str, str] = {}
 _cleared: set[str] = set()
 _paths: dict[int, str] = {}
@@ -93,6 +96,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return observed(df)[0]
 
 
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query are deleted as soon as it ends; for queries whose result is written."""
+    kept = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if kept is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, kept)
+
+
 def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     """`materialize`, with aggregates that the write itself computes: no extra job reads the rows."""
     spark = df.sparkSession
@@ -100,12 +117,13 @@ def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     if on_plan is not None:
         on_plan(df)
     told: dict = {}
-    if metrics:
-        watch = Observation()
-        df.observe(watch, *[c.alias(k) for k, c in metrics.items()]).write.parquet(path)
-        told = watch.get
-    else:
-        df.write.parquet(path)
+    with dropping_shuffles(spark):
+        if metrics:
+            watch = Observation()
+            df.observe(watch, *[c.alias(k) for k, c in metrics.items()]).write.parquet(path)
+            told = watch.get
+        else:
+            df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     _paths[id(back)] = path
     weakref.finalize(back, _paths.pop, id(back), None)
