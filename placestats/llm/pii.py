@@ -8,8 +8,11 @@ keyed digest wins). Refused entities draw again, and after a few rounds the cand
 grows, so the rounds end. The mapping goes back to the documents that mention the entities
 and is written into their texts in each mention's own format.
 
-Kinds: email, phone, card, ip, secret, iban, national id, and names behind a title
-(given names by gender, surnames), with later bare mentions of a name in the same text.
+Kinds: email, phone, card (with a right check digit), ip, secret, iban, national id, and
+names behind a title, with later bare mentions of a name in the same text. A name is one
+entity however it is used: whether it is given or a surname, and its gender, are settled by
+all its mentions in the corpus. Surrogate names are made of syllables in Latin, Cyrillic
+and Greek, by gender, and of letters of the same Unicode block in any other script.
 Phones are numbers in North American groups, numbers that open with + or 00 and a country
 code, and numbers that open with a trunk 0; an entity is the number without these, so that
 both ways to write it agree. Addresses are IPv4, and IPv6 in full or in the ranges 2000::/3
@@ -23,8 +26,9 @@ import hashlib
 import hmac
 import ipaddress
 import re
+import unicodedata
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import or_
 
 import pandas as pd
@@ -32,14 +36,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placestats.llm.common import free_names, row_key, without
-from placestats.session import materialize
+from placestats.session import materialize, release
 
 PLAIN_ROUNDS = 6  # rounds before candidates grow
 FEMALE_TITLES = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mademoiselle|Señora|Señorita|Sra|Srta|Госпожа"
 MALE_TITLES = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|Господин"
 OPEN_TITLES = "Dr|Prof|Professor"
 TITLES = f"{FEMALE_TITLES}|{MALE_TITLES}|{OPEN_TITLES}"
-CAPITALISED = r"[^\W\d_a-zà-öø-ÿа-я][^\W\d_A-ZÀ-ÖØ-ÞА-Я]+(?:-[^\W\d_a-zà-öø-ÿа-я][^\W\d_A-ZÀ-ÖØ-ÞА-Я]+)?"
+TITLE_WORDS = set(TITLES.split("|"))
+NAME_WORDS, UNSPACED = 3, 4  # words of a name; letters of one in a script without spaces
+#: words before a number that is a part or a version of something
+NUMBERED = re.compile(r"(?i)(?:^|[^\w])(?:v|ver|version|release|build|rev|section|sec|chapter|ch|part|article|art|clause|figure|fig|table|rule|kapitel|abschnitt|artikel|section|sección|capítulo|chapitre)[.:]?\s*$|§\s*$")
 SEP, HEX = r"[ ./-]", r"[0-9A-Fa-f]{1,4}"
 # subscriber numbers of seven or eight digits, and of six, by groups
 EIGHT = rf"(?:\d\d(?:{SEP}\d\d){{3}}|\d{{4}}{SEP}\d{{4}}|\d{{3}}{SEP}\d\d{SEP}\d\d|\d{{3}}{SEP}\d{{3,5}}|\d{{7,8}})"
@@ -73,7 +80,7 @@ FINDER = re.compile(
   | (?P<phone>(?<![\w+])(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)[ .-]?|\d{{2,4}}[ .-])\d{{3}}[ .-]?\d{{3,4}}(?!\w)
       | (?<![\w+])\+\d{{9,14}}(?!\w)
       | {TRUNK})
-  | (?:\b(?:(?P<female>{FEMALE_TITLES})|(?P<male>{MALE_TITLES})|(?:{OPEN_TITLES}))\.?[ ]+(?P<name>{CAPITALISED}(?:[ ]{CAPITALISED}){{0,2}}))
+  | (?:\b(?:(?P<female>{FEMALE_TITLES})|(?P<male>{MALE_TITLES})|(?P<open>{OPEN_TITLES}))\.?[ ]+(?=\w))
     """,
     re.VERBOSE,
 )
@@ -96,9 +103,46 @@ def luhn_ok(digits: str) -> bool:
     return total % 10 == 0
 
 
+@lru_cache(1 << 12)
 def script_of(word: str) -> str:
-    first = ord(word[0])
-    return "cyrillic" if 0x400 <= first < 0x530 else "greek" if 0x370 <= first < 0x400 else "latin"
+    """Script of the first letter, as the Unicode name of the letter begins."""
+    return unicodedata.name(word[0], "latin").split()[0].split("-")[0].lower()
+
+
+@lru_cache(1 << 12)
+def block_letters(c: str) -> str:
+    """Characters of the same block, script and category; `c` itself at least."""
+    base, kind, script = ord(c) & ~0xFF, unicodedata.category(c), script_of(c)
+    same = [x for x in map(chr, range(base, base + 256)) if unicodedata.category(x) == kind and script_of(x) == script and x.casefold() == x]
+    return "".join(same) or c
+
+
+def name_words(text: str, at: int) -> list[tuple[int, int]]:
+    """(start, end) of the words of a name that begins at `at`: capitalised, or of a script without case."""
+    out: list[tuple[int, int]] = []
+    while len(out) < NAME_WORDS and at < len(text):
+        end = at
+        while end < len(text) and (text[end].isalpha() or unicodedata.category(text[end])[0] == "M" or (end > at and text[end] in "'’-" and text[end + 1 : end + 2].isalpha())):
+            end += 1
+        word = text[at:end]
+        if not word or word[0].islower() or word in TITLE_WORDS or (len(word) < 2 and word[0].isupper()):
+            break
+        unspaced = script_of(word) in ("cjk", "hangul", "hiragana", "katakana")
+        out.append((at, min(end, at + UNSPACED) if unspaced else end))
+        if unspaced or text[end : end + 1] != " ":
+            break
+        at = end + 1
+    return out
+
+
+def plain_group(mention: str) -> bool:
+    """Is a number in groups, without + or brackets, rather a count than a phone number?"""
+    if mention[0] in "+(0":
+        return False
+    groups = re.split(r"[ .-]", mention)
+    if " " in mention:  # only a North American number is written so
+        return not (len(groups) == 3 and [len(g) for g in groups] == [3, 3, 4] and groups[0][0] in "23456789" and groups[1][0] in "23456789")
+    return groups[0][0] == "1" or len(groups[0]) != 3
 
 
 def _digits(s: str) -> str:
@@ -125,23 +169,20 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         if m["value"]:
             start, end = m.span("value")
             out.append((start, end, "secret", m["value"]))
-        elif m["name"]:
-            gender = "f" if m["female"] else "m" if m["male"] else "n"
-            parts = list(re.finditer(r"[^ ]+", m["name"]))
-            for i, part in enumerate(parts):
-                kind = "surname" if i == len(parts) - 1 else f"given_{gender}"
-                at = m.start("name") + part.start()
-                out.append((at, at + len(part[0]), kind, part[0].casefold()))
-                named.setdefault(part[0], kind)
-                named.setdefault(part[0].upper(), kind)
+        elif kind in ("female", "male", "open"):
+            parts = name_words(text, m.end())
+            for i, (start, end) in enumerate(parts):
+                word = text[start:end]
+                role = "surname" if i == len(parts) - 1 else {"female": "given_f", "male": "given_m", "open": "given_n"}[kind]
+                out.append((start, end, role, word.casefold()))
+                named.setdefault(word, role)
+                named.setdefault(word.upper(), role)
         elif m["card"]:
-            digits = _digits(m["card"])
-            if luhn_ok(digits) or 15 <= len(digits) <= 16:
+            if luhn_ok(digits := _digits(m["card"])):
                 out.append((*m.span(), "card", digits))
-            elif m["card"].replace(" ", "").replace("-", "") == digits:
-                out.append((*m.span(), "phone", digits))
-        elif m["phone"] or m["abroad"]:
-            out.append((*m.span(), "phone", phone_number(m[0], bool(m["abroad"]))))
+        elif m["abroad"] or m["phone"]:
+            if m["abroad"] or not plain_group(m[0]):
+                out.append((*m.span(), "phone", phone_number(m[0], bool(m["abroad"]))))
         elif m["ip6"]:
             try:
                 out.append((*m.span(), "ip", ipaddress.IPv6Address(m[0]).exploded))
@@ -149,16 +190,27 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 pass
         elif m["email"]:
             out.append((*m.span(), "email", m["email"].casefold()))
-        elif kind in ("secret", "iban", "ip", "national"):
+        elif kind == "ip":
+            if not NUMBERED.search(text, max(0, m.start() - 20), m.start()):
+                out.append((*m.span(), kind, m[0]))
+        elif kind in ("secret", "iban", "national"):
             out.append((*m.span(), kind, m[0].replace(" ", "") if kind == "iban" else m[0]))
     if named:
-        again = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, named), key=len, reverse=True)) + r")(?!\w)")
-        taken = {i for a, b, *_ in out for i in (a, b - 1)}
-        out += [(*m.span(), named[m[0]], m[0].casefold()) for m in again.finditer(text) if m.start() not in taken and m.end() - 1 not in taken]
+        words = sorted(named, key=len, reverse=True)
+        spaced = [re.escape(w) for w in words if script_of(w) not in ("cjk", "hangul", "hiragana", "katakana")]
+        other = [re.escape(w) for w in words if script_of(w) in ("cjk", "hangul", "hiragana", "katakana")]
+        both = [rf"(?<![\w'’])(?:{'|'.join(spaced)})(?!\w|['’]\w)"] * bool(spaced) + other
+        taken = {i for a, b, *_ in out for i in range(a, b)}
+        out += [(*m.span(), named[m[0]], m[0].casefold()) for m in re.finditer("|".join(both), text) if m.start() not in taken and m.end() - 1 not in taken]
         out.sort()
     return out
 
 
+def group_of(kind: str) -> str:
+    """Names of all roles are one kind of entity."""
+    return "name" if kind.startswith(("given", "surname")) else kind
+
+
 class _Stream:
     """Endless keyed numbers."""
 
@@ -207,9 +259,11 @@ def candidate(key: bytes, kind: str, canon: str, attempt: int) -> str:
             parts.append(str(low + draw.below(n)))
         return ".".join(parts)
     if kind == "card":
-        body = canon[0] + "".join(str(draw.below(10)) for _ in canon[1:-1])
+        body = canon[0] + "".join(str(draw.below(10)) for _ in range(len(canon) - 2 + extra))
         return next(body + str(d) for d in range(10) if luhn_ok(body + str(d)))
     if kind in ("given_f", "given_m", "given_n", "surname"):
+        if script_of(canon) not in SYLLABLES:
+            return "".join((letters := block_letters(c))[draw.below(len(letters))] for c in canon + canon[0] * extra)
         stems, ends = SYLLABLES[script_of(canon)]
         role = {"given_f": "f", "given_m": "m", "surname": "s"}.get(kind) or "fm"[draw.below(2)]
         return "".join(stems[draw.below(len(stems))] for _ in range(1 + draw.below(2) + extra)) + ends[role][draw.below(len(ends[role]))]
@@ -220,19 +274,30 @@ def candidate(key: bytes, kind: str, canon: str, attempt: int) -> str:
         hexadecimal = bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", body))
         return head + "".join(_like(c, draw, hexadecimal) for c in body) + "".join(_like("a", draw, hexadecimal) for _ in range(extra))
     if kind == "iban":
-        return canon[:2] + "".join(_like(c, draw) for c in canon[2:])
-    return "".join(_like(c, draw) for c in canon)  # phone, national id
+        return canon[:2] + "".join(_like(c, draw) for c in canon[2:] + "0" * extra)
+    if kind == "phone":
+        return "".join(_like(c, draw) for c in "0" * extra + canon)
+    return "".join(_like(c, draw) for c in canon + "0" * extra)  # national id
+
 
+def written(mention: str, kind: str, surrogate: str, size: int | None = None) -> str:
+    """The surrogate in the format of a mention: its case, its separators, its leading country code.
 
-def written(mention: str, kind: str, surrogate: str) -> str:
-    """The surrogate in the format of a mention: its case, its separators, its leading country code."""
+    `size` is the length of the entity's canonical form; a surrogate that has grown beyond
+    it keeps its further digits, before a phone or card number and behind an IBAN.
+    """
     if kind in ("phone", "card", "iban"):
         spots = [i for i, c in enumerate(mention) if (c.isalnum() if kind == "iban" else c.isdigit())]
+        grown = max(0, len(surrogate) - (size or len(surrogate)))
         out = list(mention)
-        for i, c in zip(reversed(spots), reversed(surrogate)):
-            old = out[i]
+        inside = surrogate[: len(surrogate) - grown] if kind == "iban" else surrogate[grown:]
+        first = len(mention)
+        for i, c in zip(reversed(spots), reversed(inside)):
+            old, first = out[i], i
             out[i] = chr(ord(old) - int(old) + int(c)) if old.isdecimal() and c.isdecimal() else c
-        return "".join(out)
+        if kind == "iban":
+            return "".join(out) + surrogate[len(inside) :]
+        return "".join([*out[:first], surrogate[:grown], *out[first:]])
     if kind == "ip" and ":" in surrogate:
         groups, (head, cut, tail) = surrogate.split(":"), mention.partition("::")
         ends = tail.split(":") if tail else []
@@ -253,7 +318,8 @@ def written(mention: str, kind: str, surrogate: str) -> str:
 def replace(text: str, mapping: dict[tuple[str, str], str]) -> str:
     out, at = [], 0
     for start, end, kind, canon in find(text):
-        out += [text[at:start], written(text[start:end], kind, mapping[kind, canon])]
+        surrogate = mapping.get((kind, canon)) or mapping[group_of(kind), canon]
+        out += [text[at:start], written(text[start:end], kind, surrogate, len(canon))]
         at = end
     return "".join([*out, text[at:]])
 
@@ -275,34 +341,48 @@ def entities(text: Column) -> Column:
     return udf(text)
 
 
+def settled_kinds(found: DataFrame) -> DataFrame:
+    """(grp, canon, kind): distinct entities; a name's role is the one of most of its rows, its gender that of most with one."""
+    names = F.col("kind").rlike("^given|^surname")
+    counted = found.groupBy(F.when(names, F.lit("name")).otherwise(F.col("kind")).alias("grp"), "canon").agg(
+        *[F.count_if(F.col("kind") == k).alias(k) for k in ("surname", "given_f", "given_m", "given_n")]
+    )
+    given = F.when(F.col("given_f") + F.col("given_m") == 0, F.lit("given_n")).when(F.col("given_f") >= F.col("given_m"), F.lit("given_f")).otherwise(F.lit("given_m"))
+    surname = F.col("surname") >= F.col("given_f") + F.col("given_m") + F.col("given_n")
+    kind = F.when(F.col("grp") != "name", F.col("grp")).when(surname, F.lit("surname")).otherwise(given)
+    return counted.select("grp", "canon", kind.alias("kind"))
+
+
 def assign(found: DataFrame, key: bytes) -> DataFrame:
-    """(kind, canon, surrogate) for distinct entities: no surrogate is an entity or used twice within a kind group.
+    """(kind, canon, surrogate) for distinct entities: no surrogate is an entity or used twice within a kind.
 
-    Names of all kinds form one group, so a given name never meets a surname's surrogate.
+    Names are one kind, `name`, whatever their role. Candidates grow from round to round
+    once the plain rounds are over, so every entity gets one in the end.
     """
 
     @F.pandas_udf("struct<surrogate: string, rank: string>")
     def draw(kinds: pd.Series, canons: pd.Series, attempts: pd.Series) -> pd.DataFrame:
-        rows = [(candidate(key, k, c, int(a)), hmac.new(key, f"{k}\x1f{c}".encode("utf-8", "surrogatepass"), hashlib.sha256).hexdigest()) for k, c, a in zip(kinds, canons, attempts)]
+        rows = [(candidate(key, k, c, int(a)), hmac.new(key, f"{group_of(k)}\x1f{c}".encode("utf-8", "surrogatepass"), hashlib.sha256).hexdigest()) for k, c, a in zip(kinds, canons, attempts)]
         return pd.DataFrame(rows, columns=["surrogate", "rank"])
 
-    group = F.when(F.col("kind").rlike("^given|^surname"), F.lit("name")).otherwise(F.col("kind"))
-    waiting = materialize(found.select("kind", "canon", group.alias("grp")).distinct())
-    taken = waiting.select("grp", F.col("canon").alias("surrogate")).distinct()
+    waiting = materialize(settled_kinds(found))
+    taken = waiting.select("grp", F.col("canon").alias("surrogate"))
     settled: DataFrame | None = None
     attempt = 0
     while attempt == 0 or not waiting.isEmpty():
         drawn = materialize(waiting.withColumn("d", draw("kind", "canon", F.lit(attempt))).select("kind", "canon", "grp", "d.surrogate", "d.rank"))
         free = drawn.join(taken, ["grp", "surrogate"], "left_anti")
-        first = free.groupBy("grp", "surrogate").agg(F.min(F.struct("rank", "kind", "canon")).alias("w"))
-        won = materialize(first.select("w.kind", "w.canon", "grp", "surrogate"))
+        first = free.groupBy("grp", "surrogate").agg(F.min(F.struct("rank", "canon")).alias("w"))
+        won = materialize(first.select("grp", "w.canon", "surrogate"))
         settled = won if settled is None else settled.unionByName(won)
-        waiting = materialize(drawn.select("kind", "canon", "grp").join(won, ["kind", "canon"], "left_anti"))
+        after = materialize(drawn.select("grp", "canon", "kind").join(won, ["grp", "canon"], "left_anti"))
+        if attempt:  # the first list of entities is still what surrogates must not meet
+            release(waiting)
+        release(drawn)
+        waiting = after
         taken = taken.unionByName(won.select("grp", "surrogate"))
         attempt += 1
-        if attempt > 64:
-            raise RuntimeError("more entities of one format than that format can tell apart")
-    return settled.select("kind", "canon", "surrogate")
+    return settled.select(F.col("grp").alias("kind"), "canon", "surrogate")
 
 
 def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -327,7 +407,9 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     pairs = held.select("key", F.explode("found").alias("e")).select("key", "e.kind", "e.canon")
     mapping = materialize(assign(pairs.select("kind", "canon"), key))
     entry = F.struct("kind", "canon", "surrogate")
-    per_row = materialize(pairs.join(mapping, ["kind", "canon"]).groupBy("key").agg(F.collect_list(entry).alias("entries")))
+    group = F.when(F.col("kind").rlike("^given|^surname"), F.lit("name")).otherwise(F.col("kind"))
+    named = pairs.select("key", group.alias("kind"), "canon").distinct()  # a name may have several roles in one text
+    per_row = materialize(named.join(mapping, ["kind", "canon"]).groupBy("key").agg(F.collect_list(entry).alias("entries")))
 
     @F.pandas_udf("string")
     def rewrite(texts: pd.Series, entries: pd.Series) -> pd.Series:

@@ -130,3 +130,48 @@ def test_letter_keys_trigger(spark):
     df = spark.createDataFrame([(i, f"key {k} end") for i, k in enumerate(KEYS)], "doc_id long, text string")
     assert all(r.t for r in df.select(triggered(F.col("text")).alias("t")).collect())
     assert not any(k in r.text for r in replace_entities(df, KEY).collect() for k in KEYS)
+
+
+WHOLE_NAMES = {
+    "Mrs McDonald": ["mcdonald"], "Mr O'Brien left": ["o'brien"], "Frau Müller-Lüdenscheidt kam": ["müller-lüdenscheidt"], "Mr 田中太郎": ["田中太郎"], "Dr محمد علي": ["محمد", "علي"],
+    "Prof. अमित शर्मा": ["अमित", "शर्मा"], "Mr Smith Dr Jones": ["smith", "jones"], "Mr the man": [], "Sir, Mr. X": [], "Mr Kim and 김철수, Mr 김철수": ["kim", "김철수", "김철수"],
+}
+
+
+@pytest.mark.parametrize("text", WHOLE_NAMES)
+def test_names_are_whole_and_keep_their_script(text):
+    found = find(text)
+    assert [c for *_, c in found] == WHOLE_NAMES[text]
+    mapping = {("name", c): candidate(KEY, k, c, 0) for *_, k, c in found}
+    new = replace(text, mapping)
+    for _, _, _, c in found:
+        assert pii.script_of(mapping["name", c]) == pii.script_of(c) and c not in new.casefold()
+    assert len(re.findall(r"\w", "".join(x for x in text if x in " .,"))) == 0 and new.count(" ") == text.count(" ")
+
+
+@pytest.mark.parametrize(
+    "text", ["section 1.2.3.4", "Version 10.0.0.1 of it", "§ 1.2.3.4", "lot 123 456 7890", "at 1700000000000 ms", "12 000 0000", "1234567812345678", "1234 5678 1234 5678", "in 2024 555 1234"]
+)
+def test_numbers_that_are_no_entities(text):
+    assert find(text) == []
+
+
+def test_one_person_under_two_titles(spark):
+    rows = [(1, "Mrs Anna Smith came. Later Dr Anna Smith left. Smith is Anna."), (2, "Mr Smith and Prof. Anna Weber"), (3, "Mrs Smith Jones, Ms Jones")]
+    got = {r.doc_id: r.text for r in replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    anna, smith = re.match(r"Mrs (\w+) (\w+) came", got[1]).groups()
+    assert got[1] == f"Mrs {anna} {smith} came. Later Dr {anna} {smith} left. {smith} is {anna}."
+    assert got[2].startswith(f"Mr {smith} and Prof. {anna} ") and f"Mrs {smith} " in got[3]
+    assert anna.lower().endswith(tuple(pii.SYLLABLES["latin"][1]["f"]))
+    assert len({anna, smith, got[2].split()[-1], got[3].split()[-1]}) == 4
+
+
+@pytest.mark.parametrize("kind,canons", [("national", [f"{i}" for i in range(10)]), ("phone", [f"{i}" for i in range(10)]), ("card", ["18", "26", "34", "42", "59", "67", "75", "83", "91", "00"])])
+def test_a_full_format_grows(spark, kind, canons):
+    """All the numbers of a format are entities: surrogates get longer, and the rounds end."""
+    got = assign(spark.createDataFrame([(kind, c) for c in canons], "kind string, canon string"), KEY).collect()
+    new = [r.surrogate for r in got]
+    assert len(set(new)) == len(canons) and not set(new) & set(canons) and all(len(x) > len(canons[0]) for x in new)
+    if kind != "national":
+        shown = {written(f"+49 {r.canon}" if kind == "phone" else r.canon, kind, r.surrogate, len(r.canon)) for r in got}
+        assert len(shown) == len(canons) and (kind != "phone" or all(x.startswith("+49 ") for x in shown))
