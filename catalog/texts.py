@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
+from catalog.pagesql import MARKDOWN, PAGES
 from catalog.clusters import FINE, GROCERY_PROFILE, binned, dbscan_ctes, grocery_profile, labels
 from catalog.places import ADJACENT, geo_facilities, located_incidents, located_stores
 from catalog.scores import HEALTH, HEALTH_NEEDS, health_profile
@@ -287,6 +288,6 @@ def _(t):
     return extract_headings(t.pages, "h1")
 
 
-@query("pages_markdown")
+@query("pages_markdown", MARKDOWN, [], PAGES)
 def _(t):
     return pages_to_markdown(t.pages).select("page_id", "url", "markdown")
