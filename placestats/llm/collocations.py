@@ -7,10 +7,11 @@ together (their bytes are compared, so one count never mixes two texts) and leav
 (fingerprint, count, pointer to an occurrence). A shuffle by fingerprint adds the counts;
 what stays below the threshold ends there, without any text of it having been built.
 
-Lengths are counted one after another: a longer run can only be frequent if the two runs
-one word shorter are, so runs are left out whose parts are not in a bitmap of the
-frequent fingerprints of the level before. The bitmap has `BITS` bits at every size of
-the input; where it fills up, fewer runs are left out, with the same result.
+Lengths are counted one after another, so that the shuffle of one is gone before the next
+begins. A run can only be frequent if its words are, so longer runs are left out that have
+a word which is not in a bitmap of the frequent words' fingerprints. The bitmap has `BITS`
+bits at every size of the input; where it fills up, fewer runs are left out, with the same
+result.
 
 Pointers of frequent fingerprints then meet their chunks, one row a chunk, and counts are
 added again by text. So fingerprints that collide only cost work.
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placestats.session import materialize
+from placestats.session import materialize, release
 
 LONGEST = 4  # words of a phrase
 CHUNK = 1 << 14  # words that begin in a chunk; a pointer has 14 bits for the word and 2 for the length
@@ -115,8 +116,8 @@ def seed(lang: str) -> np.uint64:
 def count_block(chunks: list[tuple[int, bytes, int]], n: int, lang: str, frequent: np.ndarray | None, mask: int = (1 << 64) - 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(fingerprints, counts, pointers) of the runs of `n` words that begin in the chunks.
 
-    chunks: (id, body, words that begin here). frequent: bytes of the bitmap of runs of
-    n - 1 words, none for single words. `mask` cuts fingerprints, to try collisions.
+    chunks: (id, body, words that begin here). frequent: bytes of the bitmap of frequent
+    words, if any. `mask` cuts fingerprints, to try collisions.
     """
     body = np.frombuffer(b"\n".join(c[1] for c in chunks), np.uint8)
     words = Words(body)
@@ -130,9 +131,10 @@ def count_block(chunks: list[tuple[int, bytes, int]], n: int, lang: str, frequen
     whole = begins[:stop] & (words.piece[n - 1 :][:stop] == words.piece[:stop]) & (chunk[n - 1 :][:stop] == chunk[:stop])
     apart, cut = seed(lang), np.uint64(mask)
     if frequent is not None:
-        place = ((words.prints(n - 1) ^ apart) & cut) >> np.uint64(64 - BITS)
+        place = ((words.prints(1) ^ apart) & cut) >> np.uint64(64 - BITS)
         likely = (frequent[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        whole &= likely[:stop] & likely[1 : stop + 1]
+        for k in range(n):
+            whole &= likely[k : stop + k]
     at = np.flatnonzero(whole)
     prints = (words.prints(n)[at] ^ apart) & cut
     order = np.argsort(prints, kind="stable")
@@ -223,25 +225,27 @@ def level(chunks: DataFrame, n: int, least: int, frequent: np.ndarray | None, bl
 
 def phrase_counts(chunks: DataFrame, least: int, block: int = BLOCK, mask: int = (1 << 64) - 1) -> DataFrame:
     """(lang, phrase, k, f): all runs of 1 to `LONGEST` words that occur `least` times, exactly."""
-    found, frequent = [], None
-    for n in range(1, LONGEST + 1):
-        found.append(level(chunks, n, least, frequent, block, mask))
-        if n < LONGEST:
-            frequent = frequent_bitmap(found[-1])
+    found = [level(chunks, 1, least, None, block, mask)]
+    frequent = frequent_bitmap(found[0])
+    found += [level(chunks, n, least, frequent, block, mask) for n in range(2, LONGEST + 1)]
     pointers = found[0]
     for more in found[1:]:
         pointers = pointers.unionByName(more)
-    # a chunk has at most CHUNK * LONGEST places
-    place = F.struct(F.col("pointer").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("at"), "count")
+    # a chunk has at most CHUNK * LONGEST places; a count is at most the words of a block, so both fit one number
+    place = F.shiftleft("count", 16).bitwiseOR(F.col("pointer").bitwiseAND(F.lit(0xFFFF)))
     by_chunk = pointers.groupBy(F.shiftright("pointer", 16).alias("id")).agg(F.collect_list(place).alias("places"))
-    met = chunks.select("id", "lang", F.split(F.col("body").cast("string"), "[ \n]", -1).alias("words")).join(by_chunk, "id")
-    texts = met.select("lang", F.col("words"), F.explode("places").alias("p")).select(
+    # bodies are cut into words only behind the shuffle
+    met = chunks.select("id", "lang", "body").join(by_chunk, "id").select("lang", F.split(F.col("body").cast("string"), "[ \n]", -1).alias("words"), "places")
+    k = (F.col("p").bitwiseAND(F.lit(3)) + 1).cast("int")
+    texts = met.select("lang", "words", F.explode("places").alias("p")).select(
         "lang",
-        F.array_join(F.slice("words", F.shiftright("p.at", 2) + 1, F.col("p.at").bitwiseAND(F.lit(3)) + 1), " ").alias("phrase"),
-        (F.col("p.at").bitwiseAND(F.lit(3)) + 1).alias("k"),
-        F.col("p.count").alias("count"),
+        F.array_join(F.slice("words", (F.shiftright("p", 2).bitwiseAND(F.lit(CHUNK - 1)) + 1).cast("int"), k), " ").alias("phrase"),
+        k.alias("k"),
+        F.shiftright("p", 16).alias("count"),
     )
-    return materialize(texts.groupBy("lang", "phrase", "k").agg(F.sum("count").alias("f")).where(F.col("f") >= least))
+    counted = materialize(texts.groupBy("lang", "phrase", "k").agg(F.sum("count").alias("f")).where(F.col("f") >= least))
+    release(*found)
+    return counted
 
 
 def scaled_share(a: Column, both: Column) -> Column:
