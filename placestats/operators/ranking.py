@@ -39,26 +39,23 @@ def number_rows(
 ) -> DataFrame:
     """Row numbers 1.. over `order`, per `partition` or over the whole frame.
 
-    The rows are range-partitioned, numbered inside each range, and shifted by the
-    row counts of the ranges before it. Only those counts meet in one place, so
-    neither a whole table nor a hot partition is sorted by a single task. The order
-    must be unique.
+    The rows are dealt by range once, sorted and written with their place in their range.
+    Only the sizes of the ranges meet in one place, and go back to the rows, so neither a
+    whole table nor a hot partition is sorted by a single task. The order must be unique.
     """
     keys = list(partition)
-    ranged = df.repartitionByRange(*([parts] if parts else []), *keys, *order)
-    ranged = materialize(ranged.withColumn("_part", F.spark_partition_id()))
-    counts = ranged.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = df.repartitionByRange(*([parts] if parts else []), *keys, *order).sortWithinPartitions(*keys, *order)
+    ranged = materialize(ranged.withColumn("_id", F.monotonically_increasing_id()))  # range in the high bits, place in the low ones
+    ranged = ranged.withColumn("_part", F.shiftright("_id", 33))
+    spans = ranged.groupBy(*keys, "_part").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    shifts = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    within = W.partitionBy(*keys, "_part").orderBy(*order)
+    shifts = spans.select(*keys, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
     on = [ranged[k].eqNullSafe(shifts[k]) for k in keys] + [ranged["_part"] == shifts["_part"]]
     cond = on[0]
     for extra in on[1:]:
         cond = cond & extra
-    numbered = ranged.withColumn("_rn", F.row_number().over(within)).alias("r").join(shifts.alias("s"), cond)
-    return numbered.select(
-        *[F.col(f"r.{c}") for c in df.columns], (F.col("r._rn") + F.col("s._shift")).cast("bigint").alias(name)
-    )
+    numbered = ranged.alias("r").join(shifts.alias("s"), cond)
+    return numbered.select(*[F.col(f"r.{c}") for c in df.columns], (F.col("r._id") + F.col("s._shift")).cast("bigint").alias(name))
 
 
 def order_by(df: DataFrame, *keys: tuple[str, str]) -> DataFrame:
