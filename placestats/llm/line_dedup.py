@@ -54,7 +54,7 @@ def copies_cut(rows: DataFrame, key: str, columns: list[str], text_col: str, siz
     """
     whole, n, first, copy = free_names(rows, "whole", "n", "first", "copy")
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1)
-    repeated = materialize(counts.select(key)).hint("merge")
+    repeated = materialize(counts.select(key))  # usually none; its true size decides how it is joined
     met = rows.join(repeated, key, "left_semi").withColumn(whole, row_key(rows, columns))
     alike = materialize(met.groupBy(*columns, key, whole).agg(F.count(F.lit(1)).alias(n)))
     alike = alike.join(alike.groupBy(key).agg(F.min(whole).alias(first)), key)
