@@ -9,7 +9,6 @@ and marking up are expressions on those notes. A page never leaves its row.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from html.entities import html5
 
@@ -43,7 +42,8 @@ STATE_TYPE = f"struct<open:{OPEN_TYPE},n:int,strings:int,hidden:int,out:array<{E
 
 def unescape(text: Column) -> Column:
     """Text with character references replaced: numbers, and names with or without a semicolon."""
-    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    known = sorted(html5, key=lambda n: n.rstrip(";") not in html5)  # the old, most used names first
+    names = F.map_from_arrays(*[F.split(F.lit("\x01".join(words)), "\x01", -1) for words in (known, [html5[n] for n in known])])
 
     def one(part: Column) -> Column:
         digits = F.regexp_extract(part, r"^&#[xX]?([0-9a-fA-F]+);?$", 1)
@@ -58,24 +58,37 @@ def unescape(text: Column) -> Column:
     return F.when(text.contains("&"), F.array_join(F.transform(parts, one), "")).otherwise(text)
 
 
+#: white space as a text's ends know it, and the four separators of files, groups, records and units
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def tokens_of(html: Column, dropped_tags: Sequence[str], dropped_classes: Sequence[str]) -> Column:
     """Array of (kind, tag, drop, empty, text); kind is text, open, close or other."""
     raw = F.regexp_extract_all(F.regexp_replace(html, STRAY, "&lt;"), F.lit(TOKEN), F.lit(0))
 
+    def tag_token(t: Column) -> Column:
+        # patterns are slow, so each is only tried where it can matter
+        held = F.when(F.lower(t).contains("class"), F.split(F.concat(*[F.regexp_extract(t, CLASS, i) for i in (1, 2, 3)]), r"\s+"))
+        classed = F.coalesce(F.arrays_overlap(held, F.array(*[F.lit(c) for c in dropped_classes])), F.lit(False))
+
+        def named(name: Column) -> Column:
+            closing = t.startswith("</")
+            swallowed = name.isin("script", "style") & ~closing  # with all up to its end
+            kind = F.when((name == "") | swallowed, F.lit("other")).when(closing, F.lit("close")).otherwise(F.lit("open"))
+            drop, empty = name.isin(list(dropped_tags)) | classed, name.isin(list(VOID_TAGS)) | t.endswith("/>")
+            return F.struct(kind.alias("kind"), name.alias("tag"), drop.alias("drop"), empty.alias("empty"), F.lit(None).cast("string").alias("text"))
+
+        return let(F.lower(F.regexp_extract(t, r"^</?([a-zA-Z][^\s/>]*)", 1)), named)
+
+    def text_token(t: Column) -> Column:
+        return F.struct(F.lit("text").alias("kind"), F.lit("").alias("tag"), F.lit(False).alias("drop"), F.lit(False).alias("empty"), strip(unescape(t)).alias("text"))
+
     def token(t: Column) -> Column:
-        name = F.lower(F.regexp_extract(t, r"^</?([a-zA-Z][^\s/>]*)", 1))
-        swallowed = F.regexp_like(t, F.lit(r"(?i)^<(script|style)\b"))  # with all up to its end
-        kind = F.when(~t.startswith("<"), F.lit("text")).when((name == "") | swallowed, F.lit("other")).when(t.startswith("</"), F.lit("close")).otherwise(F.lit("open"))
-        held = F.concat(*[F.regexp_extract(t, CLASS, i) for i in (1, 2, 3)])
-        classes = F.split(held, r"\s+")
-        drop = name.isin(list(dropped_tags)) | F.arrays_overlap(classes, F.array(*[F.lit(c) for c in dropped_classes]))
-        empty = name.isin(list(VOID_TAGS)) | t.endswith("/>")
-        text = F.when(~t.startswith("<"), strip(unescape(t)))
-        return F.struct(kind.alias("kind"), name.alias("tag"), drop.alias("drop"), empty.alias("empty"), text.alias("text"))
+        return F.when(t.startswith("<"), tag_token(t)).otherwise(text_token(t))
 
     return F.transform(raw, token)
 
