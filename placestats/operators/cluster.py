@@ -134,7 +134,9 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     """
     ends = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).where(F.col("u") != F.col("v"))
     told = {"n": F.count(F.lit(1)), "sum": F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))}
-    cur, now = observed(_star_round(ends), **told)
+    first = materialize(ends)  # a round reads its edges several times
+    cur, now = observed(_star_round(first), **told)
+    release(first)
     while now["n"]:
         new, after = observed(_star_round(cur), **told)
         release(cur)
