@@ -8,6 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from placestats import session
 from placestats.operators import cluster
 from placestats.operators.cluster import connected_components, dbscan
 
@@ -139,3 +140,18 @@ def test_one_id_for_all(spark):
     df = spark.createDataFrame([("A", *r) for r in rows], "g string, id int, lat double, long double")
     got = dbscan(df, "g", "id", eps_km=0.01, min_samples=4).collect()
     assert len(got) == 8 and {(round(r.lat), r.cluster_id) for r in got} == {(42, 0), (43, 1)}
+
+
+def test_connected_dense_cells_are_not_split(spark, monkeypatch):
+    """A field of dense cells: contacts of cells side by side connect all of them, so the pairs farther off need no parts."""
+    rnd = random.Random(12)
+    grid = cluster._Grid(0.05)
+    columns = math.ceil(360.0 / grid.height)
+    inside = lambda: 0.1 + 0.8 * rnd.random()
+    cells = [(y, x) for y in range(8) for x in range(8)]
+    places = [(round(90.0 / grid.height) + y + inside(), columns // 2 + x + inside()) for y, x in cells for _ in range(8)]
+    points = [(i, a * grid.height - 90.0, b * 360.0 / columns - 180.0) for i, (a, b) in enumerate(places)]
+    written = []
+    monkeypatch.setattr(session, "on_plan", lambda df: written.append(df.columns))
+    assert run(spark, points, 0.05, 4) == brute_force(points, 0.05, 4)
+    assert not [c for c in written if "child" in c]
