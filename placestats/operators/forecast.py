@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placestats.constants import HORIZON, MIN_MONTHS, SEASON_LENGTH
@@ -66,17 +67,21 @@ def forecast_snaive(series: DataFrame, group: str | Sequence[str], horizon: int
 def forecast_trend(series: DataFrame, group: str | Sequence[str], horizon: int = HORIZON) -> DataFrame:
     """Least-squares line over the months, with the residual spread."""
     keys = _keys(group)
-    start = series.groupBy(*keys).agg(F.min("month").alias("_start"))
+    for k in keys:
+        series = series.where(F.col(k).isNotNull())
+    # one pass: with a join for the start and another for the last month the dense rows would be sorted three times
     t = F.months_between("month", "_start")
-    fit = series.join(start, keys).groupBy(*keys).agg(
+    fit = series.withColumn("_start", F.min("month").over(W.partitionBy(*keys))).groupBy(*keys).agg(
         F.regr_slope(F.col("y"), t).alias("_b"),
         F.regr_intercept(F.col("y"), t).alias("_a"),
         F.regr_syy(F.col("y"), t).alias("_syy"),
         F.regr_sxy(F.col("y"), t).alias("_sxy"),
         F.count(F.lit(1)).alias("_n"),
         F.first("_start").alias("_start"),
+        F.max("month").alias("last_month"),
     )
-    rows = horizon_months(series, keys, horizon).join(fit, keys)
+    rows = fit.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    rows = rows.withColumn("month", F.add_months("last_month", F.col("step")))
     value = F.col("_a") + F.col("_b") * F.months_between("month", "_start")
     residual = F.greatest(F.col("_syy") - F.col("_b") * F.col("_sxy"), F.lit(0.0)) / F.nullif(F.col("_n") - 2, F.lit(0))
     return _contract(rows, keys, value, F.coalesce(F.sqrt(residual), F.lit(0.0)) * Z95, F.lit("trend"))

@@ -17,6 +17,7 @@ from placestats.constants import HORIZON, MAPE_CAP, MIN_MONTHS
 from placestats.functions.dates import month_of
 from placestats.functions.numbers import clamp
 from placestats.functions.rules import trend_class
+from placestats.session import observed, spread
 
 
 def _keys(group: str | Sequence[str]) -> list[str]:
@@ -28,17 +29,25 @@ def monthly_counts(df: DataFrame, group: str | Sequence[str], ts: str) -> DataFr
 
 
 def fill_months(counts: DataFrame, group: str | Sequence[str]) -> DataFrame:
-    """Zero-fill each group from its own first to its own last month."""
+    """Zero-fill each group from its own first to its own last month.
+
+    The counted months of a group, bounded by the calendar, get the missing ones beside
+    them before they become rows, so the dense rows meet in no join.
+    """
     keys = _keys(group)
-    span = counts.groupBy(*keys).agg(F.min("month").alias("_lo"), F.max("month").alias("_hi"))
-    months = F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 month"))).alias("month")
-    return span.select(*keys, months).join(counts, [*keys, "month"], "left").select(
-        *keys, "month", F.coalesce("y", F.lit(0)).cast("bigint").alias("y")
-    )
+    seen = F.collect_list(F.when(F.col("month").isNotNull(), F.struct("month", F.col("y").cast("bigint").alias("y"))))
+    spans = counts.groupBy(*keys).agg(F.min("month").alias("_lo"), F.max("month").alias("_hi"), seen.alias("_seen"))
+    gaps = F.array_except(F.sequence("_lo", "_hi", F.expr("interval 1 month")), F.col("_seen.month"))
+    empty = F.transform(gaps, lambda m: F.struct(m.alias("month"), F.lit(0).cast("bigint").alias("y")))
+    rows = spans.select(*keys, F.explode(F.concat("_seen", empty)).alias("_m"))
+    return rows.select(*keys, "_m.month", F.coalesce("_m.y", F.lit(0)).cast("bigint").alias("y"))
 
 
 def monthly_series(df: DataFrame, group: str | Sequence[str], ts: str) -> DataFrame:
-    return fill_months(monthly_counts(df, group, ts), group)
+    """Dense monthly counts. They become many more rows than were counted, so the counts are
+    dealt by their number: bytes would pack the series of a large table into a few tasks."""
+    counts, told = observed(monthly_counts(df, group, ts), rows=F.count(F.lit(1)))
+    return fill_months(spread(counts, told["rows"], *_keys(group), per_task=100_000), group)
 
 
 def with_reverse_position(series: DataFrame, group: str | Sequence[str]) -> DataFrame:

@@ -153,3 +153,14 @@ def test_daily_counts_survive_a_restart(spark, tmp_path):
     key = lambda r: (r.g, r.month)
     assert sorted(monthly_from_days(table.read(), ["g"]).collect(), key=key) == sorted(monthly_series(df, "g", "ts").collect(), key=key)
     assert table.read().count() == 18
+
+
+def test_long_tables_of_series_are_dealt_by_their_counts(spark):
+    """600,000 series of one to three months: their bytes fit a few tasks, their number does not, and the dense rows meet in no join."""
+    df = spark.range(600_000).select(F.col("id").alias("g"), F.explode(F.array(F.lit("2024-01-31"), F.when(F.col("id") % 2 == 0, F.lit("2024-03-01")))).alias("at"))
+    series = monthly_series(df.where(F.col("at").isNotNull()).withColumn("ts", F.col("at").cast("timestamp_ntz")), "g", "ts")
+    assert "Join" not in series._jdf.queryExecution().executedPlan().toString()
+    placed = series.withColumn("part", F.spark_partition_id())
+    got = placed.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") == 0).alias("gaps"), F.count_distinct("part").alias("parts")).first()
+    assert (got["n"], got["gaps"]) == (300_000 + 3 * 300_000, 300_000)
+    assert got["parts"] >= 9
