@@ -20,7 +20,7 @@ added again by text. So fingerprints that collide only cost work.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,8 +61,7 @@ class Words:
         inside = np.concatenate([[False], (body != SPACE) & (body != BREAK), [False]])
         edge = np.flatnonzero(inside[1:] != inside[:-1])
         self.start, self.end = edge[::2], edge[1::2]
-        breaks = np.concatenate([[0], np.cumsum(body == BREAK)])
-        self.piece = breaks[self.start]
+        self.piece = np.searchsorted(np.flatnonzero(body == BREAK), self.start)  # breaks before the word
 
     def normal(self) -> tuple[np.ndarray, np.ndarray]:
         """Bytes with one separator after each word, a space within a piece; where each word then starts."""
@@ -77,7 +76,11 @@ class Words:
 
     def hashed(self) -> None:
         """Prefix polynomials at the borders of the words."""
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[self.body] * _powers(_BASE, len(self.body)), dtype=np.uint64)])
+        terms = _VALUE[self.body]
+        terms *= _powers(_BASE, len(self.body))
+        sums = np.zeros(len(self.body) + 1, np.uint64)
+        np.cumsum(terms, out=sums[1:])
+        del terms
         self.before, self.after = sums[self.start], sums[self.end]
         self.back = _powers(_BASE_INVERSE, len(self.body) + 1)[self.start]
 
@@ -162,6 +165,19 @@ def cut_chunks(texts: list[bytes], size: int) -> Iterator[tuple[bytes, int]]:
         yield body[start[low] : stop - 1].tobytes(), high - low
 
 
+def cut_rows(rows: Iterable[tuple[str, bytes]], size: int, block: int = 1 << 22) -> Iterator[list[tuple[str, bytes, int]]]:
+    """(lang, body, words that begin here) of texts by language, in lists of some `block` bytes: work on a batch takes many times its bytes."""
+    held: dict[str, list[bytes]] = {}
+    total = 0
+    for lang, text in rows:
+        held.setdefault(lang, []).append(text)
+        total += len(text)
+        if total >= block:
+            yield [(lang, *c) for lang, texts in held.items() for c in cut_chunks(texts, size)]
+            held, total = {}, 0
+    yield [(lang, *c) for lang, texts in held.items() for c in cut_chunks(texts, size)]
+
+
 def chunks_of(docs: DataFrame, text_col: str, lang_col: str, size: int = CHUNK) -> DataFrame:
     """(id, lang, body, begins): the words of all texts, written once so that ids stay."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
@@ -169,12 +185,10 @@ def chunks_of(docs: DataFrame, text_col: str, lang_col: str, size: int = CHUNK)
 
     def normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_lang: dict[str, list[bytes]] = {}
-            for lang, body in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
-                by_lang.setdefault(lang, []).append(body)
-            found = [(lang, *c) for lang, texts in by_lang.items() for c in cut_chunks(texts, size)]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.string(), pa.binary(), pa.int64()))], ["lang", "body", "begins"])
+            texts = ((lang.as_py(), body.as_py()) for lang, body in zip(batch["lang"], batch["text"]))
+            for found in cut_rows(texts, size):
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.string(), pa.binary(), pa.int64()))], ["lang", "body", "begins"])
 
     cut = rows.mapInArrow(normalise, "lang string, body binary, begins long")
     # 23 bits for the partition and 24 for the chunk in it leave 16 for the place in the chunk

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from placestats.llm import collocations as module
 from placestats.llm.collocations import BITS, LONGEST, collocations, count_block, cut_chunks, frequent_bitmap, same_bytes, scaled_share
 
 
@@ -118,3 +119,24 @@ def test_exact_arithmetic(spark):
     values = [(1, 3), (2**62 - 1, 2**63 - 1), (4611686018427387904, 2**63 - 1), (30, 60), (10**18, 3 * 10**18 + 1)]
     got = spark.createDataFrame(values, "a long, b long").select("a", "b", scaled_share(F.col("a"), F.col("b")).alias("s")).collect()
     assert [r.s for r in got] == [2000000 * r.a // r.b for r in got]
+
+
+def test_words_take_few_bytes_a_byte():
+    import tracemalloc
+
+    body = np.frombuffer(b"some words of a text, and then some more of them\n" * 40_000, np.uint8)
+    tracemalloc.start()
+    words = module.Words(body)
+    found = tracemalloc.get_traced_memory()[1]
+    words.hashed()
+    both = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert words.piece.tolist()[:12] == [0] * 11 + [1]
+    assert found < 12 * len(body) and both < 36 * len(body)
+
+
+def test_texts_are_cut_in_blocks():
+    texts = [("en", b"a b c d e"), ("de", b"x y"), ("en", b""), ("en", b"f. g")]
+    blocks = list(module.cut_rows(texts, 3, block=10))
+    assert [[(lang, begins) for lang, _, begins in b] for b in blocks] == [[("en", 3), ("en", 2), ("de", 2)], [("en", 2)]]
+    assert list(module.cut_rows([], 3)) == [[]]
