@@ -1,12 +1,13 @@
 """Byte-level BPE in Spark: ranked merges folded over the bytes of distinct words.
 
-Documents are read in blocks. A block becomes one row: its distinct words (matches of the
-split pattern), and for every document the numbers of its words, in order. Spark's
-higher-order functions then encode each distinct word once: its bytes are folded by
+Documents are read in blocks. A block becomes one row: those of its distinct words (matches
+of the split pattern) that no earlier block of the task had, and for every document the
+numbers of its words, in order. Spark's higher-order functions then encode each of these
+words, so a task encodes a word once, however small its blocks are: its bytes are folded by
 merging, again and again, the neighbours whose joined bytes rank lowest in a literal rank
 map, until no joined pair has a rank. The same functions decode ids by joining the binary
 pieces of a literal vocabulary. Last, the documents of the block are put together from
-their words. Nothing is shuffled, and memory is bounded by the block.
+their words. Texts are not shuffled, and memory is bounded by the block and by KEPT words.
 
 Words that are frequent in a bounded sample of the texts are encoded once for all blocks, by
 the same fold; which words these are changes the speed only, never a result.
@@ -21,10 +22,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Callable, Iterator
+import string
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +40,9 @@ ID = 1 << 16  # ids are below
 MIXERS, SHIFT = (0x45D9F3B5, 0x2C1B3C6D), 24  # odd multipliers of 31 bits: products of two ids never overflow
 COMMON = 250_000  # most words that are encoded ahead
 COMMON_CHARS = 64 << 20  # about as many characters are read to find them
-AHEAD = 1 << 30  # number of the first of these words
-BLOCK = 6 << 20  # characters of text in a block, more only if one text is longer
+AHEAD_TASKS = 8  # tasks that fold them
+KEPT = 400_000  # words that a task keeps between blocks, about; then it begins anew
+BLOCK = 1 << 20  # characters of text in a block, more only if one text is longer; Spark holds all blocks of a task at once
 SEPARATOR = ","
 
 
@@ -195,87 +200,127 @@ def split_pattern(pattern: str):
     return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
 
 
-SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c != " ")
+UNEVEN = f"^ | $|  | [{SPACES}]|[{SPACES}] "  # a space that starts or ends the text or touches other white space
 
 
-def uneven(text: str) -> bool:
-    """Does some space start or end the text or touch other white space?"""
-    return text[:1] == " " or text[-1:] == " " or "  " in text or any(c in text and (f" {c}" in text or f"{c} " in text) for c in SPACES)
+def _steps(n: np.ndarray) -> np.ndarray:
+    """0 to n - 1 for each n, one after the other."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _binary(ends: np.ndarray, data: np.ndarray) -> pa.Array:
+    """Byte strings that lie one after the other in `data`, between bounds that begin with 0."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _bounds(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bounds of strings, beginning with 0, and their bytes."""
+    _, ends, data = strings.buffers()
+    ends = np.frombuffer(ends, np.int32)[strings.offset : strings.offset + len(strings) + 1] if len(strings) else np.zeros(1, np.int32)
+    return ends - ends[0], (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8))[ends[0] : ends[-1]]
+
+
+def _strings(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
 
 
 class _Words:
-    """Numbers of the distinct words of a block, and of the words of its texts.
+    """Numbers of the distinct words of a task's blocks, and of the words of its texts.
 
     No match of a pattern that joins one space to what follows it crosses a single space
-    between two other characters, so texts are cut there and each distinct part is split
-    once. A part is a list of word numbers; a long word has a negative one.
+    between two other characters, so texts are cut there and each distinct part of a block
+    is split once. Words encoded ahead have the first numbers. Words of earlier blocks keep
+    theirs until there are too many; then a new run begins.
     """
 
-    def __init__(self, pattern: str, path: str, ahead: dict[bytes, int]):
-        self.match, self.path, self.ranks, self.ahead = split_pattern(pattern).finditer, path, {}, ahead
-        self.whole = r" ?\p{L}+" in pattern  # a space and letters are one match
-        # parts that are one word encoded ahead are known to every block
-        plain = [(w[1:].decode("utf-8", "replace"), n) for w, n in ahead.items() if self.whole and w[:1] == b" "]
-        plain = [(part, n) for part, n in plain if part.isalpha()]
-        self.plain, self.plain_numbers = {part: i for i, (part, _) in enumerate(plain)}, [n for _, n in plain]
-        self.clear()
-
-    def clear(self) -> None:
-        """Begin a new block."""
-        self.words: dict[bytes, int] = {}
-        self.longs: list[list[int]] = []
-        self.heads: dict[str, int] = {}  # parts at the start of a text
-        self.parts: dict[str, int] = self.plain.copy()  # parts after a space
-        self.numbers: list[int] = self.plain_numbers.copy()
-        self.sizes: list[int] = [1] * len(self.plain_numbers)
-
-    def learn(self, known: dict[str, int], key: str, text: str) -> None:
-        found = [text] if known is self.parts and self.whole and key.isalpha() else [m[0] for m in self.match(text)]
-        for word in found:
-            data = word.encode("utf-8", "surrogatepass")
-            if (n := self.ahead.get(data)) is not None:
-                self.numbers.append(n)
-            elif len(data) > LONG:
-                self.ranks = self.ranks or load_ranks(self.path)
-                self.longs.append(heap_encode(data, self.ranks))
-                self.numbers.append(-len(self.longs))
-            else:
-                self.numbers.append(self.words.setdefault(data, len(self.words)))
-        known[key] = len(self.sizes)
-        self.sizes.append(len(found))
-
-    def parts_of(self, text: str) -> np.ndarray:
-        head, *rest = [text] if uneven(text) else text.split(" ")
-        if head not in self.heads:
-            self.learn(self.heads, head, head)
-        numbers = list(map(self.parts.get, rest))
-        if None in numbers:
-            for part in dict.fromkeys(p for p, n in zip(rest, numbers) if n is None):
-                self.learn(self.parts, part, " " + part)
-            numbers = list(map(self.parts.get, rest))
-        return np.array([self.heads[head], *numbers], dtype=np.int32)
-
-    def expand(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers of all texts in order, and how many each has."""
-        sizes, numbers = np.array(self.sizes, np.int64), np.array(self.numbers, np.int32)
-        starts = np.cumsum(sizes) - sizes
-        every = np.concatenate(texts) if texts else np.zeros(0, np.int32)
+    def __init__(self, pattern: str, path: str, ahead: pa.Array, kept: int):
+        self.match, self.path, self.ranks, self.ahead, self.kept = split_pattern(pattern).finditer, path, {}, ahead, kept
+        # a space and letters are one match, and what ASCII punctuation follows them is one more
+        self.plain = r" ?\p{L}+" in pattern and r" ?[^\s\p{L}\p{N}]+" in pattern
+        self.known = ahead
+
+    def split(self, texts: pa.Array) -> tuple[bool, np.ndarray, np.ndarray, pa.Array, list[list[int]]]:
+        """Is it a new run, word numbers of all texts, how many each text has, new words, ids of new long words (numbered last)."""
+        fresh = len(self.known) - len(self.ahead) >= self.kept or self.known.nbytes - self.ahead.nbytes >= 32 * self.kept
+        if fresh:
+            self.known = self.ahead
+        found, extra = [], {}  # word numbers of odd strings, and those words
+
+        def odd(strings: Iterable[str]) -> None:
+            found.extend(array("i", [extra.setdefault(m[0], len(extra)) for m in self.match(s)]) for s in strings)
+
+        uneven = pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False)
+        starts, data = _bounds(texts)
+        spaces = np.flatnonzero(data == ord(" "))
+        spaces = spaces[~uneven[np.searchsorted(starts, spaces, "right") - 1]]  # the last of equal starts is that of the text with the space
+        heads = np.arange(len(texts)) + np.searchsorted(spaces, starts[:-1])
+        behind = np.ones(len(texts) + len(spaces), bool)
+        behind[heads] = False
+        cuts = np.empty(len(behind) + 1, np.int32)
+        cuts[heads], cuts[:-1][behind], cuts[-1] = starts[:-1], spaces, starts[-1]
+        flat = _binary(cuts, data).cast(pa.string())  # a part has its space in front
+        coded, whole = (flat.filter(pa.array(which)).dictionary_encode() for which in (behind, ~behind))
+        every = np.empty(len(flat), np.int64)
+        every[behind] = coded.indices.to_numpy()
+        every[heads] = whole.indices.to_numpy().astype(np.int64) + len(coded.dictionary)
+
+        stems = pc.utf8_rtrim(coded.dictionary, characters=string.punctuation)
+        strings, stem_strings = _strings(coded.dictionary), _strings(stems)
+        plain = np.fromiter((self.plain and s[1:].isalpha() for s in stem_strings), bool, len(strings))
+        tails = {}  # part -> number of the punctuation behind its letters
+        for i in np.flatnonzero(plain & (pc.binary_length(stems).to_numpy() < pc.binary_length(coded.dictionary).to_numpy())).tolist():
+            tails[i] = extra.setdefault(strings[i][len(stem_strings[i]) :], len(extra))
+        odd(strings[i] for i in np.flatnonzero(~plain).tolist())
+        odd(_strings(whole.dictionary))
+        del strings, stem_strings
+
+        spaced = stems.filter(pa.array(plain))
+        distinct = pa.concat_arrays([spaced, pa.array(list(extra), pa.string())]).dictionary_encode()
+        numbers, new, longs = self.number(distinct.dictionary.cast(pa.binary()))
+        numbers = numbers[distinct.indices.to_numpy()]
+
+        # the words of each part, one part after the other: one with letters, its punctuation, or those of an odd string
+        with_tail, others = np.fromiter(tails, np.int64, len(tails)), np.concatenate([np.flatnonzero(~plain), len(plain) + np.arange(len(whole.dictionary))])
+        sizes = np.ones(len(plain) + len(whole.dictionary), np.int64)
+        sizes[with_tail], sizes[others] = 2, [len(f) for f in found]
+        starts, listed = np.cumsum(sizes) - sizes, np.empty(sizes.sum(), np.int32)
+        listed[starts[: len(plain)][plain]] = numbers[: len(spaced)]
+        listed[starts[with_tail] + 1] = numbers[len(spaced) + np.fromiter(tails.values(), np.int64, len(tails))]
+        flat_odd = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(f, np.int32) for f in found)])
+        listed[np.repeat(starts[others], sizes[others]) + _steps(sizes[others])] = numbers[len(spaced) + flat_odd]
+
         n = sizes[every]
-        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        ends = np.cumsum([len(t) for t in texts])
-        total = np.concatenate([[0], np.cumsum(n)])
-        return numbers[np.repeat(starts[every], n) + step], np.diff(total[np.concatenate([[0], ends]).astype(np.int64)])
+        counts = np.add.reduceat(n, heads) if len(heads) else n
+        return fresh, listed[np.repeat(starts[every], n) + _steps(n)], counts, new, longs
+
+    def number(self, words: pa.Array) -> tuple[np.ndarray, pa.Array, list[list[int]]]:
+        """Numbers of distinct words, the new ones of at most LONG bytes, and ids of new longer ones."""
+        at = pc.index_in(words, value_set=self.known)
+        missing = at.is_null().to_numpy(zero_copy_only=False)
+        long = pc.binary_length(words).to_numpy() > LONG
+        new, longs = (words.filter(pa.array(missing & which)) for which in (~long, long))
+        numbers = at.fill_null(0).to_numpy().astype(np.int32)
+        numbers[missing & ~long] = len(self.known) + np.arange(len(new))
+        numbers[missing & long] = len(self.known) + len(new) + np.arange(len(longs))
+        self.known = pa.concat_arrays([self.known, new, longs])
+        if len(longs):
+            self.ranks = self.ranks or load_ranks(self.path)
+        return numbers, new, [heap_encode(w, self.ranks) for w in longs.to_pylist()]
+
+
+def _letters(words: pa.Array) -> pa.Array:
+    """Lists of the bytes of words."""
+    ends, data = _bounds(words)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(data.astype(np.int16)))
 
 
 class Ahead:
     """Words encoded ahead: their bytes, and their ids as one array with bounds."""
 
-    def __init__(self, words: list[bytes], flat: np.ndarray, bounds: np.ndarray):
+    def __init__(self, words: pa.Array, flat: np.ndarray, bounds: np.ndarray):
         self.words, self.flat, self.bounds = words, flat, bounds
 
-    def numbers(self) -> dict[bytes, int]:
-        return {w: AHEAD + i for i, w in enumerate(self.words)}
-
 
 def encode_ahead(texts: DataFrame, path: str, pattern: str, most: int = COMMON, chars: int = COMMON_CHARS) -> Ahead:
     """Encode the most frequent words of a bounded sample of the text column `__llm_text`.
@@ -287,113 +332,131 @@ def encode_ahead(texts: DataFrame, path: str, pattern: str, most: int = COMMON,
     drawn = texts.where(F.rand(7) < min(1.0, chars / max(total, 1)))  # row by row, so copies do not come together
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = _Words(pattern, path, {})
-            index, _ = words.expand([words.parts_of(t.as_py() or "") for t in batch.column(0)])
-            n = np.bincount(index[index >= 0], minlength=len(words.words))
-            sizes = np.fromiter(map(len, words.words), np.int32, len(words.words))
-            letters = pa.array(np.frombuffer(b"".join(words.words), np.uint8).astype(np.int16))
-            listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), letters)
-            yield pa.RecordBatch.from_arrays([listed, pa.array(n, pa.int64())], ["word", "n"])
+        none = pa.array([], pa.binary())
+        for batch in _blocks(batches, BLOCK):
+            _, index, _, new, _ = _Words(pattern, path, none, 0).split(batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([_letters(new), pa.array(np.bincount(index, minlength=len(new))[: len(new)], pa.int64())], ["word", "n"])
 
     counts = drawn.select("__llm_text").mapInArrow(count, "word array<smallint>, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    often = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(most)
+    often = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(most).repartition(AHEAD_TASKS)
     literal, bits = rank_literal(load_ranks(path))
     found = often.select("word", let(literal, lambda table: encode_word(table, bits, F.col("word"))).alias("ids")).toArrow()
     words, ids = (found.column(c).combine_chunks() for c in ("word", "ids"))
     spell = lambda a: (a.values.to_numpy(zero_copy_only=False), a.offsets.to_numpy())
     letters, ends = spell(words) if len(words) else (np.zeros(0, np.int16), np.zeros(1, np.int32))
-    data = letters.astype(np.uint8).tobytes()
     flat, bounds = spell(ids) if len(ids) else (np.zeros(0, np.int32), np.zeros(1, np.int32))
-    return Ahead([data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], flat.astype(np.int32), bounds.astype(np.int64))
-
-
-def _to_blocks(pattern: str, path: str, block: int, ahead: Ahead):
+    return Ahead(_binary(ends, letters.astype(np.uint8)), flat.astype(np.int32), bounds.astype(np.int64))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `block` characters in the last column, more only for one row."""
+    held, size = [], 0
+    for batch in batches:
+        at = 0
+        for row, n in enumerate(pc.utf8_length(batch.column(batch.num_columns - 1)).to_pylist()):
+            if size and size + n > block:
+                held.append(batch.slice(at, row - at))
+                full, held, size, at = held, [], 0, row
+                yield pa.concat_batches(full)
+                del full
+            size += n
+        if at < batch.num_rows:
+            held.append(batch.slice(at) if at == 0 else batch.take(pa.array(np.arange(at, batch.num_rows))))  # a copy holds no batch
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _to_blocks(pattern: str, path: str, block: int, ahead: pa.Array, kept: int = KEPT):
     """mapInArrow function: rows (other columns, text) to rows of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(held: list[pa.RecordBatch], words: _Words, texts: list[np.ndarray]) -> pa.RecordBatch:
+        words = _Words(pattern, path, ahead, kept)
+        for serial, batch in enumerate(_blocks(batches, block)):
+            others = batch.select(range(batch.num_columns - 1))
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema) as out:
-                for b in held:
-                    out.write_batch(b)
-            index, counts = words.expand(texts)
-            sizes = np.fromiter(map(len, words.words), np.int32, len(words.words))  # a dict keeps the order of its numbers
-            letters = pa.array(np.frombuffer(b"".join(words.words), np.uint8).astype(np.int16))
-            distinct = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), letters)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([index.astype("<i4").tobytes()], pa.binary()),
-                 pa.array([counts.astype("<i8").tobytes()], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct),
-                 pa.array([words.longs[::-1]], pa.list_(pa.list_(pa.int32())))],
-                ["rows", "word_index", "word_counts", "words", "long_ids"],
+            with pa.ipc.new_stream(sink, others.schema) as out:
+                out.write_batch(others)
+            fresh, index, counts, new, longs = words.split(batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([serial], pa.int32()), pa.array([fresh]), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                 pa.array([pa.compress(index.astype("<i4").tobytes(), "zstd", asbytes=True)], pa.binary()), pa.array([counts.astype("<i8").tobytes()], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array([0, len(new)], pa.int32()), _letters(new)), pa.array([longs], pa.list_(pa.list_(pa.int32())))],
+                ["serial", "fresh", "rows", "word_index", "word_counts", "words", "long_ids"],
             )
-
-        held, words, texts, size = [], _Words(pattern, path, ahead.numbers()), [], 0
-        for batch in batches:
-            column = batch.column(batch.num_columns - 1)
-            others = batch.select(range(batch.num_columns - 1))
-            at = 0
-            for row in range(batch.num_rows):
-                text = column[row].as_py() or ""
-                texts.append(words.parts_of(text))
-                size += len(text)
-                if size >= block:
-                    held.append(others.slice(at, row + 1 - at))
-                    yield flush(held, words, texts)
-                    held, texts, size, at = [], [], 0, row + 1
-                    words.clear()
-            if at < batch.num_rows:
-                held.append(others.slice(at))
-        if held:
-            yield flush(held, words, texts)
+            del batch, others, sink, index, counts, new, longs
+            pa.default_memory_pool().release_unused()
 
     return run
 
 
-def _from_blocks(finish: Callable[[np.ndarray], list], fields: list[tuple[str, pa.DataType]], ahead: Ahead):
-    """mapInArrow function: encoded blocks back to rows, with the columns `finish` makes of each row's ids."""
+def _from_blocks(finish: Callable[[np.ndarray, memoryview | None], list], fields: list[tuple[str, pa.DataType]], flat: np.ndarray, bounds: np.ndarray, spelled: str | None):
+    """mapInArrow function: encoded blocks back to rows, with the columns `finish` makes of each row's ids.
+
+    A block brings the ids of its new words; those of earlier blocks of the task are kept
+    until a new run begins. `flat` and `bounds` are the ids of the words encoded ahead.
+    With the path of the ranks in `spelled`, `finish` also gets the bytes that the ids
+    stand for: each distinct word is put together from the pieces of its ids.
+    """
+
+    def spell(pieces: pa.Array, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        made = pieces.take(pa.array(ids, pa.int32()))
+        data, places = made.buffers()[2], np.frombuffer(made.buffers()[1], np.int32, len(ids) + 1)
+        return _binary(places[ends], np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, first_ids, first_bytes, words, letters, expected = None, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32())), None, None, None, 0
+        if spelled:
+            known = {n: token for token, n in load_ranks(spelled).items()}
+            pieces = pa.array([known.get(n, b"") for n in range(max(known) + 1)], pa.binary())
+            first_bytes = spell(pieces, flat, bounds)
         for batch in batches:
             for at in range(batch.num_rows):
-                rows, index, counts, ids = (batch.column(c)[at] for c in ("rows", "word_index", "word_counts", "ids"))
-                index = np.frombuffer(index.as_buffer(), "<i4")
-                ends = np.concatenate([[0], np.cumsum(np.frombuffer(counts.as_buffer(), "<i8"))])
-                words = ids.values  # a list of ids per distinct word, the long ones last and backwards
-                bounds = words.offsets.to_numpy().astype(np.int64)
-                flat, n_own = words.values.to_numpy(zero_copy_only=False).astype(np.int32), len(bounds) - 1
-                # own words first, those encoded ahead behind them; a long word has a negative number, from the end of the own ones
-                index = np.where(index >= AHEAD, index - AHEAD + n_own, np.where(index < 0, index + n_own, index))
-                starts = np.concatenate([bounds[:-1], ahead.bounds[:-1] + len(flat)])
-                sizes = np.concatenate([np.diff(bounds), np.diff(ahead.bounds)])
-                flat = np.concatenate([flat, ahead.flat])
+                serial, fresh, rows, index, counts, ids = (batch.column(c)[at] for c in ("serial", "fresh", "rows", "word_index", "word_counts", "ids"))
+                if serial.as_py() != expected:
+                    raise ValueError("the blocks of a task came out of order")
+                if fresh.as_py() or expected == 0:
+                    words, letters = first_ids, first_bytes
+                expected += 1
+                ends = ids.values.offsets.to_numpy().astype(np.int64)  # a list of ids per new word
+                new = ids.values.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]].astype(np.int32)
+                words = pa.concat_arrays([words, pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(new))])
+                ends_of_texts = np.concatenate([[0], np.cumsum(np.frombuffer(counts.as_buffer(), "<i8"))])
+                index = pa.array(np.frombuffer(pa.decompress(index.as_buffer(), 4 * int(ends_of_texts[-1]), "zstd"), "<i4"))
+                taken = words.take(index)
+                tokens, per_word = taken.values.to_numpy(), taken.offsets.to_numpy()
+                id_ends, data, byte_ends = per_word[ends_of_texts], None, None
+                if pieces is not None:
+                    letters = pa.concat_arrays([letters, spell(pieces, new, ends - ends[0])])
+                    text = letters.take(index)
+                    byte_ends = np.frombuffer(text.buffers()[1], np.int32, len(index) + 1)[ends_of_texts]
+                    data = memoryview(text.buffers()[2] or b"")
                 row = 0
                 with pa.ipc.open_stream(pa.py_buffer(rows.as_buffer())) as stream:
                     for part in stream:
                         made = []
-                        for row in range(row, row + part.num_rows):
-                            own = index[ends[row] : ends[row + 1]]
-                            n = sizes[own]
-                            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                            made.append(finish(flat[np.repeat(starts[own], n) + step]))
-                        row += 1
-                        new = [pa.array([m[i] for m in made], kind) for i, (_, kind) in enumerate(fields)]
-                        yield pa.RecordBatch.from_arrays([*part.columns, *new], [*part.schema.names, *(name for name, _ in fields)])
+                        for i in range(row, row + part.num_rows):
+                            made.append(finish(tokens[id_ends[i] : id_ends[i + 1]], None if data is None else data[byte_ends[i] : byte_ends[i + 1]]))
+                        row += part.num_rows
+                        columns = [pa.array([m[i] for m in made], kind) for i, (_, kind) in enumerate(fields)]
+                        yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *(name for name, _ in fields)])
+                taken = tokens = per_word = index = text = data = made = columns = None
+                pa.default_memory_pool().release_unused()
 
     return run
 
 
-def _encoded(read: DataFrame, path: str, pattern: str, block: int, finish, fields: list[tuple[str, str, pa.DataType]]) -> DataFrame:
-    """Rows whose last column is the text, with it replaced by the columns `finish(ids)` makes; fields are (name, Spark type, Arrow type)."""
+def _encoded(read: DataFrame, path: str, pattern: str, block: int, finish, fields: list[tuple[str, str, pa.DataType]], spelled: bool = False) -> DataFrame:
+    """Rows whose last column is the text, with it replaced by the columns `finish` makes; fields are (name, Spark type, Arrow type)."""
     ahead = encode_ahead(read.select("__llm_text"), path, pattern)
-    schema = "rows binary, word_index binary, word_counts binary, words array<array<smallint>>, long_ids array<array<int>>"
-    blocks = read.mapInArrow(_to_blocks(pattern, path, block, ahead), schema)
+    schema = "serial int, fresh boolean, rows binary, word_index binary, word_counts binary, words array<array<smallint>>, long_ids array<array<int>>"
+    blocks = read.mapInArrow(_to_blocks(pattern, path, block, ahead.words), schema)
     literal, bits = rank_literal(load_ranks(path))
     ids = let(literal, lambda table: F.transform("words", lambda w: encode_word(table, bits, w)))
-    encoded = blocks.select("rows", "word_index", "word_counts", F.concat(ids, "long_ids").alias("ids"))
+    encoded = blocks.select("serial", "fresh", "rows", "word_index", "word_counts", F.concat(ids, "long_ids").alias("ids"))
     kept = [f for f in read.schema.fields if f.name != "__llm_text"]
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{name}` {kind}" for name, kind, _ in fields]
-    return encoded.mapInArrow(_from_blocks(finish, [(name, kind) for name, _, kind in fields], ahead), ", ".join(kinds))
+    back = _from_blocks(finish, [(name, kind) for name, _, kind in fields], ahead.flat, ahead.bounds, path if spelled else None)
+    return encoded.mapInArrow(back, ", ".join(kinds))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", block: int = BLOCK) -> DataFrame:
@@ -404,7 +467,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
     """
     docs = without(docs, [ids_col])
     read = docs.select(*docs.columns, whole_text(text_col).alias("__llm_text"))
-    return _encoded(read, path, pattern, block, lambda ids: [ids], [(ids_col, "array<int>", pa.list_(pa.int32()))])
+    return _encoded(read, path, pattern, block, lambda ids, _: [ids], [(ids_col, "array<int>", pa.list_(pa.int32()))])
 
 
 def encode_digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
@@ -412,14 +475,9 @@ def encode_digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
 
     The ids are decoded by joining the binary pieces they stand for.
     """
-    pieces: list[bytes] = []
-
-    def finish(ids: np.ndarray) -> list:
-        if not pieces:
-            known = {n: token for token, n in load_ranks(path).items()}
-            pieces.extend(known.get(n, b"") for n in range(max(known) + 1))
-        data = b"".join(map(pieces.__getitem__, ids.tolist()))
+    def finish(ids: np.ndarray, data: memoryview) -> list:
         return [len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(data).hexdigest()]
 
     read = docs.select(id_col, whole_text(text_col).alias("__llm_text"))
-    return _encoded(read, path, pattern, block, finish, [("n_tokens", "long", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())])
+    fields = [("n_tokens", "long", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())]
+    return _encoded(read, path, pattern, block, finish, fields, spelled=True)

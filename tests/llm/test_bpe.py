@@ -5,13 +5,14 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from placestats.llm.bpe import decode_ids, encode, heap_encode, load_ranks, mergeable, rank_table, split_pattern
+from placestats.llm.bpe import _from_blocks, _to_blocks, decode_ids, encode, heap_encode, load_ranks, mergeable, rank_table, split_pattern
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -75,3 +76,29 @@ def test_registered_query(spark):
 
 def test_empty(spark):
     assert encode(spark.createDataFrame([], "doc_id long, text string"), PATH, PATTERN).count() == 0
+
+
+@pytest.mark.parametrize("kept", [0, 8, 1000])
+def test_a_task_folds_a_word_once(kept):
+    """Blocks bring new words only, until a new run begins; ids and decoded bytes stay right."""
+    rng = random.Random(kept)
+    texts = [t or "" for t in TEXTS] + [words(rng) for _ in range(50)] + ["same, of the same. 'tis x-ray's end!\"" + "z" * 200]
+    batch = pa.record_batch([pa.array(range(2 * len(texts))), pa.array(texts * 2)], ["doc_id", "text"])
+    ahead = pa.array([b" the", b"same", b","], pa.binary())
+    blocks = list(_to_blocks(PATTERN, PATH, 400, ahead, kept)(iter([batch.slice(0, 30), batch.slice(30)])))
+    encoded, runs = [], []
+    for b in blocks:
+        if b.column("fresh")[0].as_py() or not runs:
+            runs.append([])
+        new = [bytes(w) for w in b.column("words")[0].as_py()]
+        runs[-1] += new
+        ids = [LIBRARY.encode_ordinary(w.decode()) for w in new] + b.column("long_ids")[0].as_py()
+        kept_columns = ["serial", "fresh", "rows", "word_index", "word_counts"]
+        encoded.append(pa.record_batch([*map(b.column, kept_columns), pa.array([ids], pa.list_(pa.list_(pa.int32())))], [*kept_columns, "ids"]))
+    assert len(blocks) > 5 and (len(runs) == 1) == (kept == 1000)
+    assert all(len(run) == len(set(run)) and not {b" the", b"same", b","} & set(run) for run in runs)
+    first = [LIBRARY.encode_ordinary(w.decode()) for w in ahead.to_pylist()]
+    flat, bounds = np.concatenate(first).astype(np.int32), np.cumsum([0, *map(len, first)])
+    fields = [("ids", pa.list_(pa.int32())), ("back", pa.binary())]
+    out = pa.Table.from_batches(_from_blocks(lambda ids, data: [ids, bytes(data)], fields, flat, bounds, PATH)(iter(encoded))).to_pylist()
+    assert [(r["doc_id"], r["ids"], r["back"]) for r in out] == [(i, LIBRARY.encode_ordinary(t), t.encode()) for i, t in enumerate(texts * 2)]
